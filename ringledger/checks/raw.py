@@ -27,9 +27,19 @@ _ORDER_MONTH = "CAST(month(o_orderdate) AS INT)"
 _ORDER_YEAR = "CAST(year(o_orderdate) AS INT)"
 _FILE_MONTH = f"CAST({_ORDER_YEAR} AS STRING) || {_two(_ORDER_MONTH)}"
 _CUSTOMER = "CAST(o_custkey AS STRING)"
-_SHIP_DAY, _SHIP_MONTH = _two("day(l_shipdate)"), _two("month(l_shipdate)")
-_SHIP_YEAR = "CAST(year(l_shipdate) AS STRING)"
-_SHIP_SHORT = f"{_SHIP_DAY} || '/' || {_SHIP_MONTH} || '/' || substr({_SHIP_YEAR}, 3, 2)"
+
+# Lines with their ship date as ``yyyy-MM-dd`` text, and that text as ``dd/MM/yy``.
+_LINES = (
+    "(SELECT *, CAST(CAST(l_shipdate AS DATE) AS STRING) AS shipped FROM {lineitem}) lines"
+)
+_DAY, _MONTH, _YEAR = "substr(shipped, 9, 2)", "substr(shipped, 6, 2)", "substr(shipped, 1, 4)"
+_SHORT_DATE = f"{_DAY} || '/' || {_MONTH} || '/' || substr(shipped, 3, 2)"
+
+# Orders with their date as ``yyyy-MM-dd`` text, and its ``yyyyMM``.
+_DATED_ORDERS = (
+    "(SELECT *, CAST(CAST(o_orderdate AS DATE) AS STRING) AS ordered FROM {orders}) dated"
+)
+_ORDERED_MONTH = "substr(ordered, 1, 4) || substr(ordered, 6, 2)"
 
 # One number text per order: with brackets, with hyphens, and everything in between.
 NUMBERS = f"""
@@ -69,18 +79,19 @@ SELECT o_orderkey,
     ELSE CAST({_ORDER_YEAR} AS STRING) || '-' || {_two(_ORDER_MONTH)} || '-01' END AS day
 FROM {{orders}}"""
 
-# One ship date text per line; case 2 is never a date, case 5 has only two-digit years.
+# One ship date text per line; case 2 is never a date, cases 1, 3 and 5 have two-digit
+# years.
 SHIP_DATES = f"""
-SELECT l_orderkey, l_linenumber, l_shipdate, (l_orderkey + l_linenumber) % 6 AS variant,
+SELECT l_orderkey, l_linenumber,
   CASE (l_orderkey + l_linenumber) % 6
     WHEN 0 THEN NULL
-    WHEN 1 THEN ' ' || {_SHIP_SHORT} || ' '
-    WHEN 2 THEN '31/02/' || substr({_SHIP_YEAR}, 3, 2)
-    WHEN 3 THEN CAST(day(l_shipdate) AS STRING) || '/' || CAST(month(l_shipdate) AS STRING)
-                || '/' || substr({_SHIP_YEAR}, 3, 2)
-    WHEN 4 THEN {_SHIP_DAY} || '/' || {_SHIP_MONTH} || '/' || {_SHIP_YEAR}
-    ELSE {_SHIP_SHORT} END AS day_text
-FROM {{lineitem}}"""
+    WHEN 1 THEN ' ' || {_SHORT_DATE} || ' '
+    WHEN 2 THEN '31/02/' || substr(shipped, 3, 2)
+    WHEN 3 THEN CAST(CAST({_DAY} AS INT) AS STRING) || '/'
+                || CAST(CAST({_MONTH} AS INT) AS STRING) || '/' || substr(shipped, 3, 2)
+    WHEN 4 THEN {_DAY} || '/' || {_MONTH} || '/' || {_YEAR}
+    ELSE {_SHORT_DATE} END AS day_text
+FROM {_LINES}"""
 
 FILE_NAMES = f"""
 SELECT o_orderkey,
@@ -99,15 +110,13 @@ FROM {{orders}}"""
 
 # The 17 columns of an itemized bill file and its name, one per order line.
 ITEMIZED_TEXT = f"""
-SELECT l_orderkey AS row_key,
-  CASE l_orderkey % 97
+SELECT CASE l_orderkey % 97
     WHEN 0 THEN {_CUSTOMER}
     WHEN 1 THEN '(012)'
     ELSE '(0' || CAST(10 + o_custkey % 10 AS STRING) || ')' || {_CUSTOMER} END
     AS `Calling Number`,
-  CASE WHEN l_orderkey % 89 = 0 THEN {_SHIP_SHORT}
-       ELSE {_SHIP_SHORT} || ' - 28/' || {_SHIP_MONTH} || '/' || substr({_SHIP_YEAR}, 3, 2)
-       END AS `Date`,
+  CASE WHEN l_orderkey % 89 = 0 THEN short_date
+       ELSE short_date || ' - 28' || substr(short_date, 3) END AS `Date`,
   {_two('l_suppkey % 24')} || ':' || {_two('l_partkey % 60')} AS `Time`,
   l_returnflag AS `Type`,
   'net' || CAST(l_suppkey % 7 AS STRING) AS `From`,
@@ -126,9 +135,10 @@ SELECT l_orderkey AS row_key,
   {_money('l_discount')} AS `Discount`,
   {_money('l_tax')} AS `Total`,
   l_linestatus AS `Call Type`,
-  CASE WHEN l_orderkey % 71 = 0 THEN CAST({_ORDER_YEAR} AS STRING) || '13_x.csv'
-       ELSE {_FILE_MONTH} || '_x.csv' END AS file_name
-FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey"""
+  CASE WHEN l_orderkey % 71 = 0 THEN substr(ordered, 1, 4) || '13_x.csv'
+       ELSE {_ORDERED_MONTH} || '_x.csv' END AS file_name
+FROM (SELECT *, {_SHORT_DATE} AS short_date FROM {_LINES}) texts
+JOIN {_DATED_ORDERS} ON l_orderkey = o_orderkey"""
 
 # Typed itemized bills, one per order line.
 ITEMIZED = f"""

@@ -48,11 +48,17 @@ def _laid_out(df: DataFrame, schema: StructType, columns: dict[str, Column]) ->
 def normalise_itemized(raw: DataFrame, operator: str = MAXIS) -> DataFrame:
     """Itemized bills from CSV columns plus ``file_name``, which dates the bill."""
     number = F.col("Calling Number")
-    return _laid_out(raw, ITEMIZED_BILL, {
+    # Both ends get a projection of their own: parsing reads each of them several times.
+    ends = raw.select(
+        "*",
+        text.range_start(F.col("Date")).alias("_start"),
+        text.range_end(F.col("Date")).alias("_end"),
+    )
+    return _laid_out(ends, ITEMIZED_BILL, {
         "phone_number": text.bracket_tail(number),
         "STD_code": text.bracket_code(number),
-        "start_date": dates.short_date(text.range_start(F.col("Date"))),
-        "end_date": dates.short_date(text.range_end(F.col("Date"))),
+        "start_date": dates.short_date(F.col("_start")),
+        "end_date": dates.short_date(F.col("_end")),
         "time": F.col("Time"),
         "call_type": F.col("Type"),
         "calling_network": F.col("From"),
