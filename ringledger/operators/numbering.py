@@ -47,7 +47,7 @@ def number_batches(df: DataFrame, size: int, *order_by: str) -> DataFrame:
 
 
 def first_rows(df: DataFrame, n: int, key: str) -> DataFrame:
-    """The ``n`` rows with the lowest key, all of them for 0.
+    """The ``n`` rows with the lowest key, NULL lowest; all rows for 0.
 
     A small n first finds the cut-off from the key column alone; the cut-off then reaches
     the scan as a plain filter, so only the wanted rows are read in full.
@@ -58,5 +58,6 @@ def first_rows(df: DataFrame, n: int, key: str) -> DataFrame:
         return number_rows(df, key, name="_row").where(F.col("_row") <= n).drop("_row")
     lowest = df.select(key).orderBy(key).limit(n)
     cutoff = lowest.agg(F.max(key)).first()[0]
-    kept = df if cutoff is None else df.where(F.col(key) <= cutoff)
+    low = F.col(key).isNull() | (F.col(key) <= cutoff)  # NULL keys come first
+    kept = df if cutoff is None else df.where(low)
     return kept.orderBy(key).limit(n)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ringledger.functions import dates, text
+from ringledger.operators.joins import join_per_file
 from ringledger.schemas import (
     CELCOM,
     CELCOM_HEADERS,
@@ -119,11 +120,9 @@ def maxis_bill_lines(rows: DataFrame) -> DataFrame:
 def with_statement(lines: DataFrame, statement: DataFrame) -> DataFrame:
     """Adds each file's statement values to its bill lines.
 
-    The statement side has one row per file: broadcast below Spark's threshold, else
-    shuffled by path, where the adaptive skew split cuts up an outsized file. Lines of a
-    file without any statement cell stay, undated.
+    Lines of a file without any statement cell stay, undated.
     """
-    return lines.join(statement, "path", "left")
+    return join_per_file(lines, statement, "left")
 
 
 def normalise_maxis_monthly(rows: DataFrame) -> DataFrame:
@@ -155,10 +154,11 @@ def normalise_celcom_monthly(
     These bills have no value-added charge: NULL, or NaN with ``missing_as_nan``.
     """
     lines = sheet_range_with_header(
-        rows, *CELCOM_BILL_RANGE, CELCOM_HEADERS, empty_as_null=True
+        rows, *CELCOM_BILL_RANGE, CELCOM_HEADERS, empty_as_null=True,
+        per_file=celcom_statement(rows),
     ).where(F.col("Account No").isNotNull() & F.col("Credit Limit").isNotNull())
     number = F.col("Mobile No")
-    return _laid_out(with_statement(lines, celcom_statement(rows)), MONTHLY_BILL_SUMMARY, {
+    return _laid_out(lines, MONTHLY_BILL_SUMMARY, {
         "operator": F.lit(CELCOM),
         "phone_number": text.hyphen_tail(number, number_width),
         "STD_code": text.hyphen_code(number),

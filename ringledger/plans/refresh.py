@@ -15,7 +15,7 @@ from ringledger.schemas import (
     ITEMIZED_BILL,
     MONTHLY_BILL_SUMMARY,
 )
-from ringledger.sinks.tables import append_table, ensure_table, replace_partitions
+from ringledger.sinks.tables import append_table, ensure_table, rebalanced, replace_partitions
 from ringledger.streaming.landing import FEEDS, PERIOD, ingest
 
 PROGRESS = StructType([
@@ -74,7 +74,8 @@ def update_mart(
     if end.number <= start.number:
         return
     bills = spark.table(bill_table).select(*bill_schema.names)
-    replace_partitions(build(incremental(bills, start, end)), table)
+    new = build(incremental(bills, start, end))
+    replace_partitions(rebalanced(new, PERIOD), table)
     done = spark.createDataFrame([(mart, end.year, end.month)], PROGRESS)
     append_table(done, f"{database}.mart_progress")
 

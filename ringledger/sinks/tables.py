@@ -31,18 +31,25 @@ def append_table(
 ) -> None:
     """Appends to an ORC table, created when absent; columns are matched by name.
 
-    ``rebalance`` lets Spark even out the files per partition with one more shuffle,
-    splitting a partition that holds most of the rows. Use it when the rows of many
-    periods are spread over all tasks.
+    ``rebalance`` first gathers the rows of each partition, see ``rebalanced``.
     """
     if rebalance and partition_by:
-        df = df.hint("rebalance", *[F.col(name) for name in partition_by])
+        df = rebalanced(df, partition_by)
     writer = df.write.format("orc").mode("append").options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table)
 
 
+def rebalanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Rows gathered by partition with one more shuffle, for few and even files.
+
+    Worth it when every task holds rows of many partitions. A partition with most of the
+    rows is split over tasks, small ones share a task.
+    """
+    return df.hint("rebalance", *[F.col(name) for name in partition_by])
+
+
 def append_counted(df: DataFrame, table: str, partition_by: list[str] | None = None) -> int:
     """Appends and returns the number of rows written, counted by the write itself."""
     seen = Observation()

@@ -12,6 +12,8 @@ then unpacked once, and the sheet and row filters reach the scan.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ringledger.operators.joins import join_per_file
+
 
 def _on_range(sheet: str | None, skip: int) -> Column:
     on_sheet = F.col("sheet_index") == 0 if sheet is None else F.col("sheet") == sheet
@@ -51,16 +53,16 @@ def sheet_range_with_header(
     skip: int,
     names: list[str],
     empty_as_null: bool = False,
+    per_file: DataFrame | None = None,
 ) -> DataFrame:
     """Range whose first row names the columns: path, row and the columns in ``names``.
 
     Each file is read by its own header row, so the same column may sit elsewhere in
     another file. Where a file's header lacks a name, that column is NULL. Files without
-    a header row yield nothing.
+    a header row yield nothing. ``per_file``, one row per path, adds its columns.
 
-    The headers, one row of column indexes per file, are joined by path. Spark broadcasts
-    them while they are below its broadcast threshold; beyond it the join shuffles, and
-    as it is the last step the adaptive skew split cuts up a file that dwarfs the others.
+    The headers, one row of column indexes per file, meet the rows together with
+    ``per_file``, so the rows are joined once.
     """
     inside = rows.where(_on_range(sheet, skip))
     captions = F.filter(
@@ -75,11 +77,11 @@ def sheet_range_with_header(
     columns = [
         _cell(F.col(f"_at{i}"), empty_as_null).alias(name) for i, name in enumerate(names)
     ]
-    return (
-        inside.where(F.col("row") > skip)
-        .join(header, "path")
-        .select("path", "row", *columns)
-    )
+    if per_file is not None:
+        columns += [F.col(name) for name in per_file.columns if name != "path"]
+        header = header.join(per_file, "path", "left")
+    body = inside.where(F.col("row") > skip)
+    return join_per_file(body, header).select("path", "row", *columns)
 
 
 def first_cells(rows: DataFrame, **wanted: tuple[str | None, int, int]) -> DataFrame:

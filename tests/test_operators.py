@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ringledger.operators import numbering
+from ringledger.operators.joins import join_per_file
 from ringledger.operators.numbering import first_rows, number_batches, number_rows
 from ringledger.operators.period import (
     NO_STATE,
@@ -16,8 +17,10 @@ from ringledger.operators.period import (
     max_year,
     table_watermark,
 )
+from ringledger.plans.feeds import normalise_celcom_monthly, normalise_maxis_monthly
 from ringledger.plans.marts import employee_itemized_bill, employee_monthly_top
 from ringledger.schemas import (
+    CELCOM_HEADERS,
     EMPLOYEE_MASTER,
     ITEMIZED_BILL,
     MONTHLY_BILL_SUMMARY,
@@ -93,6 +96,12 @@ def test_row_numbers_match_a_sort(spark):
     ]
 
 
+def test_null_keys_are_the_first_rows(spark):
+    df = spark.createDataFrame([(None,), (3,), (1,), (None,), (2,)], "k int")
+    assert [r["k"] for r in first_rows(df, 3, "k").collect()] == [None, None, 1]
+    assert [r["k"] for r in first_rows(df, 2, "k").collect()] == [None, None]
+
+
 @pytest.mark.parametrize("n", [0, 1, 250, 1000, 5000])
 def test_first_rows(spark, n, monkeypatch):
     monkeypatch.setattr(numbering, "TOP_K_ROWS", 500)  # 1000 and more take the other way
@@ -170,14 +179,71 @@ def test_a_hot_number_is_split(spark, shuffled_joins, mart):
         for f in EMPLOYEE_MASTER
     ])
     joined = build(staff, bills)
-    joined.write.format("noop").mode("overwrite").save()
-    assert joined.count() == 60000
     rows = joined.collect()
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert len(rows) == 60000
     assert "SortMergeJoin(skew=true)" in plan
 
 
+def _sheets(spark, sheet, first, head, body):
+    """Sheet rows of 300 workbooks, one of which holds a third of all lines."""
+    path = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 299 + 1).cast("string")
+    lines = spark.range(0, 60000, 1, 16).select(
+        path.alias("path"), (first + F.col("id")).cast("int").alias("row"), body.alias("cells")
+    )
+    top = spark.range(300).select(
+        F.col("id").cast("string").alias("path"), F.explode(head).alias("head")
+    ).select("path", F.col("head.row").alias("row"), F.col("head.cells").alias("cells"))
+    return top.unionByName(lines).select(
+        "path", F.lit(sheet).alias("sheet"), F.lit(0).alias("sheet_index"), "row", "cells"
+    )
+
+
+def _head(row, **cells):
+    pairs = [F.lit(x) for col, value in cells.items() for x in (int(col[1:]), value)]
+    return F.struct(F.lit(row).alias("row"), F.create_map(*pairs).alias("cells"))
+
+
+def _body(**cells):
+    pairs = [x for col, value in cells.items() for x in (F.lit(int(col[1:])), value)]
+    return F.create_map(*pairs)
+
+
+def test_a_hot_workbook_is_split(spark, shuffled_joins):
+    number, text = F.lit("5"), F.concat(F.lit("(01)"), F.col("id"))
+    maxis = _sheets(
+        spark, "Account Summary", 6, F.array(_head(0, c3="05/01/2018 - 28/01/2018")),
+        _body(c1=text, c3=number, c4=number, c12=number),
+    )
+    names = {f"c{i}": name for i, name in enumerate(CELCOM_HEADERS, 1)}
+    celcom = _sheets(
+        spark, "Bill", 15, F.array(_head(4, c2="07 Jan 2018"), _head(14, **names)),
+        _body(c1=F.concat(F.lit("01-"), F.col("id")), **{f"c{i}": number for i in range(2, 10)}),
+    )
+    for bills in (normalise_maxis_monthly(maxis), normalise_celcom_monthly(celcom)):
+        rows = bills.collect()
+        assert len(rows) == 60000
+        assert {r["billing_month"] for r in rows} == {"January"}
+        joins = [
+            line for line in bills._jdf.queryExecution().executedPlan().toString().split("\n")
+            if "SortMergeJoin" in line and "path" in line
+        ]
+        rows_with_files = joins[0]  # the outermost join
+        assert "_share" in rows_with_files
+
+
+def test_a_hot_workbook_fills_no_partition(spark, shuffled_joins):
+    files = spark.range(300).select(F.col("id").cast("string").alias("path"))
+    path = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 299 + 1)
+    rows = spark.range(60000).select(
+        path.cast("string").alias("path"), F.col("id").cast("int").alias("row")
+    )
+    joined = join_per_file(rows, files.distinct())
+    held = joined.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in held) == 60000
+    assert max(r["count"] for r in held) < 60000 / 4
+
+
 def test_a_small_staff_list_is_broadcast(spark):
     staff = _typed(spark, EMPLOYEE_MASTER, [{"contact_number": 1}])
     bills = spark.range(10).select(*[
