@@ -133,8 +133,8 @@ def orc_append_roundtrip(inputs: Inputs) -> DataFrame:
     maxis = bills.where(F.col("operator") == "MAXIS")
     celcom = bills.where(F.col("operator") == "CELCOM")
     by_period = [period.YEAR, period.MONTH]
-    append_table(maxis, table, by_period, path=path)
-    append_table(celcom.select(*reversed(bills.columns)), table, by_period, path=path)
+    for part in (maxis, celcom.select(*reversed(bills.columns))):
+        append_table(part, table, by_period, rebalance=True, path=path)
     return spark.table(table).select(*bills.columns)
 
 

@@ -8,6 +8,9 @@ from ringledger.schemas import MONTHS
 # Two-digit years below this are 20xx, the others 19xx.
 CENTURY_TURN = "50"
 
+# Day numbers taken for dates: 1980-01-01 to 2099-12-31.
+SERIAL_DAYS = (29221, 73050)
+
 ACTIVITY_SLOT_MILLIS = 600_000
 
 
@@ -59,6 +62,13 @@ def worded_date(text: Column) -> Column:
     return F.coalesce(F.try_to_date(day, "d MMM yyyy"), F.try_to_date(day, "d MMMM yyyy"))
 
 
+def serial_date(text: Column) -> Column:
+    """Date of a date cell, which a workbook stores as days since 1899-12-30."""
+    days = text.try_cast("int")
+    plausible = days.between(*SERIAL_DAYS)
+    return F.when(plausible, F.date_add(F.lit("1899-12-30").cast("date"), days))
+
+
 def file_year(name: Column) -> Column:
     """Year from a file name starting ``yyyyMM``."""
     return F.substring(name, 1, 4).try_cast("int")

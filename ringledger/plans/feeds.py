@@ -87,7 +87,8 @@ def maxis_statement(rows: DataFrame) -> DataFrame:
     A workbook that lacks the invoice or date cell keeps its row, with NULL there.
     """
     cells = first_cells(rows, _date=MAXIS_DATE_CELL, _account=MAXIS_ACCOUNT_CELL)
-    day = dates.statement_date(F.col("_date"))
+    cell = F.col("_date")
+    day = F.coalesce(dates.statement_date(cell), dates.serial_date(cell))
     return cells.select(
         "path",
         text.account_number(F.col("_account")).try_cast("long").alias("account_number"),
@@ -98,7 +99,8 @@ def maxis_statement(rows: DataFrame) -> DataFrame:
 
 def celcom_statement(rows: DataFrame) -> DataFrame:
     """One row per CELCOM workbook: path, billing_month, billing_year."""
-    day = dates.worded_date(F.col("_date"))
+    cell = F.col("_date")
+    day = F.coalesce(dates.worded_date(cell), dates.serial_date(cell))
     return first_cells(rows, _date=CELCOM_DATE_CELL).select(
         "path",
         dates.month_name(F.month(day)).alias("billing_month"),

@@ -59,6 +59,7 @@ GOLDEN = [
         "05 May 2018": D(2018, 5, 5), "5 Jan 2018": D(2018, 1, 5),
         "05 January 2018": D(2018, 1, 5), "May": None, None: None,
     }),
+    (dates.serial_date, {"43227": D(2018, 5, 7), "2018": None, "x": None, None: None}),
     (dates.file_year, {"201805_bill.csv": 2018, "bill.csv": None, None: None}),
     (dates.file_month, {
         "201805_bill.csv": "May", "201813_b.csv": None, "201800_b.csv": None, "x": None,

@@ -48,7 +48,7 @@ def _maxis(root, month, numbers):
 
 def _celcom(root, month, numbers):
     write_workbook(root / CELCOM_MONTHLY_FOLDER / f"c{month}.xlsx", {"Bill": {
-        4: {2: f"07 {month} 2018"},
+        4: {2: month if isinstance(month, int) else f"07 {month} 2018"},
         14: row_of(3, CELCOM_HEADERS),
         **{15 + i: row_of(3, [f"013-{n}", 77, 78, 100, 20, 5, 1, -2, 24])
            for i, n in enumerate(numbers)},
@@ -93,7 +93,7 @@ def test_refresh_takes_each_file_once_and_adds_new_periods(spark, tmp_path):
 
     refresh(*args)  # nothing new
     _itemized(source, "201802_a.csv", [2222222])
-    _celcom(source, "Feb", [2222222, 1111111])
+    _celcom(source, 43138, [2222222, 1111111])  # a date cell: 2018-02-07
     refresh(*args)
     assert table("employee_master").count() == 2
     assert table("itemized_bill").count() == 4
