@@ -166,11 +166,12 @@ SELECT o_custkey AS phone_number,
   CASE WHEN l_orderkey % 2 = 0 THEN 'MAXIS' ELSE 'CELCOM' END AS operator
 FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey"""
 
-_MONTHLY_ROW = f"""
+def _monthly(account: str) -> str:
+    return f"""
 SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'MAXIS' ELSE 'CELCOM' END AS operator,
   o_custkey AS phone_number,
   '0' || CAST(10 + o_custkey % 10 AS STRING) AS STD_code,
-  CAST(o_orderkey % 1000 AS BIGINT) AS account_number,
+  CAST({account} AS BIGINT) AS account_number,
   CAST(NULL AS BIGINT) AS employee_account_number,
   CAST(NULL AS DOUBLE) AS credit_limit,
   CAST(o_orderkey % 300 AS DOUBLE) AS base_charges,
@@ -184,10 +185,14 @@ SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'MAXIS' ELSE 'CELCOM' END AS operator,
   {_ORDER_YEAR} AS billing_year
 FROM {{orders}}"""
 
-# Typed monthly bills, one per order; every tenth bill was delivered twice.
-MONTHLY = f"{_MONTHLY_ROW} UNION ALL {_MONTHLY_ROW} WHERE o_orderkey % 10 = 0"
+# Typed monthly bills, each order billed twice: under two accounts, or as a plain copy.
+MONTHLY = (
+    _monthly("o_orderkey % 1000")
+    + " UNION ALL "
+    + _monthly("CASE WHEN o_orderkey % 10 = 0 THEN 0 ELSE 1000 END + o_orderkey % 1000")
+)
 
-# Cell texts of MAXIS bill lines: one workbook per month, one line per even order. Some
+# Cell texts of MAXIS bill lines: one workbook per month, one line per order. Some
 # lines are captions (no third cell) or subtotals (text in the base column).
 MAXIS_LINES = f"""
 SELECT 'maxis/' || {_FILE_MONTH} || '.xlsx' AS path,
@@ -201,7 +206,7 @@ SELECT 'maxis/' || {_FILE_MONTH} || '.xlsx' AS path,
   '0' AS other,
   '-' || CAST(o_orderkey % 10 AS STRING) || '.75' AS discount,
   {_money('o_totalprice + 1')} AS total
-FROM {{orders}} WHERE o_orderkey % 2 = 0"""
+FROM {{orders}}"""
 
 # Statement cells of the MAXIS workbooks.
 MAXIS_STATEMENTS = f"""
@@ -210,10 +215,10 @@ SELECT 'maxis/' || {_FILE_MONTH} || '.xlsx' AS path,
     || {_two(_ORDER_MONTH)} || '/' || CAST({_ORDER_YEAR} AS STRING) AS period_text,
   'No ' || CAST(100000000 + {_ORDER_YEAR} * 100 + {_ORDER_MONTH} AS STRING) || ' / 1'
     AS account_text
-FROM {{orders}} WHERE o_orderkey % 2 = 0
+FROM {{orders}}
 GROUP BY {_ORDER_YEAR}, {_ORDER_MONTH}"""
 
-# Cell texts of CELCOM bill lines: one workbook per month, one line per odd order. Some
+# Cell texts of CELCOM bill lines: one workbook per month, one line per order. Some
 # lines are footers without an account or a limit.
 CELCOM_LINES = f"""
 SELECT 'celcom/' || {_FILE_MONTH} || '.xlsx' AS path,
@@ -231,14 +236,14 @@ SELECT 'celcom/' || {_FILE_MONTH} || '.xlsx' AS path,
   CASE WHEN o_orderkey % 7 = 0 THEN '1,200.50' ELSE '3' END AS one_time,
   '-' || CAST(o_orderkey % 10 AS STRING) || '.75' AS discount,
   {_money('o_totalprice + 2')} AS total
-FROM {{orders}} WHERE o_orderkey % 2 = 1"""
+FROM {{orders}}"""
 
 CELCOM_STATEMENTS = f"""
 SELECT 'celcom/' || {_FILE_MONTH} || '.xlsx' AS path,
   {_ORDER_MONTH} AS month_number,
   '07 ' || substr({_month_name(_ORDER_MONTH)}, 1, 3) || ' ' || CAST({_ORDER_YEAR} AS STRING)
     AS date_text
-FROM {{orders}} WHERE o_orderkey % 2 = 1
+FROM {{orders}}
 GROUP BY {_ORDER_YEAR}, {_ORDER_MONTH}"""
 
 # Cell texts of the staff list: one workbook per region, one line per customer.

@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,12 +14,15 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     used instead.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        root = tempfile.mkdtemp(prefix="ringledger-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = root or _local_folder(spark.sparkContext.applicationId)
     return f"{root.rstrip('/')}/ringledger/{purpose}-{uuid.uuid4().hex}"
 
 
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"ringledger-{application}-")
+
+
 def staged(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
     """``df`` written as Parquet and read back.
 

@@ -1,5 +1,8 @@
 """Relational tables over JDBC and the mapping of their column types."""
 
+from datetime import date
+from itertools import pairwise
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -14,15 +17,24 @@ def read_table(
     properties: dict[str, str],
     key: str | None = None,
     partitions: int | None = None,
+    even: bool = False,
 ) -> DataFrame:
     """Whole table over JDBC.
 
-    With a numeric or date ``key`` the read is split into ``partitions`` key ranges that
-    executors fetch side by side; the bounds come from one min/max query run by the
-    source. Without one the whole table comes through a single connection.
+    With a numeric, date or timestamp ``key`` the read is split into ``partitions`` key
+    ranges that executors fetch side by side, of equal width between the lowest and the
+    highest key. Where keys cluster, ``even`` asks the source for ranges of equal row
+    counts instead, which costs it one ordered pass over the key. Without a key the whole
+    table comes through a single connection.
     """
     if key is None:
         return spark.read.jdbc(url, table, properties=properties)
+    partitions = partitions or spark.sparkContext.defaultParallelism
+    if even:
+        query = starts_query(table, key, partitions)
+        rows = spark.read.jdbc(url, query, properties=properties).collect()
+        predicates = range_predicates(key, [row["start"] for row in rows])
+        return spark.read.jdbc(url, table, predicates=predicates, properties=properties)
     bounds = spark.read.jdbc(url, bounds_query(table, key), properties=properties).first()
     if bounds["lo"] is None:
         return spark.read.jdbc(url, table, properties=properties)
@@ -32,7 +44,7 @@ def read_table(
         column=key,
         lowerBound=bounds["lo"],
         upperBound=bounds["hi"],
-        numPartitions=partitions or spark.sparkContext.defaultParallelism,
+        numPartitions=partitions,
         properties=properties,
     )
 
@@ -42,6 +54,26 @@ def bounds_query(table: str, key: str) -> str:
     return f"(SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {table}) bounds"
 
 
+def starts_query(table: str, key: str, partitions: int) -> str:
+    """Source-side subquery giving the lowest key of each of ``partitions`` equal parts."""
+    parts = f"SELECT {key} AS k, NTILE({partitions}) OVER (ORDER BY {key}) AS part FROM {table}"
+    return f"(SELECT MIN(k) AS start FROM ({parts}) parts GROUP BY part) starts"
+
+
+def range_predicates(key: str, starts: list) -> list[str]:
+    """Conditions that together take every row once, NULL keys with the first range."""
+    cuts = sorted({start for start in starts if start is not None})[1:]
+    if not cuts:
+        return ["1 = 1"]
+    texts = [_literal(cut) for cut in cuts]
+    inner = [f"{key} >= {low} AND {key} < {high}" for low, high in pairwise(texts)]
+    return [f"{key} < {texts[0]} OR {key} IS NULL", *inner, f"{key} >= {texts[-1]}"]
+
+
+def _literal(value: object) -> str:
+    return f"'{value}'" if isinstance(value, date | str) else str(value)
+
+
 def columns_query(database: str, table: str) -> str:
     """Source-side subquery listing a table's columns as Field, Type and Null."""
     return (

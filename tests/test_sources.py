@@ -1,5 +1,7 @@
 """Readers: CSV and TSV files, workbooks and sheet ranges, relational tables."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql.types import DoubleType, LongType, StringType, TimestampType
 
@@ -10,7 +12,9 @@ from ringledger.sources.relational import (
     bounds_query,
     columns_query,
     map_schema,
+    range_predicates,
     read_table,
+    starts_query,
     target_schema,
 )
 from ringledger.sources.sheets import first_cells, sheet_range, sheet_range_with_header
@@ -140,6 +144,9 @@ class _Reader:
     def first(self):
         return self.bounds
 
+    def collect(self):
+        return self.bounds
+
 
 class _Session:
     def __init__(self, bounds):
@@ -157,10 +164,26 @@ def test_table_read_is_split_by_key():
 
 def test_empty_table_and_keyless_read_use_one_connection():
     session = _Session({"lo": None, "hi": None})
-    read_table(session, "jdbc:x", "bills", {}, key="id")
+    read_table(session, "jdbc:x", "bills", {}, key="id", partitions=4)
     read_table(session, "jdbc:x", "bills", {})
     assert [set(options) for _, options in session.read.calls[1:]] == [{"properties"}] * 2
 
 
+def test_even_ranges_take_every_row_once(spark):
+    session = _Session([{"start": n} for n in (40, 1, 10, 10)])
+    read_table(session, "jdbc:x", "bills", {}, key="id", partitions=4, even=True)
+    (starts, _), (_, options) = session.read.calls
+    assert starts == starts_query("bills", "id", 4)
+    predicates = options["predicates"]
+    assert predicates == ["id < 10 OR id IS NULL", "id >= 10 AND id < 40", "id >= 40"]
+    keys = [None, -5, 1, 9, 10, 10, 39, 40, 900]
+    df = spark.createDataFrame([(k,) for k in keys], "id int")
+    taken = [r["id"] for p in predicates for r in df.where(p).collect()]
+    assert sorted(taken, key=str) == sorted(keys, key=str)
+    assert range_predicates("id", []) == range_predicates("id", [None, 3]) == ["1 = 1"]
+    days = [dt.date(2018, 1, 1), dt.date(2018, 2, 1)]
+    assert range_predicates("day", days)[-1] == "day >= '2018-02-01'"
+
+
 def test_columns_query_names_the_table():
     assert "table_name = 'bills'" in columns_query("shop", "bills")
