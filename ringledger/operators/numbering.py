@@ -5,8 +5,12 @@ from pyspark.sql import functions as F
 
 from ringledger.operators.staging import staged
 
-# Up to this many rows a first-n is worth a top-k; beyond it rows are numbered.
-TOP_K_ROWS = 10_000
+# Up to this many rows a first-n is a top-k; beyond it keys are numbered. Spark drops rows
+# of a ranking before the shuffle up to the same number by default.
+TOP_K_ROWS = 1000
+
+# Groups of tasks whose top-k rows are merged side by side.
+TOP_K_GROUPS = 1000
 
 
 def number_rows(df: DataFrame, *order_by: str, name: str = "row_number") -> DataFrame:
@@ -49,15 +53,36 @@ def number_batches(df: DataFrame, size: int, *order_by: str) -> DataFrame:
 def first_rows(df: DataFrame, n: int, key: str) -> DataFrame:
     """The ``n`` rows with the lowest key, NULL lowest; all rows for 0.
 
-    A small n first finds the cut-off from the key column alone; the cut-off then reaches
-    the scan as a plain filter, so only the wanted rows are read in full.
+    The n-th key is found from the key column alone and then reaches the scan as a plain
+    filter, so only the wanted rows are read in full. Meant for a key without many
+    copies; rows that share the n-th key are cut exactly, at the cost of sorting them.
     """
     if n == 0:
         return df
-    if n > TOP_K_ROWS:
-        return number_rows(df, key, name="_row").where(F.col("_row") <= n).drop("_row")
-    lowest = df.select(key).orderBy(key).limit(n)
+    if n <= TOP_K_ROWS:
+        kept = _up_to(df, key, _lowest(df.select(key), n, key))
+        return kept.orderBy(key).limit(n)
+    numbered = number_rows(df.select(key), key, name="_row")
+    kept = _up_to(df, key, numbered.where(F.col("_row") <= n))
+    if kept.count() > n:
+        kept = number_rows(kept, key, name="_row").where(F.col("_row") <= n).drop("_row")
+    return kept
+
+
+def _lowest(keys: DataFrame, n: int, key: str) -> DataFrame:
+    """The ``n`` lowest keys, merged in two steps so that no task gets them from all others.
+
+    Each task keeps its n lowest, a group of tasks the n lowest of theirs, and only what
+    the groups keep meets in one task.
+    """
+    group = F.pmod(F.spark_partition_id(), F.lit(TOP_K_GROUPS)).alias("_group")
+    rank = F.row_number().over(Window.partitionBy("_group").orderBy(key))
+    ranked = keys.select(key, group).withColumn("_rank", rank)
+    return ranked.where(F.col("_rank") <= n).select(key).orderBy(key).limit(n)
+
+
+def _up_to(df: DataFrame, key: str, lowest: DataFrame) -> DataFrame:
+    """Rows whose key is not above the highest of ``lowest``."""
     cutoff = lowest.agg(F.max(key)).first()[0]
-    low = F.col(key).isNull() | (F.col(key) <= cutoff)  # NULL keys come first
-    kept = df if cutoff is None else df.where(low)
-    return kept.orderBy(key).limit(n)
+    low = F.col(key).isNull()
+    return df.where(low if cutoff is None else low | (F.col(key) <= cutoff))

@@ -102,6 +102,21 @@ def test_null_keys_are_the_first_rows(spark):
     assert [r["k"] for r in first_rows(df, 2, "k").collect()] == [None, None]
 
 
+@pytest.mark.parametrize("n", [2, 600])
+def test_first_rows_cut_ties_exactly(spark, n, monkeypatch):
+    monkeypatch.setattr(numbering, "TOP_K_ROWS", 500)
+    df = spark.range(1500).select((F.col("id") % 3).alias("k"), "id").repartition(7)
+    found = first_rows(df, n, "k").collect()
+    assert [r["k"] for r in sorted(found)] == [0] * min(n, 500) + [1] * max(0, n - 500)
+    assert len({r["id"] for r in found}) == n
+
+
+def test_lowest_keys_are_dropped_before_the_shuffle(spark):
+    lowest = numbering._lowest(spark.range(0, 10000, 1, 8), 1000, "id")
+    plan = lowest._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan.split("Exchange hashpartitioning(_group")[1]
+
+
 @pytest.mark.parametrize("n", [0, 1, 250, 1000, 5000])
 def test_first_rows(spark, n, monkeypatch):
     monkeypatch.setattr(numbering, "TOP_K_ROWS", 500)  # 1000 and more take the other way
