@@ -8,7 +8,7 @@ from pyspark.sql.types import StructField, StructType
 
 from ringledger.checks import raw
 from ringledger.checks.inputs import Inputs
-from ringledger.functions import dates, text
+from ringledger.functions import casts, dates, text
 from ringledger.operators import period
 from ringledger.operators.numbering import number_batches
 from ringledger.operators.period import NO_STATE, Period
@@ -208,7 +208,7 @@ def filter_not_null_all(inputs: Inputs) -> DataFrame:
 @query
 def filter_castable(inputs: Inputs) -> DataFrame:
     lines = feeds.maxis_bill_lines(inputs.maxis_sheets())
-    return lines.select("path", "row", F.col("_c3").try_cast("double").alias("base_charges"))
+    return lines.select("path", "row", casts.real(F.col("_c3")).alias("base_charges"))
 
 
 @query
@@ -311,9 +311,9 @@ def fn_month_name(inputs: Inputs) -> DataFrame:
 def fn_try_cast(inputs: Inputs) -> DataFrame:
     return inputs.raw(raw.NUMBERS).select(
         "o_orderkey",
-        F.col("whole").try_cast("long").alias("as_long"),
-        F.col("whole").try_cast("int").alias("as_int"),
-        F.col("money").try_cast("double").alias("as_double"),
+        casts.whole(F.col("whole")).alias("as_long"),
+        casts.whole(F.col("whole"), "int").alias("as_int"),
+        casts.real(F.col("money")).alias("as_double"),
         F.col("day").try_cast("date").alias("as_date"),
     )
 

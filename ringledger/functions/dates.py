@@ -3,6 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ringledger.functions.casts import whole
 from ringledger.schemas import MONTHS
 
 # Two-digit years below this are 20xx, the others 19xx.
@@ -64,19 +65,19 @@ def worded_date(text: Column) -> Column:
 
 def serial_date(text: Column) -> Column:
     """Date of a date cell, which a workbook stores as days since 1899-12-30."""
-    days = text.try_cast("int")
+    days = whole(text, "int")
     plausible = days.between(*SERIAL_DAYS)
     return F.when(plausible, F.date_add(F.lit("1899-12-30").cast("date"), days))
 
 
 def file_year(name: Column) -> Column:
     """Year from a file name starting ``yyyyMM``."""
-    return F.substring(name, 1, 4).try_cast("int")
+    return whole(F.substring(name, 1, 4), "int")
 
 
 def file_month(name: Column) -> Column:
     """Month name from a file name starting ``yyyyMM``; NULL when the month is none."""
-    return month_name(F.substring(name, 5, 2).try_cast("int"))
+    return month_name(whole(F.substring(name, 5, 2), "int"))
 
 
 def epoch_to_time(millis: Column) -> Column:

@@ -11,6 +11,8 @@ second piece.
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ringledger.functions.casts import whole
+
 
 def _has_brackets(text: Column) -> Column:
     return text.contains("(") & text.contains(")")
@@ -87,7 +89,7 @@ def std_code(text: Column) -> Column:
 def contact_number(text: Column) -> Column:
     """All digits behind the first hyphen as a LONG, comparable with a bill's phone number."""
     digits = F.when(text.contains("-"), digits_only(_after_first(text, "-")))
-    return digits.try_cast("long")
+    return whole(digits)
 
 
 def strip_brackets(text: Column) -> Column:

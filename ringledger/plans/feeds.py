@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ringledger.functions import dates, text
+from ringledger.functions import casts, dates, text
 from ringledger.operators.joins import join_per_file
 from ringledger.schemas import (
     CELCOM,
@@ -40,7 +40,7 @@ PLACEHOLDER_NUMBERS = ["null", "NEW"]
 
 
 def _laid_out(df: DataFrame, schema: StructType, columns: dict[str, Column]) -> DataFrame:
-    """Selects the schema's columns, text that does not fit its type becoming NULL."""
+    """Selects the schema's columns in its order and types."""
     return df.select(*[
         columns[field.name].try_cast(field.dataType).alias(field.name) for field in schema
     ])
@@ -56,7 +56,7 @@ def normalise_itemized(raw: DataFrame, operator: str = MAXIS) -> DataFrame:
         text.range_end(F.col("Date")).alias("_end"),
     )
     return _laid_out(ends, ITEMIZED_BILL, {
-        "phone_number": text.bracket_tail(number),
+        "phone_number": casts.whole(text.bracket_tail(number)),
         "STD_code": text.bracket_code(number),
         "start_date": dates.short_date(F.col("_start")),
         "end_date": dates.short_date(F.col("_end")),
@@ -66,14 +66,14 @@ def normalise_itemized(raw: DataFrame, operator: str = MAXIS) -> DataFrame:
         "called_network": F.col("To"),
         "roaming_operator": F.col("Operator"),
         "incoming_number": F.col("PhoneNumber"),
-        "outgoing_number": text.digits_only(F.col("NumberCalled")),
-        "quantity": F.col("Quantity"),
+        "outgoing_number": casts.whole(text.digits_only(F.col("NumberCalled"))),
+        "quantity": casts.whole(F.col("Quantity"), "int"),
         "size": F.col("Size"),
         "duration": F.col("Duration"),
         "period": text.null_if_hyphen(F.col("Period")),
-        "gross_amount": F.col("GrossAmount"),
-        "discount": F.col("Discount"),
-        "total": F.col("Total"),
+        "gross_amount": casts.real(F.col("GrossAmount")),
+        "discount": casts.real(F.col("Discount")),
+        "total": casts.real(F.col("Total")),
         "charges_type": F.col("Call Type"),
         "billing_month": dates.file_month(F.col("file_name")),
         "billing_year": dates.file_year(F.col("file_name")),
@@ -115,7 +115,7 @@ def maxis_bill_lines(rows: DataFrame) -> DataFrame:
         F.col("_c2").isNotNull()
         & F.col("_c3").isNotNull()
         & F.col("_c11").isNotNull()
-        & F.col("_c3").try_cast("double").isNotNull()
+        & casts.is_real(F.col("_c3"))
     )
 
 
@@ -132,17 +132,17 @@ def normalise_maxis_monthly(rows: DataFrame) -> DataFrame:
     lines = with_statement(maxis_bill_lines(rows), maxis_statement(rows))
     return _laid_out(lines, MONTHLY_BILL_SUMMARY, {
         "operator": F.lit(MAXIS),
-        "phone_number": text.bracket_tail_strict(F.col("_c0")),
+        "phone_number": casts.whole(text.bracket_tail_strict(F.col("_c0"))),
         "STD_code": text.bracket_code(F.col("_c0")),
         "account_number": F.col("account_number"),
         "employee_account_number": F.lit(None),
         "credit_limit": F.lit(None),
-        "base_charges": F.col("_c3"),
-        "value_added_service": F.col("_c4"),
-        "usage_charges": F.col("_c5"),
-        "other_charges": F.col("_c6"),
-        "discount": F.col("_c7"),
-        "total": F.col("_c11"),
+        "base_charges": casts.real(F.col("_c3")),
+        "value_added_service": casts.real(F.col("_c4")),
+        "usage_charges": casts.real(F.col("_c5")),
+        "other_charges": casts.real(F.col("_c6")),
+        "discount": casts.real(F.col("_c7")),
+        "total": casts.real(F.col("_c11")),
         "billing_month": F.col("billing_month"),
         "billing_year": F.col("billing_year"),
     })
@@ -162,17 +162,17 @@ def normalise_celcom_monthly(
     number = F.col("Mobile No")
     return _laid_out(lines, MONTHLY_BILL_SUMMARY, {
         "operator": F.lit(CELCOM),
-        "phone_number": text.hyphen_tail(number, number_width),
+        "phone_number": casts.whole(text.hyphen_tail(number, number_width)),
         "STD_code": text.hyphen_code(number),
-        "account_number": F.col("Account No"),
-        "employee_account_number": F.col("Child Account No"),
-        "credit_limit": F.col("Credit Limit"),
-        "base_charges": F.col("Monthly Charges"),
+        "account_number": casts.whole(F.col("Account No")),
+        "employee_account_number": casts.whole(F.col("Child Account No")),
+        "credit_limit": casts.real(F.col("Credit Limit")),
+        "base_charges": casts.real(F.col("Monthly Charges")),
         "value_added_service": F.lit(float("nan") if missing_as_nan else None),
-        "usage_charges": F.col("Usage Call/Charges"),
-        "other_charges": F.col("One Time Charges"),
-        "discount": F.col("Discount and Rebates"),
-        "total": F.col("Current Charges (Excl Tax)"),
+        "usage_charges": casts.real(F.col("Usage Call/Charges")),
+        "other_charges": casts.real(F.col("One Time Charges")),
+        "discount": casts.real(F.col("Discount and Rebates")),
+        "total": casts.real(F.col("Current Charges (Excl Tax)")),
         "billing_month": F.col("billing_month"),
         "billing_year": F.col("billing_year"),
     })

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ringledger.functions import dates, text
+from ringledger.functions import casts, dates, text
 from ringledger.schemas import MONTHS
 
 D = dt.date
@@ -118,13 +118,37 @@ PROPERTY = settings(
 DIRTY = st.lists(st.text("0123456789()-/ .,ax", max_size=12), min_size=20, max_size=40)
 
 
+ODD_NUMBERS = [
+    "7", " 7 ", "\t7\n", "+3", "-3", "--3", "12.5", "5.", ".5", ".", "1,200.50", "", " ", "1 2",
+    "1e5", "1E-5", "e5", "1.5d", "1.5F", "inf", "-Infinity", "NaN", "nan", "0x1", "n/a",
+    "99999999999", "99999999999999999999", None,
+]
+
+
+def _same(found, wanted):
+    return [str(v) for v in found] == [str(v) for v in wanted]
+
+
+@PROPERTY
+@given(values=st.lists(st.text("0123456789+-. eE,n/a", max_size=8), min_size=1, max_size=40))
+def test_numbers_are_those_of_try_cast(values, column):
+    values = ODD_NUMBERS + values
+    for kind in ("long", "int"):
+        wanted = column(lambda c: c.try_cast(kind), values)
+        assert _same(column(lambda c: casts.whole(c, kind), values), wanted)
+    wanted = column(lambda c: c.try_cast("double"), values)
+    assert _same(column(casts.real, values), wanted)
+    known = [None if v is None else w is not None for v, w in zip(values, wanted)]
+    assert column(casts.is_real, values) == known
+
+
 @PROPERTY
 @given(values=DIRTY)
 def test_dirty_text_never_fails(values, column):
     for function in [
         text.bracket_code, text.bracket_tail, text.range_end, text.hyphen_tail,
         text.contact_number, dates.short_date, dates.statement_date, dates.file_month,
-        lambda c: c.try_cast("long"), lambda c: c.try_cast("double"),
+        casts.whole, casts.real,
     ]:
         assert len(column(function, values)) == len(values)
 
