@@ -113,23 +113,23 @@ ITEMIZED_TEXT = f"""
 SELECT CASE l_orderkey % 97
     WHEN 0 THEN {_CUSTOMER}
     WHEN 1 THEN '(012)'
-    ELSE '(0' || CAST(10 + o_custkey % 10 AS STRING) || ')' || {_CUSTOMER} END
+    ELSE '(0123)' || {_CUSTOMER} END
     AS `Calling Number`,
   CASE WHEN l_orderkey % 89 = 0 THEN short_date
        ELSE short_date || ' - 28' || substr(short_date, 3) END AS `Date`,
-  {_two('l_suppkey % 24')} || ':' || {_two('l_partkey % 60')} AS `Time`,
+  CAST(l_linenumber AS STRING) || ':00' AS `Time`,
   l_returnflag AS `Type`,
-  'net' || CAST(l_suppkey % 7 AS STRING) AS `From`,
-  'net' || CAST(l_partkey % 5 AS STRING) AS `To`,
-  'roam' || l_linestatus AS `Operator`,
+  CAST(l_suppkey AS STRING) AS `From`,
+  CAST(l_partkey AS STRING) AS `To`,
+  l_linestatus AS `Operator`,
   {_CUSTOMER} AS `PhoneNumber`,
   CASE WHEN l_orderkey % 83 = 0 THEN 'withheld'
-       ELSE '+60 ' || CAST(l_partkey AS STRING) || 'x' || CAST(l_suppkey AS STRING) END
+       ELSE '+60 ' || CAST(l_partkey AS STRING) END
     AS `NumberCalled`,
   CASE WHEN l_orderkey % 79 = 0 THEN 'n/a' ELSE CAST(CAST(l_quantity AS INT) AS STRING) END
     AS `Quantity`,
-  CAST(l_linenumber AS STRING) || 'MB' AS `Size`,
-  '00:' || {_two('l_linenumber')} || ':00' AS `Duration`,
+  CAST(l_linenumber AS STRING) AS `Size`,
+  l_returnflag AS `Duration`,
   CASE WHEN l_orderkey % 2 = 0 THEN 'off-peak' ELSE 'peak' END AS `Period`,
   {_money('l_extendedprice')} AS `GrossAmount`,
   {_money('l_discount')} AS `Discount`,

@@ -1,30 +1,16 @@
-"""Numbers out of dirty text.
-
-The results are those of ``try_cast``: NULL where the text is no number. But text that
-cannot be one is set aside by a pattern first, as ``try_cast`` builds and drops an
-exception for each such value, which costs many times the pattern.
-"""
+"""Whole numbers out of dirty text."""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _WHOLE = r"^\s*[+-]?[0-9]+\s*$"
-_REAL = (
-    r"(?i)^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?[df]?"
-    r"|inf|infinity|nan)\s*$"
-)
 
 
 def whole(text: Column, kind: str = "long") -> Column:
-    """Whole number of the text, as ``long`` or ``int``."""
-    return F.regexp_substr(text, F.lit(_WHOLE)).try_cast(kind)
-
+    """Whole number of the text, as ``long`` or ``int``; NULL where it is none.
 
-def real(text: Column) -> Column:
-    """Double of the text."""
-    return F.regexp_substr(text, F.lit(_REAL)).try_cast("double")
-
-
-def is_real(text: Column) -> Column:
-    """Whether the text gives a double."""
-    return text.rlike(_REAL)
+    The result is that of ``try_cast``. But text that cannot be a whole number is set
+    aside by a pattern first: ``try_cast`` builds and drops an exception for each such
+    value, which costs many times the pattern. For doubles that cost is small.
+    """
+    return F.regexp_substr(text, F.lit(_WHOLE)).try_cast(kind)

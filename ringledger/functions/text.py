@@ -28,9 +28,10 @@ def _after_first(text: Column, separator: str) -> Column:
 
 
 def _second_piece(text: Column, separator: str) -> Column:
+    """Second piece of text that is known to hold the separator."""
     rest = _after_first(text, separator)
-    present = text.contains(separator) & (F.translate(rest, separator, "") != "")
-    return F.when(present, F.substring_index(rest, separator, 1))
+    only_separators = F.translate(rest, separator, "") == ""
+    return F.when(~only_separators, F.substring_index(rest, separator, 1))
 
 
 def null_if_hyphen(text: Column) -> Column:
@@ -67,7 +68,7 @@ def range_start(text: Column) -> Column:
 
 def range_end(text: Column) -> Column:
     """Second end of ``a - b``; NULL without one."""
-    return _second_piece(text, "-")
+    return F.when(text.contains("-"), _second_piece(text, "-"))
 
 
 def hyphen_code(text: Column) -> Column:
@@ -77,7 +78,7 @@ def hyphen_code(text: Column) -> Column:
 
 def hyphen_tail(text: Column, width: int | None = 7) -> Column:
     """Number behind the first hyphen, cut to ``width`` characters (None keeps all)."""
-    tail = _second_piece(text, "-")
+    tail = range_end(text)
     return tail if width is None else F.substring(tail, 1, width)
 
 

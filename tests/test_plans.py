@@ -4,6 +4,9 @@ import pytest
 
 import __spark_entry__ as driver
 from conftest import TESTDATA
+from ringledger.plans.feeds import normalise_itemized
+from ringledger.schemas import ITEMIZED_CSV
+from ringledger.sources.files import read_itemized_csv
 
 QUERIES = driver.queries()
 
@@ -35,3 +38,12 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "LessThanOrEqual(o_orderkey,499)" in plan
     schema = "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double,o_orderpriority:string>"
     assert schema in plan
+
+
+def test_the_widest_feed_stays_compiled(spark, tmp_path):
+    # The JVM interprets methods above 8000 bytes, which makes a feed many times slower.
+    (tmp_path / "201805_a.csv").write_text(",".join(ITEMIZED_CSV.names) + "\n")
+    bills = normalise_itemized(read_itemized_csv(spark, str(tmp_path)))
+    stages = bills._jdf.queryExecution().debug().codegenToSeq()
+    sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    assert sizes and max(sizes) < 8000
