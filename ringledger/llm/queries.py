@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringledger.llm import quality_rules, simhash
+from ringledger.llm import decontamination, quality_rules, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,9 +27,25 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+    n_hit = F.aggregate(
+        "spans", F.lit(0).cast("long"), lambda acc, span: acc + span["last"] - span["first"] + 1
+    )
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op6_quality_rules": op6_quality_rules,
+    "op8_decontamination": op8_decontamination,
 }
 
 ORACLE: dict[str, str] = {}
