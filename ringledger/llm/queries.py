@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringledger.llm import decontamination, quality_rules, simhash
+from ringledger.llm import chat_format, decontamination, mixing, quality_rules, simhash, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,32 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.perspectives(_table(spark, sf_dir, "conversations"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(_table(spark, sf_dir, "documents")).select(
+        "row.doc_id", "source", "language", "topic", "n_tokens",
+        F.round("probability", 6).alias("probability"),
+    )
+
+
+URL_RULES = (
+    ("com/", "allow"),
+    ("example.com/en/", "block"),
+    ("www.example.com/en/", "allow"),
+    ("net/es/", "block"),
+    ("net/fr/", "block"),
+)
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_filter(_table(spark, sf_dir, "pages"), URL_RULES).select(
+        "row.page_id", "host", "path", "rule", "verdict"
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return quality_rules.quality_rules(docs, _table(spark, sf_dir, "labels")).select(
@@ -44,8 +70,15 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_chat_format": op2_chat_format,
+    "op4_mixing": op4_mixing,
+    "op5_url_filter": op5_url_filter,
     "op6_quality_rules": op6_quality_rules,
     "op8_decontamination": op8_decontamination,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_chat_format": chat_format.ORACLE,
+    "op4_mixing": mixing.oracle(),
+    "op5_url_filter": url_filter.oracle(URL_RULES),
+}
