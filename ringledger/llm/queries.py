@@ -5,7 +5,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringledger.llm import chat_format, decontamination, mixing, quality_rules, simhash, url_filter
+from ringledger.llm import (
+    chat_format,
+    decontamination,
+    mixing,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+    url_filter,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +76,11 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.removals(_table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_chat_format": op2_chat_format,
@@ -75,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_url_filter": op5_url_filter,
     "op6_quality_rules": op6_quality_rules,
     "op8_decontamination": op8_decontamination,
+    "op9_suffix_dedup": op9_suffix_dedup,
 }
 
 ORACLE: dict[str, str] = {
