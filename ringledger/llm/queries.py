@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ringledger.llm import (
     chat_format,
     decontamination,
+    license_scan,
     mixing,
     quality_rules,
     simhash,
@@ -31,6 +32,12 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.perspectives(_table(spark, sf_dir, "conversations"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(_table(spark, sf_dir, "documents")).withColumnRenamed(
+        "id", "doc_id"
+    )
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_table(spark, sf_dir, "documents")).select(
         "row.doc_id", "source", "language", "topic", "n_tokens",
@@ -84,6 +91,7 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_chat_format": op2_chat_format,
+    "op3_license_scan": op3_license_scan,
     "op4_mixing": op4_mixing,
     "op5_url_filter": op5_url_filter,
     "op6_quality_rules": op6_quality_rules,
@@ -93,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op2_chat_format": chat_format.ORACLE,
+    "op3_license_scan": license_scan.oracle(),
     "op4_mixing": mixing.oracle(),
     "op5_url_filter": url_filter.oracle(URL_RULES),
 }
