@@ -1,14 +1,21 @@
 """Documents through the text operators, stage by stage.
 
 Every stage reads what its predecessor kept from Parquet and returns rows with the columns of
-``documents``; the last one adds what it sampled by.
+``documents``; the last one adds what it sampled by. Texts that a stage cuts have their
+``n_chars`` counted anew; a document that a cut leaves without a word goes.
 """
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ringledger.llm import decontamination as leaks
+from ringledger.llm import mixing as mix
 from ringledger.llm import quality_rules as rules
+from ringledger.llm import simhash as copies
+from ringledger.llm import suffix_dedup as repeats
+from ringledger.llm.frames import BLANKS
 from ringledger.operators.staging import staged
 
 
@@ -18,8 +25,38 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return rules.quality_rules(docs, labels).where("kept").select("row.*")
 
 
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of near copies."""
+    return copies.one_of_each(docs)
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages that stand earlier in the corpus."""
+    return _recounted(repeats.without_repeats(docs))
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of the benchmark."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _recounted(leaks.decontaminated(docs, benchmark))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample with the target shares, and each document's probability."""
+    return mix.mixed(docs).select("row.*", "probability")
+
+
+def _recounted(docs: DataFrame) -> DataFrame:
+    left = docs.where(F.btrim("text", F.lit(BLANKS)) != "")
+    return left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality rules", quality_rules),
+    ("simhash near-dedup", simhash_near_dedup),
+    ("suffix-array dedup", suffix_array_dedup),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("source mixing", source_mixing),
 ]
 
 # The likelihood ratio, the fingerprints and the suffix merge have no SQL form; tests hold the

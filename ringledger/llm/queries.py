@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ringledger.llm import (
     chat_format,
     decontamination,
+    html_extraction,
     license_scan,
+    line_crf,
     mixing,
     quality_rules,
     simhash,
@@ -68,6 +70,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_crf.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
@@ -83,6 +89,13 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extracted(_table(spark, sf_dir, "pages")).select(
+        F.col("id").alias("page_id"), "url", "text",
+        F.char_length("text").cast("long").alias("n_chars"),
+    )
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.removals(_table(spark, sf_dir, "documents"))
     return found.withColumnRenamed("id", "doc_id")
@@ -95,8 +108,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
     "op5_url_filter": op5_url_filter,
     "op6_quality_rules": op6_quality_rules,
+    "op7_line_crf": op7_line_crf,
     "op8_decontamination": op8_decontamination,
     "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLE: dict[str, str] = {
