@@ -1,5 +1,7 @@
 """Small helpers shared by the text operators."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,11 @@ def unpacked(df: DataFrame) -> DataFrame:
     return df.select("row.*")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is worked out once however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def words_of(text: Column) -> Column:
     """Words between blanks; none for null, empty and blank texts."""
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))

@@ -15,7 +15,7 @@ judged one by one; other columns pass through, whatever their names.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringledger.llm.frames import packed, words_of
+from ringledger.llm.frames import let, packed, words_of
 
 BUCKETS = 1 << 14
 # Texts whose mean log ratio is below this are rejected.
@@ -86,70 +86,101 @@ def trusted_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return texts.select("text", F.coalesce("good", F.lit(False)).alias("trusted"))
 
 
-def judged(docs: DataFrame, ratios: Column, buckets: int = BUCKETS,
-           min_ratio: float = MIN_RATIO) -> DataFrame:
-    """``row`` (all columns of ``docs``), the statistics, ``score``, ``base_failed``, ``kept``.
-
-    ``ratios`` holds the log ratio per bucket.
-    """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    read = packed(docs, text=text, words=words_of(F.col("text")))
-    n = F.size("words")
-    starts = F.when(n >= WINDOW, F.sequence(F.lit(0), n - WINDOW)).otherwise(
+def _repeated_words(words: Column) -> Column:
+    """Words inside windows that occur twice or more."""
+    starts = F.when(F.size(words) >= WINDOW, F.sequence(F.lit(0), F.size(words) - WINDOW)).otherwise(
         F.array().cast("array<int>")
     )
-    hashed = read.select("*", F.transform(
-        starts, lambda i: F.xxhash64(*[F.get("words", i + k) for k in range(WINDOW)])
-    ).alias("windows"))
-    # Most texts repeat no window. Those that do sort theirs: equal ones then are neighbours.
-    again = F.size(F.array_distinct("windows")) < F.size("windows")
-    ordered = hashed.select("*", F.when(again, F.sort_array(F.transform(
-        F.arrays_zip("windows", F.sequence(F.lit(0), F.size("windows") - 1).alias("at")),
-        lambda x: F.struct(x["windows"].alias("hash"), x["at"].alias("at")),
-    ))).alias("ordered"))
-
-    def twice(x: Column, k: Column) -> Column:
-        before, after = F.get("ordered", k - 1)["hash"], F.get("ordered", k + 1)["hash"]
-        return (F.coalesce(before == x["hash"], F.lit(False))
-                | F.coalesce(after == x["hash"], F.lit(False)))
-
-    places = F.sort_array(F.transform(F.filter("ordered", twice), lambda x: x["at"]))
-    covered = F.aggregate(
-        places,
-        F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).cast("long").alias("n")),
-        lambda acc, at: F.struct(
-            at.alias("last"), (acc["n"] + F.least(F.lit(WINDOW), at - acc["last"])).alias("n")
-        ),
-        lambda acc: acc["n"],
+    hashes = F.transform(
+        starts, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(WINDOW)])
     )
-    lines = F.filter(F.split("text", "\n"), lambda line: F.btrim(line, F.lit(" \t\x0b\x0c\r")) != "")
+
+    def covered(windows: Column) -> Column:
+        # Equal windows are neighbours once sorted.
+        placed = F.sort_array(F.transform(
+            windows, lambda value, at: F.struct(value.alias("hash"), at.alias("at"))
+        ))
+
+        def twice(ordered: Column) -> Column:
+            def mates(x: Column, k: Column) -> Column:
+                before, after = F.get(ordered, k - 1)["hash"], F.get(ordered, k + 1)["hash"]
+                return (F.coalesce(before == x["hash"], F.lit(False))
+                        | F.coalesce(after == x["hash"], F.lit(False)))
+
+            return F.sort_array(F.transform(F.filter(ordered, mates), lambda x: x["at"]))
+
+        return F.aggregate(
+            let(placed, twice),
+            F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).cast("long").alias("n")),
+            lambda acc, at: F.struct(
+                at.alias("last"), (acc["n"] + F.least(F.lit(WINDOW), at - acc["last"])).alias("n")
+            ),
+            lambda acc: acc["n"],
+        )
+
+    # Most texts repeat no window and need no sorting.
+    return let(hashes, lambda windows: F.when(
+        F.size(F.array_distinct(windows)) < F.size(windows), covered(windows)
+    ).otherwise(F.lit(0).cast("long")))
+
+
+def _score(words: Column, ratios: Column, buckets: int) -> Column:
+    """Mean log ratio over the n-grams of one text."""
 
     def summed(acc: Column, i: Column) -> Column:
-        word, following = F.get("words", i), F.get("words", i + 1)
+        word, following = F.get(words, i), F.get(words, i + 1)
         pair = F.when(following.isNotNull(), F.get(ratios, _pair_bucket(word, following, buckets)))
         return acc + F.get(ratios, _word_bucket(word, buckets)) + F.coalesce(pair, F.lit(0.0))
 
+    n = F.size(words)
     total = F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0.0), summed)
+    return F.when(n > 0, total / (2 * n - 1)).otherwise(0.0)
+
+
+def judgement(text: Column, ratios: Column, buckets: int = BUCKETS,
+              min_ratio: float = MIN_RATIO) -> Column:
+    """Struct of the statistics, ``score``, ``base_failed`` and ``kept`` of one text.
+
+    One expression whose parts are bound as lambda arguments: whatever Spark moves it into, a
+    filter included, no part is worked out once per word.
+    """
+    given = F.coalesce(text, F.lit(""))
     n_symbols = sum(
-        (F.octet_length("text") - F.octet_length(F.replace("text", F.lit(c))) for c in SYMBOLS),
+        (F.octet_length(given) - F.octet_length(F.replace(given, F.lit(c))) for c in SYMBOLS),
         F.lit(0),
     )
-    measured = ordered.withColumn("lines", lines).select(
-        "row",
-        n.cast("long").alias("n_words"),
-        F.char_length(F.array_join("words", "")).cast("long").alias("word_chars"),
+    lines = F.filter(F.split(given, "\n"), lambda line: F.btrim(line, F.lit(" \t\x0b\x0c\r")) != "")
+    measured = let(words_of(text), lambda words: F.struct(
+        F.size(words).cast("long").alias("n_words"),
+        F.char_length(F.array_join(words, "")).cast("long").alias("word_chars"),
         n_symbols.cast("long").alias("n_symbols"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.when(F.col("ordered").isNull(), F.lit(0).cast("long")).otherwise(covered)
-        .alias("n_repeat_words"),
-        F.when(n > 0, total / (2 * n - 1)).otherwise(0.0).alias("score"),
-    )
-    base_failed = (F.col("n_words") < MIN_WORDS) | (
-        100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
-    )
-    return measured.withColumn("base_failed", base_failed).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("score") >= min_ratio)
-    )
+        let(lines, lambda found: F.size(found) - F.size(F.array_distinct(found)))
+        .cast("long").alias("n_dup_lines"),
+        _repeated_words(words).alias("n_repeat_words"),
+        _score(words, ratios, buckets).alias("score"),
+    ))
+
+    def decided(found: Column) -> Column:
+        failed = (found["n_words"] < MIN_WORDS) | (
+            100 * found["n_repeat_words"] > MAX_REPEAT_PERCENT * found["n_words"]
+        )
+        names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score")
+        return F.struct(
+            *[found[name].alias(name) for name in names], failed.alias("base_failed"),
+            (~failed & (found["score"] >= min_ratio)).alias("kept"),
+        )
+
+    return let(measured, decided)
+
+
+def judged(docs: DataFrame, ratios: Column, buckets: int = BUCKETS,
+           min_ratio: float = MIN_RATIO) -> DataFrame:
+    """``row`` (all columns of ``docs``), the statistics, ``score``, ``base_failed``, ``kept``.
+
+    ``ratios`` holds the log ratio per bucket.
+    """
+    told = packed(docs, told=judgement(F.col("text"), ratios, buckets, min_ratio))
+    return told.select("row", "told.*")
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
