@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ringledger.llm.components import components
+from ringledger.llm.frames import packed, unpacked
 from ringledger.operators.staging import staged
 
 SHINGLE = 3
@@ -139,5 +140,6 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     copies = found.where("id is not null").groupBy(F.col("id").alias("copy_id")).agg(
         F.bool_or(F.col("id") == F.col("component_id")).alias("names")
     ).where("not names").select("copy_id")
-    kept = docs.join(copies, F.col(f"`{id_column}`") == F.col("copy_id"), "left_anti")
-    return kept.dropDuplicates()
+    named = packed(docs, named=F.col(f"`{id_column}`"))
+    kept = named.join(copies, F.col("named") == F.col("copy_id"), "left_anti")
+    return unpacked(kept).dropDuplicates()

@@ -36,11 +36,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringledger.llm.bwt import repeated
+from ringledger.llm.frames import packed
 from ringledger.operators.staging import staged
 
 LENGTH = 100
 GRAM = 32
-GROUP_BYTES = 1 << 20
+# Texts are hashed in groups of about so many bytes; equal runs of so many groups fall together
+# before anything is shuffled.
+GROUP_BYTES = 1 << 19
+GROUPS = 16
 BUNDLE_BYTES = 1 << 18
 # Positions share a word with hashes while minima are sought.
 PLACE_BITS = np.uint64(24)
@@ -104,7 +108,7 @@ def runs_of(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...
     sizes = np.array([len(text) for text in texts], dtype=np.int64)
     starts = np.cumsum(sizes) - sizes
     n = int(sizes.sum())
-    powers, inverses = _powers(max(n, GROUP_BYTES))
+    powers, inverses = _powers(1 << n.bit_length())
     values = _byte_values()[np.frombuffer(b"".join(texts), dtype=np.uint8)]
     values *= powers[:n]
     sums = np.zeros(n + 1, dtype=np.uint64)
@@ -175,15 +179,22 @@ def _merged(ids: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.nd
 
 def _scanned(batches: Iterator[pa.RecordBatch], length: int, gram: int
              ) -> Iterator[pa.RecordBatch]:
-    """The first of equal runs of each batch; the others as spans (``body`` null)."""
-    for batch in batches:
+    """The first of equal runs of some groups; the others as spans (``body`` null)."""
+
+    def gathered() -> Iterator[list[tuple]]:
         parts = []
-        for names, offsets, held in _pieces(batch.column("text"), batch.column("id"), length):
-            text, first, size, key, body = runs_of(held, length, gram)
-            parts.append((np.array(names, dtype=np.int64)[text],
-                          np.array(offsets, dtype=np.int64)[text] + first, size, key, body))
-        if not parts:
-            continue
+        for batch in batches:
+            for names, offsets, held in _pieces(batch.column("text"), batch.column("id"), length):
+                text, first, size, key, body = runs_of(held, length, gram)
+                parts.append((np.array(names, dtype=np.int64)[text],
+                              np.array(offsets, dtype=np.int64)[text] + first, size, key, body))
+                if len(parts) == GROUPS:
+                    yield parts
+                    parts = []
+        if parts:
+            yield parts
+
+    for parts in gathered():
         ids, first, size, key, body = (np.concatenate(part) for part in zip(*parts))
         order = np.lexsort((first, ids, body, key))
         ids, first, size, key, body = (x[order] for x in (ids, first, size, key, body))
@@ -387,7 +398,13 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """The rows of ``docs`` without the repeated bytes; characters cut apart are dropped."""
     spans = _gathered(repeated_spans(docs, id_column, text_column, length, gram))
     schema, names = docs.schema, docs.columns
-    joined = docs.join(spans, F.col(f"`{id_column}`") == F.col("of_id"), "left").drop("of_id")
+    met = packed(docs, id=F.col(f"`{id_column}`")).join(
+        spans, F.col("id") == F.col("of_id"), "left"
+    )
+    last = "spans"
+    while last in names:
+        last += "_"
+    joined = met.select("row.*", F.col("spans").alias(last))
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = names.index(text_column)
