@@ -1,9 +1,10 @@
 """Main text of web pages by boosted trees over DOM nodes and hierarchical decoding.
 
 Every block element is a node with features of its subtree (text, link and tag density), its
-name and attribute tokens, its depth and its siblings. Boosted trees give each node the log
-odds of being main text. Decoding picks the likeliest labels in which nothing below a dropped
-node is kept, by dynamic programming up the tree. Text of kept nodes is joined block by block.
+name and attribute tokens, its depth and its siblings; loose text between blocks is a node too.
+Boosted trees give each node the log odds of holding main text. Decoding picks the likeliest
+labels in which nothing below a dropped node is kept, by dynamic programming up the tree. Text
+of kept nodes is joined block by block.
 
 The trees are trained here, on at most ``TRAIN_PAGES`` pages of at most ``TRAIN_CHARS``
 characters (the ones whose ids hash lowest). What is main text on them follows from element
@@ -46,6 +47,8 @@ RAW_TEXT = frozenset("script style textarea title noscript iframe".split())
 # A start tag of the key closes open elements of these names, up to the nearest container.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "option": {"option"}}
 SCOPES = {"ul", "ol", "dl", "table", "select", "body", "html", "article", "div", "section", "td"}
+# Elements that hold text; loose text in any other is a node of its own.
+LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr pre blockquote figcaption caption".split())
 MAIN_NAMES = frozenset(["article", "main"])
 SIDE_NAMES = frozenset("nav header footer aside form dialog menu fieldset details".split())
 MAIN_TOKENS = frozenset("article body content entry main post story text".split())
@@ -110,7 +113,11 @@ def parsed(source: str | None) -> Page:
     def flush() -> None:
         text = BLANK.sub(" ", "".join(parts)).strip()
         if text:
-            page.blocks.append((stack[-1][1], text, state["linked"]))
+            node = stack[-1][1]
+            if page.nodes[node].name not in LEAVES:
+                page.nodes.append(Node("#text", (), node, page.nodes[node].depth + 1))
+                node = len(page.nodes) - 1
+            page.blocks.append((node, text, state["linked"]))
         parts.clear()
         state["linked"] = 0
 
@@ -205,19 +212,25 @@ def _kind(node: Node) -> int:
 
 
 def ruled(page: Page) -> np.ndarray:
-    """Main text by names and tokens alone: the nearest part that says what it is decides, and
-    nothing inside a side part is main text. Pages that mark no main part: all else."""
+    """Nodes that hold main text, by names and tokens alone: the nearest part that says what it
+    is decides, and nothing inside a side part is main text. Pages that mark no main part: all
+    else."""
     kinds = [_kind(node) for node in page.nodes]
     marked = 1 in kinds
     state = np.zeros(len(page.nodes), dtype=np.int64)
-    state[0] = 0
     for k, node in enumerate(page.nodes):
         above = state[node.parent] if node.parent >= 0 else 0
         state[k] = above if above == -1 else kinds[k] or above
-    return (state == 1) | (~np.array(marked) & (state == 0))
+    kept = (state == 1) if marked else (state == 0)
+    held = np.zeros(len(page.nodes), dtype=bool)
+    for node, _, _ in page.blocks:
+        held[node] = kept[node]
+    for k in range(len(page.nodes) - 1, 0, -1):
+        held[page.nodes[k].parent] |= held[k]
+    return held
 
 
-NAMES = ("p", "li", "ul", "div", "section", "table", "h1", "h2", "article", "main", "nav", "aside",
+NAMES = ("#text", "p", "li", "ul", "div", "section", "table", "h1", "h2", "article", "main", "nav", "aside",
          "header", "footer", "form", "body", "html")
 N_FEATURES = 26 + len(NAMES)
 
@@ -280,24 +293,21 @@ def features(page: Page) -> np.ndarray:
 def decoded(page: Page, margin: np.ndarray) -> np.ndarray:
     """The likeliest labels in which nothing below a dropped node is kept.
 
-    A node's log odds count once for every node; a kept node lets its children choose.
+    Every node counts with its log odds, and more the more text of its own it has.
     """
     n = len(page.nodes)
-    weight = np.zeros(n)
+    weight = np.ones(n)
     for node, text, _ in page.blocks:
-        weight[node] += 1 + np.log1p(len(text))
-    gain = margin * weight
+        weight[node] += np.log1p(len(text))
     # Best gain of a subtree whose top is kept, over dropping the whole subtree (gain 0).
-    best = gain.copy()
+    best = margin * weight
     for k in range(n - 1, 0, -1):
         if best[k] > 0:
             best[page.nodes[k].parent] += best[k]
-    kept = np.zeros(n, dtype=bool)
-    for k in range(n):
-        above = page.nodes[k].parent
-        kept[k] = (above < 0 or kept[above]) and (above < 0 or best[k] > 0)
-    # A kept node's own text may still be bad; it stands only with odds of its own.
-    return kept & ((margin > 0) | (weight == 0))
+    kept = best > 0
+    for k in range(1, n):
+        kept[k] &= kept[page.nodes[k].parent]
+    return kept
 
 
 def joined(page: Page, kept: np.ndarray) -> str:

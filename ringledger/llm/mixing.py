@@ -115,8 +115,8 @@ def mixed(docs: DataFrame, topic: Column | None = None, powers: Mapping[str, flo
     return marked.join(drawn, list(DIMENSIONS)).where(_uniform(F.col("key")) < F.col("probability"))
 
 
-def oracle(rounds: int = 12) -> str:
-    """The sample of ``documents`` in SQL, with as many rounds as these marginals need."""
+def oracle(rounds: int = MAX_ROUNDS) -> str:
+    """The sample of ``documents`` in SQL, with all rounds written out."""
     steps = []
     for k in range(rounds * len(DIMENSIONS)):
         name = DIMENSIONS[k % len(DIMENSIONS)]
