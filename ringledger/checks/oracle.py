@@ -69,11 +69,12 @@ def _contact_number(text: str) -> str:
 
 
 def _short_date(text: str) -> str:
-    day = f"trim({text})"
+    day = f"split_part(trim({text}), ' ', 1)"
     return (
-        f"CAST(CASE WHEN regexp_full_match({day}, '[0-9]+/[0-9]+/[0-9][0-9]') "
+        f"CAST(CASE WHEN regexp_full_match({day}, '[0-9]+/[0-9]+/[0-9]{{2}}') "
         f"THEN try_strptime({day}, '%d/%m/%y') "
-        f"ELSE try_strptime({day}, '%d/%m/%Y') END AS DATE)"
+        f"WHEN regexp_full_match({day}, '[0-9]+/[0-9]+/[0-9]{{4}}') "
+        f"THEN try_strptime({day}, '%d/%m/%Y') END AS DATE)"
     )
 
 
@@ -151,7 +152,7 @@ FROM ({_MAXIS_LINES}) JOIN ({_MAXIS_STATEMENT}) USING (path)"""
 
 _CELCOM_NORMALISED = f"""
 SELECT 'CELCOM' AS operator,
-  try_cast(substr({_piece_behind('mobile', '-')}, 1, 7) AS BIGINT) AS phone_number,
+  try_cast({_piece_behind('mobile', '-')} AS BIGINT) AS phone_number,
   {_hyphen_code('mobile')} AS STD_code,
   CAST(account AS BIGINT) AS account_number,
   try_cast(child AS BIGINT) AS employee_account_number,

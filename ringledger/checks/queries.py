@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from ringledger.checks import raw
-from ringledger.checks.inputs import Inputs
+from ringledger.checks.inputs import Inputs, as_read
 from ringledger.functions import casts, dates, text
 from ringledger.operators import period
 from ringledger.operators.numbering import number_batches
@@ -159,7 +159,7 @@ def limited_copy(inputs: Inputs) -> DataFrame:
 
 @query
 def itemized_normalised(inputs: Inputs) -> DataFrame:
-    return feeds.normalise_itemized(inputs.raw(raw.ITEMIZED_TEXT))
+    return feeds.normalise_itemized(as_read(inputs.raw(raw.ITEMIZED_TEXT)))
 
 
 @query
@@ -189,7 +189,7 @@ def feed_row_counts(inputs: Inputs) -> DataFrame:
     monthly = feeds.normalise_maxis_monthly(inputs.maxis_sheets()).unionByName(
         feeds.normalise_celcom_monthly(inputs.celcom_sheets())
     )
-    itemized = feeds.normalise_itemized(inputs.raw(raw.ITEMIZED_TEXT))
+    itemized = feeds.normalise_itemized(as_read(inputs.raw(raw.ITEMIZED_TEXT)))
     return (
         monthly.select(F.lit("monthly").alias("feed"), "operator")
         .unionByName(itemized.select(F.lit("itemized").alias("feed"), "operator"))
@@ -448,4 +448,5 @@ def stream_hourly_activity(inputs: Inputs) -> DataFrame:
         availableNow=True
     ).start().awaitTermination()
     spark.catalog.dropTempView(view)
-    return _clocks(spark.read.schema(hours.schema).parquet(path), "start", "end")
+    kept = spark.read.schema(hours.schema).parquet(path).select(*hours.columns)
+    return _clocks(kept, "start", "end")

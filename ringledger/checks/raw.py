@@ -11,8 +11,9 @@ TABLES = ["region", "nation", "customer", "part", "orders", "lineitem", "events"
 
 
 def _month_name(month: str) -> str:
-    cases = " ".join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(MONTHS, 1))
-    return f"CASE {month} {cases} END"
+    # Cut out of one text: far less generated code than a case per month.
+    names = "".join(name.ljust(9) for name in MONTHS)
+    return f"trim(substr('{names}', 9 * {month} - 8, 9))"
 
 
 def _two(number: str) -> str:
@@ -28,6 +29,11 @@ _ORDER_YEAR = "CAST(year(o_orderdate) AS INT)"
 _FILE_MONTH = f"CAST({_ORDER_YEAR} AS STRING) || {_two(_ORDER_MONTH)}"
 _CUSTOMER = "CAST(o_custkey AS STRING)"
 
+
+def _phone(key: str) -> str:
+    """A customer's number: eight digits for some, of which seven may be another's."""
+    return f"(CASE WHEN {key} % 7 = 0 THEN {key} * 100000 + 7 ELSE {key} END)"
+
 # Lines with their ship date as ``yyyy-MM-dd`` text, and that text as ``dd/MM/yy``.
 _LINES = (
     "(SELECT *, CAST(CAST(l_shipdate AS DATE) AS STRING) AS shipped FROM {lineitem}) lines"
@@ -79,17 +85,21 @@ SELECT o_orderkey,
     ELSE CAST({_ORDER_YEAR} AS STRING) || '-' || {_two(_ORDER_MONTH)} || '-01' END AS day
 FROM {{orders}}"""
 
-# One ship date text per line; case 2 is never a date, cases 1, 3 and 5 have two-digit
-# years.
+# One ship date text per line; cases 2 and 6 to 8 are no dates, cases 1, 3, 5 and 9 have
+# two-digit years.
 SHIP_DATES = f"""
 SELECT l_orderkey, l_linenumber,
-  CASE (l_orderkey + l_linenumber) % 6
+  CASE (l_orderkey + l_linenumber) % 10
     WHEN 0 THEN NULL
     WHEN 1 THEN ' ' || {_SHORT_DATE} || ' '
     WHEN 2 THEN '31/02/' || substr(shipped, 3, 2)
     WHEN 3 THEN CAST(CAST({_DAY} AS INT) AS STRING) || '/'
                 || CAST(CAST({_MONTH} AS INT) AS STRING) || '/' || substr(shipped, 3, 2)
     WHEN 4 THEN {_DAY} || '/' || {_MONTH} || '/' || {_YEAR}
+    WHEN 6 THEN {_DAY} || '/' || {_MONTH} || '/' || substr(shipped, 2, 3)
+    WHEN 7 THEN {_DAY} || '/' || {_MONTH} || '/' || {_YEAR} || '1'
+    WHEN 8 THEN {_DAY} || ' ' || {_MONTH} || ' ' || substr(shipped, 3, 2)
+    WHEN 9 THEN {_SHORT_DATE} || ' 12:30'
     ELSE {_SHORT_DATE} END AS day_text
 FROM {_LINES}"""
 
@@ -142,7 +152,7 @@ JOIN {_DATED_ORDERS} ON l_orderkey = o_orderkey"""
 
 # Typed itemized bills, one per order line.
 ITEMIZED = f"""
-SELECT o_custkey AS phone_number,
+SELECT {_phone('o_custkey')} AS phone_number,
   '0' || CAST(10 + o_custkey % 10 AS STRING) AS STD_code,
   CAST(l_shipdate AS DATE) AS start_date,
   CAST(NULL AS DATE) AS end_date,
@@ -169,7 +179,7 @@ FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey"""
 def _monthly(account: str) -> str:
     return f"""
 SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'MAXIS' ELSE 'CELCOM' END AS operator,
-  o_custkey AS phone_number,
+  {_phone('o_custkey')} AS phone_number,
   '0' || CAST(10 + o_custkey % 10 AS STRING) AS STD_code,
   CAST({account} AS BIGINT) AS account_number,
   CAST(NULL AS BIGINT) AS employee_account_number,
@@ -225,7 +235,8 @@ SELECT 'celcom/' || {_FILE_MONTH} || '.xlsx' AS path,
   CAST(15 + o_orderkey AS INT) AS row,
   {_ORDER_MONTH} AS month_number,
   CASE WHEN o_orderkey % 31 = 0 THEN {_CUSTOMER}
-       ELSE '0' || CAST(10 + o_custkey % 10 AS STRING) || '-' || {_CUSTOMER} END AS mobile,
+       ELSE '0' || CAST(10 + o_custkey % 10 AS STRING) || '-'
+         || CAST({_phone('o_custkey')} AS STRING) END AS mobile,
   CASE WHEN o_orderkey % 29 <> 0 THEN CAST(7000 + o_orderkey % 1000 AS STRING) END
     AS account,
   CASE WHEN o_orderkey % 3 = 0 THEN 'none' ELSE CAST(o_custkey AS STRING) END AS child,
@@ -247,7 +258,7 @@ FROM {{orders}}
 GROUP BY {_ORDER_YEAR}, {_ORDER_MONTH}"""
 
 # Cell texts of the staff list: one workbook per region, one line per customer.
-STAFF_LINES = """
+STAFF_LINES = f"""
 SELECT 'staff/' || r_name || '.xlsx' AS path,
   CAST(4 + c_custkey AS INT) AS row,
   CASE c_custkey % 50
@@ -255,7 +266,8 @@ SELECT 'staff/' || r_name || '.xlsx' AS path,
     WHEN 1 THEN 'null'
     WHEN 2 THEN NULL
     WHEN 3 THEN CAST(c_custkey AS STRING)
-    ELSE lpad(CAST(c_nationkey AS STRING), 3, '0') || '-' || CAST(c_custkey AS STRING) END
+    ELSE lpad(CAST(c_nationkey AS STRING), 3, '0') || '-'
+      || CAST({_phone('c_custkey')} AS STRING) END
     AS number,
   c_name AS username,
   n_name AS location,
@@ -266,8 +278,8 @@ SELECT 'staff/' || r_name || '.xlsx' AS path,
   'head of ' || n_name AS supervisor,
   'head of ' || r_name AS head_of_department,
   CASE WHEN c_custkey % 2 = 0 THEN 'MAXIS' ELSE 'CELCOM' END AS provider
-FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey
-JOIN {region} ON n_regionkey = r_regionkey"""
+FROM {{customer}} JOIN {{nation}} ON c_nationkey = n_nationkey
+JOIN {{region}} ON n_regionkey = r_regionkey"""
 
 # Columns of a table to copy as its source describes them, one per part.
 DESCRIBED = """

@@ -3,14 +3,10 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ringledger.functions.casts import whole
 from ringledger.schemas import MONTHS
 
-# Two-digit years below this are 20xx, the others 19xx.
-CENTURY_TURN = "50"
-
-# Day numbers taken for dates: 1980-01-01 to 2099-12-31.
-SERIAL_DAYS = (29221, 73050)
+# Two-digit years below this are 20xx, the others 19xx, unless the caller says otherwise.
+CENTURY_TURN = 50
 
 ACTIVITY_SLOT_MILLIS = 600_000
 
@@ -35,26 +31,37 @@ def month_name_from_zero(index: Column) -> Column:
     return F.get(_month_names(), index)
 
 
-def _slash_date(text: Column) -> Column:
+def _slash_date(text: Column, century_turn: int) -> Column:
     """Date leading day/month/year text, put together as an ISO date and cast.
 
     Far cheaper than a format pattern, above all on text that is no date. What follows
-    the year after a blank is ignored.
+    the year after a blank is ignored. Years have two or four digits.
     """
-    pieces = F.split(F.trim(text), "[/ ]")
-    day, month, year = [F.get(pieces, F.lit(i)) for i in range(3)]
-    century = F.when(F.length(year) == 4, "").when(year < CENTURY_TURN, "20").otherwise("19")
-    return F.concat(century, year, F.lit("-"), month, F.lit("-"), day).try_cast("date")
-
-
-def short_date(text: Column) -> Column:
-    """Date of ``dd/MM/yy`` text (four-digit years pass too); NULL when it is no date."""
-    return _slash_date(text)
+    day = F.substring_index(F.trim(text), " ", 1)
+    year, start = F.substring_index(day, "/", -1), F.substring_index(day, "/", 2)
+    two = F.length(year) == 2
+    century = F.when(F.length(year) == 4, "").when(
+        two & (year < f"{century_turn:02d}"), "20"
+    ).when(two, "19")
+    # The first two pieces and the year make up the whole text, or it has more or fewer.
+    whole_text = F.length(start) + F.length(year) + 1 == F.length(day)
+    return F.when(whole_text, F.concat(
+        century, year, F.lit("-"), F.substring_index(start, "/", -1),
+        F.lit("-"), F.substring_index(start, "/", 1),
+    )).try_cast("date")
+
+
+def short_date(text: Column, century_turn: int = CENTURY_TURN) -> Column:
+    """Date of ``dd/MM/yy`` text (four-digit years pass too); NULL when it is no date.
+
+    Two-digit years below ``century_turn`` are 20xx, the others 19xx.
+    """
+    return _slash_date(text, century_turn)
 
 
 def statement_date(text: Column) -> Column:
     """Date leading a ``dd/MM/yyyy - dd/MM/yyyy`` statement period."""
-    return _slash_date(F.substring(text, 1, 10))
+    return _slash_date(F.substring(text, 1, 10), CENTURY_TURN)
 
 
 def worded_date(text: Column) -> Column:
@@ -63,11 +70,9 @@ def worded_date(text: Column) -> Column:
     return F.coalesce(F.try_to_date(day, "d MMM yyyy"), F.try_to_date(day, "d MMMM yyyy"))
 
 
-def serial_date(text: Column) -> Column:
-    """Date of a date cell, which a workbook stores as days since 1899-12-30."""
-    days = whole(text, "int")
-    plausible = days.between(*SERIAL_DAYS)
-    return F.when(plausible, F.date_add(F.lit("1899-12-30").cast("date"), days))
+def cell_date(text: Column) -> Column:
+    """Date of a date cell, which the workbook source gives as ``yyyy-MM-dd`` text."""
+    return F.when(F.substring(text, 5, 1) == "-", F.substring(text, 1, 10)).try_cast("date")
 
 
 def file_year(name: Column) -> Column:

@@ -1,22 +1,16 @@
 """Join of sheet rows with what is known once per file."""
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Shares the rows of one file are spread over when the join shuffles.
-SHARES = 16
 
 
 def join_per_file(rows: DataFrame, per_file: DataFrame, how: str = "inner") -> DataFrame:
     """``rows`` (path, row, ...) with the columns of ``per_file``, one row per path.
 
-    Spark broadcasts ``per_file`` while it is below its broadcast threshold. Beyond it
-    both sides shuffle by path and share, the share being taken from the row number: a
-    file with most of the rows spreads evenly. ``per_file`` usually comes out of an
-    aggregate by path, whose partitioning the join would otherwise reuse, and then the
-    adaptive skew split does not apply; with the share it does.
+    Spark broadcasts ``per_file`` while its true size, known once it is shuffled, is below
+    its broadcast threshold. ``per_file`` usually comes out of an aggregate by path, whose
+    partitioning a join would reuse, and then the adaptive skew split does not apply. Dealt
+    out evenly first, both sides are shuffled for the join alone, and a file with most of
+    the rows is split into as many parts as it takes.
     """
-    share = F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1)))
-    spread = per_file.select("*", share.alias("_share"))
-    shared = rows.withColumn("_share", F.pmod("row", F.lit(SHARES)).cast("int"))
-    return shared.join(spread, ["path", "_share"], how).drop("_share")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.join(per_file.repartition(parts), "path", how)

@@ -2,16 +2,10 @@
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, DataType
 
 from ringledger.operators.staging import staged
 
-# Up to this many rows a first-n is a top-k; beyond it keys are numbered. Spark drops rows
-# of a ranking before the shuffle up to the same number by default.
-TOP_K_ROWS = 1000
-
-# Groups of tasks whose top-k rows are merged side by side.
-TOP_K_GROUPS = 1000
-
 
 def number_rows(df: DataFrame, *order_by: str, name: str = "row_number") -> DataFrame:
     """Adds each row's 1-based position in the order of the given columns.
@@ -51,38 +45,56 @@ def number_batches(df: DataFrame, size: int, *order_by: str) -> DataFrame:
 
 
 def first_rows(df: DataFrame, n: int, key: str) -> DataFrame:
-    """The ``n`` rows with the lowest key, NULL lowest; all rows for 0.
+    """The ``n`` rows with the lowest key, NULL lowest, in no particular order; all for 0.
 
-    The n-th key is found from the key column alone and then reaches the scan as a plain
-    filter, so only the wanted rows are read in full. Meant for a key without many
-    copies; rows that share the n-th key are cut exactly, at the cost of sorting them.
+    The n-th key is found from the key column alone, where copies of a key fall together
+    map-side, and then reaches the scan as a plain filter. Rows that share it are cut
+    exactly, by the order of their other columns, which spreads them over tasks.
     """
     if n == 0:
         return df
-    if n <= TOP_K_ROWS:
-        kept = _up_to(df, key, _lowest(df.select(key), n, key))
-        return kept.orderBy(key).limit(n)
-    numbered = number_rows(df.select(key), key, name="_row")
-    kept = _up_to(df, key, numbered.where(F.col("_row") <= n))
-    if kept.count() > n:
-        kept = number_rows(kept, key, name="_row").where(F.col("_row") <= n).drop("_row")
-    return kept
+    cutoff, below = _nth_key(df.select(key), n, key)
+    if below is None:
+        return df
+    if cutoff is None:
+        ties = df.where(F.col(key).isNull())
+        return _cut(ties, n, key)
+    lower = df.where(F.col(key).isNull() | (F.col(key) < cutoff))
+    ties = df.where(F.col(key) == cutoff)
+    return lower.unionByName(_cut(ties, n - below, key))
 
 
-def _lowest(keys: DataFrame, n: int, key: str) -> DataFrame:
-    """The ``n`` lowest keys, merged in two steps so that no task gets them from all others.
+def _nth_key(keys: DataFrame, n: int, key: str) -> tuple[object, int | None]:
+    """The n-th lowest key and how many rows lie below it; (None, None) for fewer rows.
 
-    Each task keeps its n lowest, a group of tasks the n lowest of theirs, and only what
-    the groups keep meets in one task.
+    Distinct keys with their counts are dealt out by range; the ranges' sums tell which
+    one holds the n-th row, and only that one is looked into.
     """
-    group = F.pmod(F.spark_partition_id(), F.lit(TOP_K_GROUPS)).alias("_group")
-    rank = F.row_number().over(Window.partitionBy("_group").orderBy(key))
-    ranked = keys.select(key, group).withColumn("_rank", rank)
-    return ranked.where(F.col("_rank") <= n).select(key).orderBy(key).limit(n)
+    counted = keys.groupBy(key).agg(F.count("*").alias("_rows"))
+    placed = staged(
+        counted.repartitionByRange(key).withColumn("_partition", F.spark_partition_id()), "keys"
+    )
+    before = Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, 0)
+    sums = placed.groupBy("_partition").agg(F.sum("_rows").alias("_rows"))
+    reached = sums.select("_partition", "_rows", F.sum("_rows").over(before).alias("_reached"))
+    part = reached.where(F.col("_reached") >= n).orderBy("_partition").first()
+    if part is None:
+        return None, None
+    start = part["_reached"] - part["_rows"]
+    # One range of distinct keys.
+    inside = Window.orderBy(F.col(key).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    upto = placed.where(F.col("_partition") == part["_partition"]).withColumn(
+        "_reached", F.sum("_rows").over(inside) + start
+    )
+    row = upto.where(F.col("_reached") >= n).orderBy("_reached").first()
+    return row[key], row["_reached"] - row["_rows"]
+
+
+def _cut(ties: DataFrame, n: int, key: str) -> DataFrame:
+    rest = [f.name for f in ties.schema if f.name != key and _ordered(f.dataType)]
+    numbered = number_rows(ties, *(rest or [key]), name="_row")
+    return numbered.where(F.col("_row") <= n).drop("_row")
 
 
-def _up_to(df: DataFrame, key: str, lowest: DataFrame) -> DataFrame:
-    """Rows whose key is not above the highest of ``lowest``."""
-    cutoff = lowest.agg(F.max(key)).first()[0]
-    low = F.col(key).isNull()
-    return df.where(low if cutoff is None else low | (F.col(key) <= cutoff))
+def _ordered(kind: DataType) -> bool:
+    return isinstance(kind, AtomicType)

@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the folder named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (a single-machine session) is a temporary folder
-    used instead.
+    Only where the session names none and runs on one machine is a temporary folder used
+    instead; on a cluster, where executors would not see each other's files, it raises.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     root = root or _local_folder(spark.sparkContext.applicationId)
     return f"{root.rstrip('/')}/ringledger/{purpose}-{uuid.uuid4().hex}"
 
@@ -33,3 +35,10 @@ def staged(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
     path = path or shared_folder(spark, purpose)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a staged copy that is no longer read, on whatever file system it lies."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

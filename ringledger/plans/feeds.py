@@ -88,7 +88,7 @@ def maxis_statement(rows: DataFrame) -> DataFrame:
     """
     cells = first_cells(rows, _date=MAXIS_DATE_CELL, _account=MAXIS_ACCOUNT_CELL)
     cell = F.col("_date")
-    day = F.coalesce(dates.statement_date(cell), dates.serial_date(cell))
+    day = F.coalesce(dates.statement_date(cell), dates.cell_date(cell))
     return cells.select(
         "path",
         text.account_number(F.col("_account")).try_cast("long").alias("account_number"),
@@ -100,7 +100,7 @@ def maxis_statement(rows: DataFrame) -> DataFrame:
 def celcom_statement(rows: DataFrame) -> DataFrame:
     """One row per CELCOM workbook: path, billing_month, billing_year."""
     cell = F.col("_date")
-    day = F.coalesce(dates.worded_date(cell), dates.serial_date(cell))
+    day = F.coalesce(dates.worded_date(cell), dates.cell_date(cell))
     return first_cells(rows, _date=CELCOM_DATE_CELL).select(
         "path",
         dates.month_name(F.month(day)).alias("billing_month"),
@@ -149,11 +149,12 @@ def normalise_maxis_monthly(rows: DataFrame) -> DataFrame:
 
 
 def normalise_celcom_monthly(
-    rows: DataFrame, missing_as_nan: bool = False, number_width: int | None = 7
+    rows: DataFrame, missing_as_nan: bool = False, number_width: int | None = None
 ) -> DataFrame:
     """CELCOM monthly bills from the sheet rows of their workbooks.
 
-    These bills have no value-added charge: NULL, or NaN with ``missing_as_nan``.
+    These bills have no value-added charge: NULL, or NaN with ``missing_as_nan``. Numbers
+    keep all their digits, as those of the staff list do; ``number_width`` cuts them.
     """
     lines = sheet_range_with_header(
         rows, *CELCOM_BILL_RANGE, CELCOM_HEADERS, empty_as_null=True,

@@ -2,11 +2,11 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from ringledger.operators.period import NO_STATE, Period, incremental, table_watermark
+from ringledger.operators.staging import staged
 from ringledger.plans.marts import employee_itemized_bill, employee_monthly_top
 from ringledger.schemas import (
     EMPLOYEE_ITEMIZED_BILL,
@@ -16,14 +16,17 @@ from ringledger.schemas import (
     MONTHLY_BILL_SUMMARY,
 )
 from ringledger.sinks.tables import append_table, ensure_table, rebalanced, replace_partitions
-from ringledger.streaming.landing import FEEDS, PERIOD, ingest
+from ringledger.streaming.landing import BATCH, FEED, FEEDS, PERIOD, ingest
 
 PROGRESS = StructType([
     StructField("mart", StringType()),
-    StructField("billing_year", IntegerType()),
-    StructField("month_number", IntegerType()),
+    StructField(FEED, StringType()),
+    StructField(BATCH, LongType()),
 ])
 
+# How a table's partition list writes a NULL.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 
 def refresh(
     spark: SparkSession,
@@ -32,7 +35,7 @@ def refresh(
     checkpoints: str,
     archive: str | None = None,
 ) -> None:
-    """Ingests all waiting files, then adds the new billing periods to both marts.
+    """Ingests all waiting files, then takes the new bills into both marts.
 
     Safe to run again after a failure anywhere: files count as taken only when landed,
     and a mart's progress is noted only after its periods are written.
@@ -62,31 +65,64 @@ def update_mart(
     bill_schema: StructType,
     build: Callable[[DataFrame], DataFrame],
 ) -> None:
-    """Adds to a mart the bill periods after the last one it took in.
+    """Brings a mart up to date with the bill batches it has not taken in yet.
 
-    The first run takes all bills. Whole periods are replaced, so a repeated run adds
-    nothing twice.
+    The periods those batches touch, the undated one among them, are rebuilt from all their
+    bills and replaced whole, so late bills reach the mart and a repeated run adds nothing
+    twice. What a mart has taken in is noted after it is written.
     """
-    start = mart_progress(spark, database, mart)
-    end = table_watermark(spark, bill_table)
     table = f"{database}.{mart}"
     ensure_table(spark, table, mart_schema, PERIOD)
-    if end.number <= start.number:
+    fresh = staged(
+        _landed(spark, bill_table).join(
+            mart_progress(spark, database, mart), [FEED, BATCH], "left_anti"
+        ),
+        "progress",
+    )
+    # A row per new period; the partition list is all that is read.
+    periods = [(r[0], r[1]) for r in fresh.select(*PERIOD).distinct().collect()]
+    if not periods:
         return
-    bills = spark.table(bill_table).select(*bill_schema.names)
-    new = build(incremental(bills, start, end))
-    replace_partitions(rebalanced(new, PERIOD), table)
-    done = spark.createDataFrame([(mart, end.year, end.month)], PROGRESS)
+    bills = spark.table(bill_table).where(_in_periods(periods)).select(*bill_schema.names)
+    replace_partitions(rebalanced(build(bills), PERIOD), table)
+    done = fresh.select(F.lit(mart).alias("mart"), FEED, BATCH).distinct()
     append_table(done, f"{database}.mart_progress")
 
 
-def mart_progress(spark: SparkSession, database: str, mart: str) -> Period:
-    """Latest period a mart has taken in, ``NO_STATE`` before its first run."""
+def _landed(spark: SparkSession, bill_table: str) -> DataFrame:
+    """Period, feed and batch of every partition of a bill table."""
+    listed = spark.sql(f"SHOW PARTITIONS {bill_table}")
+
+    def part(name: str) -> Column:
+        text = F.regexp_extract("partition", f"(?:^|/){name}=([^/]*)", 1)
+        return F.when(text != NO_VALUE, text)
+
+    return listed.select(
+        part("billing_year").cast("int").alias("billing_year"),
+        part("billing_month").alias("billing_month"),
+        part(FEED).alias(FEED), part(BATCH).cast("long").alias(BATCH),
+    )
+
+
+def _in_periods(periods: list[tuple[int | None, str | None]]) -> Column:
+    """Whether a bill is of one of the periods; prunes to their partitions."""
+    years: dict[int | None, list[str | None]] = {}
+    for year, month in periods:
+        years.setdefault(year, []).append(month)
+    wanted = F.lit(False)
+    for year, months in years.items():
+        known = [month for month in months if month is not None]
+        in_month = F.col("billing_month").isin(known)
+        if None in months:
+            in_month = F.coalesce(in_month, F.lit(False)) | F.col("billing_month").isNull()
+        in_year = F.col("billing_year").isNull() if year is None else F.col("billing_year") == year
+        wanted = wanted | (in_year & in_month)
+    return wanted
+
+
+def mart_progress(spark: SparkSession, database: str, mart: str) -> DataFrame:
+    """Feed and batch of the bills a mart has taken in."""
     table = f"{database}.mart_progress"
     if not spark.catalog.tableExists(table):
-        return NO_STATE
-    latest = F.max(F.struct("billing_year", "month_number")).alias("latest")
-    row = spark.table(table).where(F.col("mart") == mart).agg(latest).first()
-    if row["latest"] is None:
-        return NO_STATE
-    return Period(row["latest"]["billing_year"], row["latest"]["month_number"])
+        return spark.createDataFrame([], PROGRESS).select(FEED, BATCH)
+    return spark.table(table).where(F.col("mart") == mart).select(FEED, BATCH)

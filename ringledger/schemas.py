@@ -62,6 +62,7 @@ ITEMIZED_FOLDER = "Maxis_data/Itemized_bill/"
 MAXIS_MONTHLY_FOLDER = "Maxis_data/MonthlyBillData/"
 CELCOM_MONTHLY_FOLDER = "CelcomData/"
 
+# Columns of an itemized bill file.
 ITEMIZED_CSV = StructType([
     StructField(name, StringType(), True)
     for name in [
@@ -71,12 +72,14 @@ ITEMIZED_CSV = StructType([
     ]
 ])
 
+# Headers of the staff list.
 EMPLOYEE_HEADERS = [
     "H/P NO.", "User / Custodian (As per HR list)", "USER", "Phone Model", "Refresh",
     "Location", "Deliver Date", "Provider", "Type", "Custodian", "Cost Center",
     "Department", "Department HR ", "Title", "Supervisor", "Head Of Department",
 ]
 
+# Headers of a CELCOM bill.
 CELCOM_HEADERS = [
     "Mobile No", "Account No", "Child Account No", "Credit Limit", "Monthly Charges",
     "Usage Call/Charges", "One Time Charges", "Discount and Rebates",
@@ -98,6 +101,7 @@ BINARY_FILES = _schema(
     content=BinaryType(),
 )
 
+# Columns of the bill, staff and mart tables.
 ITEMIZED_BILL = _schema(
     phone_number=LongType(),
     STD_code=StringType(),
@@ -218,6 +222,7 @@ ACTIVITY_TSV = _schema(
     _c7=DoubleType(),
 )
 
+# Measures of an activity slot.
 ACTIVITY_MEASURES = [
     "SMS_in_activity",
     "SMS_out_activity",

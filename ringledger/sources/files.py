@@ -1,33 +1,51 @@
 """Delimited feed files."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ringledger.schemas import ACTIVITY_TSV
+from ringledger.operators.joins import join_per_file
+from ringledger.schemas import ACTIVITY_TSV, ITEMIZED_CSV
 
+# Cells taken of a line. A file whose header has a needed name further right is refused.
+CSV_WIDTH = 64
+CSV_CELLS = StructType([StructField(f"_c{i}", StringType()) for i in range(CSV_WIDTH)])
+
+
+def csv_lines(raw: DataFrame) -> DataFrame:
+    """``path``, ``file_name`` and the ``cells`` of every line, headers among them."""
+    return raw.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name"),
+        F.array(*CSV_CELLS.names).alias("cells"),
+    )
 
-def read_itemized_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Itemized bills as all-string columns named by the header, plus ``file_name``.
 
-    Columns follow the header, so files may carry more columns in any order. All files of
-    one call must share one header; a file with another one raises instead of shifting
-    its columns.
+def by_own_header(lines: DataFrame, names: list[str]) -> DataFrame:
+    """Lines under the named columns, each file read by its own header line.
+
+    Files may carry more columns, in any order. A header line is one that holds all names;
+    a file without one raises, with its path.
     """
-    return (
-        spark.read.option("header", True)
-        .option("enforceSchema", False)
-        .csv(path)
-        .select("*", F.col("_metadata.file_name").alias("file_name"))
+    places = [F.array_position("cells", name).cast("int").alias(f"_at{i}") for i, name in enumerate(names)]
+    at = [F.col(f"_at{i}") for i in range(len(names))]
+    marked = lines.select("path", "file_name", "cells", F.array(*places).alias("_at"))
+    heads = F.forall("_at", lambda place: place > 0)
+    headers = lines.select("path", *places).groupBy("path").agg(
+        *[F.max(F.when(F.least(*at) > 0, col)).alias(f"_at{i}") for i, col in enumerate(at)]
     )
+    body = join_per_file(marked.where(~heads), headers)
+
+    def cell(i: int) -> Column:
+        message = F.concat(F.lit("no header line with the needed columns: "), F.col("path"))
+        place = F.coalesce(at[i], F.raise_error(message).cast("int"))
+        return F.get("cells", place - 1).alias(names[i])
 
+    return body.select(*[cell(i) for i in range(len(names))], "file_name")
 
-def itemized_layout(spark: SparkSession, folder: str, default: StructType) -> StructType:
-    """Header layout of the bills waiting in a folder; ``default`` while it is empty."""
-    waiting = spark.read.format("text").schema("value string").load(folder)
-    if waiting.isEmpty():
-        return default
-    return spark.read.option("header", True).csv(folder).schema
+
+def read_itemized_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Itemized bills as text columns named by each file's header, plus ``file_name``."""
+    return by_own_header(csv_lines(spark.read.schema(CSV_CELLS).csv(path)), ITEMIZED_CSV.names)
 
 
 def read_activity_tsv(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -1,11 +1,12 @@
 """Relational tables over JDBC and the mapping of their column types."""
 
+import re
 from datetime import date
 from itertools import pairwise
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import DecimalType, StructField, StructType
 
 from ringledger.schemas import FALLBACK_WAREHOUSE_TYPE, SPARK_TYPES, WAREHOUSE_TYPES
 
@@ -99,12 +100,28 @@ def map_schema(described: DataFrame) -> DataFrame:
     })
 
 
-def target_schema(described: DataFrame) -> StructType:
-    """Spark schema of the target table; reads one row per column of the source table."""
+def exact_decimal(type_text: str) -> DecimalType | None:
+    """The decimal type a source column declares, where it declares one Spark can hold."""
+    found = re.fullmatch(r"decimal\((\d+)(?:,\s*(\d+))?\).*", type_text.lower())
+    if found is None:
+        return None
+    precision, scale = int(found[1]), int(found[2] or 0)
+    return DecimalType(precision, scale) if scale <= precision <= 38 else None
+
+
+def target_schema(described: DataFrame, exact_decimals: bool = False) -> StructType:
+    """Spark schema of the target table; reads one row per column of the source table.
+
+    ``exact_decimals`` keeps declared decimals as they are instead of as doubles.
+    """
     mapped = map_schema(described)
     if "Position" in described.columns:
         mapped = mapped.orderBy("Position")
     return StructType([
-        StructField(row["Field"], SPARK_TYPES[row["target_type"]], row["mode"] == "NULLABLE")
+        StructField(
+            row["Field"],
+            (exact_decimals and exact_decimal(row["Type"])) or SPARK_TYPES[row["target_type"]],
+            row["mode"] == "NULLABLE",
+        )
         for row in mapped.collect()
     ])

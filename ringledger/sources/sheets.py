@@ -58,8 +58,9 @@ def sheet_range_with_header(
     """Range whose first row names the columns: path, row and the columns in ``names``.
 
     Each file is read by its own header row, so the same column may sit elsewhere in
-    another file. Where a file's header lacks a name, that column is NULL. Files without
-    a header row yield nothing. ``per_file``, one row per path, adds its columns.
+    another file. Where a file's header lacks a name, that column is NULL, and without a
+    header row all are; ``lacking`` tells such files. ``per_file``, one row per path, adds
+    its columns.
 
     The headers, one row of column indexes per file, meet the rows together with
     ``per_file``, so the rows are joined once.
@@ -81,19 +82,49 @@ def sheet_range_with_header(
         columns += [F.col(name) for name in per_file.columns if name != "path"]
         header = header.join(per_file, "path", "left")
     body = inside.where(F.col("row") > skip)
-    return join_per_file(body, header).select("path", "row", *columns)
+    return join_per_file(body, header, "left").select("path", "row", *columns)
+
+
+def lacking(
+    rows: DataFrame,
+    sheet: str | None,
+    start: int,
+    end: int,
+    skip: int,
+    names: list[str] | None = None,
+) -> DataFrame:
+    """Paths of the files that lack the sheet, or a header row with all of ``names``."""
+    on_sheet = F.col("sheet_index") == 0 if sheet is None else F.col("sheet") == sheet
+    good = on_sheet
+    if names:
+        inside = F.map_filter("cells", lambda col, _: col.between(start, end))
+        held = F.map_values(inside)
+        good = on_sheet & (F.col("row") == skip) & F.forall(
+            F.array(*[F.lit(name) for name in names]), lambda name: F.array_contains(held, name)
+        )
+    return rows.groupBy("path").agg(F.bool_or(good).alias("good")).where(
+        ~F.coalesce("good", F.lit(False))
+    ).select("path")
 
 
 def first_cells(rows: DataFrame, **wanted: tuple[str | None, int, int]) -> DataFrame:
-    """Topmost filled cell of some columns per file, in one pass.
+    """Topmost filled cell of some columns per file.
 
     Each keyword gives the (sheet, column, rows to skip) to look in and names the result
     column beside path. NULL where a file has no such cell.
+
+    The rows to look at come from a hash aggregate over row numbers; text is only read
+    from those rows.
     """
-    found, columns = F.lit(False), []
+    found, tops, cells = F.lit(False), [], {}
     for name, (sheet, col, skip) in wanted.items():
         value = F.try_element_at("cells", F.lit(col))
         here = _on_range(sheet, skip) & value.isNotNull()
         found = found | here
-        columns.append(F.min_by(value, F.when(here, F.col("row"))).alias(name))
-    return rows.where(found).groupBy("path").agg(*columns)
+        tops.append(F.min(F.when(here, F.col("row"))).alias(f"_top_{name}"))
+        cells[name] = rows.where(here).select("path", F.col("row").alias(f"_top_{name}"),
+                                              value.alias(name))
+    result = rows.where(found).groupBy("path").agg(*tops)
+    for name, of_file in cells.items():
+        result = result.join(of_file, ["path", f"_top_{name}"], "left")
+    return result.select("path", *cells)

@@ -5,6 +5,7 @@ file system Spark knows works. Only unpacking one workbook into its rows is Pyth
 streams each sheet and hands the rows over in small Arrow batches.
 """
 
+import datetime
 import io
 import re
 import zipfile
@@ -18,6 +19,11 @@ from ringledger.schemas import SHEET_ROWS
 
 ROWS_PER_BATCH = 2_000
 
+# Number formats of the file format that show a date, and what else does.
+DATE_FORMATS = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)])
+DATE_LETTERS = re.compile(r"[dmyhs]", re.IGNORECASE)
+NOT_LETTERS = re.compile(r'"[^"]*"|\\.|\[[^\]]*\]')
+
 _ARROW_ROWS = pa.schema([
     ("path", pa.string()),
     ("sheet", pa.string()),
@@ -36,8 +42,9 @@ def read_workbook_rows(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def workbook_rows(files: DataFrame) -> DataFrame:
     """Sheet rows of ``binaryFile`` rows, with the filled cells as a map.
 
-    Rows and columns count from zero. Numbers and dates are given as stored, shared and
-    inline text in full; a cell that holds nothing is absent.
+    Rows and columns count from zero. Numbers are given as stored, cells with a date style
+    as ``yyyy-MM-dd`` with the time behind it where there is one, shared and inline text in
+    full; a cell that holds nothing is absent.
     """
     return files.select("path", "content").mapInArrow(_row_batches, SHEET_ROWS)
 
@@ -62,10 +69,10 @@ def _to_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _book_rows(content: bytes) -> Iterator[tuple[str, int, int, list]]:
     with zipfile.ZipFile(io.BytesIO(content)) as book:
-        shared = _shared_strings(book)
+        shared, dates = _shared_strings(book), _date_styles(book)
         for index, (name, part) in enumerate(_sheet_parts(book)):
             with book.open(part) as stream:
-                for row, cells in _sheet_rows(stream, shared):
+                for row, cells in _sheet_rows(stream, shared, dates):
                     yield name, index, row, cells
 
 
@@ -91,6 +98,36 @@ def _shared_strings(book: zipfile.ZipFile) -> list[str]:
     return [_text(item) for item in root]
 
 
+def _date_styles(book: zipfile.ZipFile) -> dict[str, datetime.datetime]:
+    """Day zero of the book for every cell style that shows a date."""
+    if "xl/styles.xml" not in book.namelist():
+        return {}
+    styles = ElementTree.fromstring(book.read("xl/styles.xml"))
+    own = {
+        item.get("numFmtId"): NOT_LETTERS.sub("", item.get("formatCode", ""))
+        for item in styles.iter() if _local(item.tag) == "numFmt"
+    }
+    properties = ElementTree.fromstring(book.read("xl/workbook.xml")).iter()
+    late = any(_local(p.tag) == "workbookPr" and p.get("date1904") in ("1", "true") for p in properties)
+    zero = datetime.datetime(1904, 1, 1) if late else datetime.datetime(1899, 12, 30)
+    formats = next((list(part) for part in styles if _local(part.tag) == "cellXfs"), [])
+    found = {}
+    for index, style in enumerate(formats):
+        number = style.get("numFmtId", "0")
+        if DATE_LETTERS.search(own[number]) if number in own else int(number) in DATE_FORMATS:
+            found[str(index)] = zero
+    return found
+
+
+def _shown_date(stored: str, zero: datetime.datetime) -> str:
+    """A day number as ISO text; what is no number, or out of range, as stored."""
+    try:
+        moment = zero + datetime.timedelta(seconds=round(float(stored) * 86_400))
+    except (ValueError, OverflowError):
+        return stored
+    return str(moment.date()) if moment.time() == datetime.time() else str(moment)
+
+
 def _sheet_parts(book: zipfile.ZipFile) -> list[tuple[str, str]]:
     links = ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))
     targets = {link.get("Id"): link.get("Target") for link in links}
@@ -112,7 +149,9 @@ def _column_index(reference: str) -> int:
     return index - 1
 
 
-def _sheet_rows(stream, shared: list[str]) -> Iterator[tuple[int, list]]:
+def _sheet_rows(
+    stream, shared: list[str], dates: dict[str, datetime.datetime]
+) -> Iterator[tuple[int, list]]:
     row, table = -1, None
     for event, element in ElementTree.iterparse(stream, events=("start", "end")):
         tag = _local(element.tag)
@@ -120,23 +159,27 @@ def _sheet_rows(stream, shared: list[str]) -> Iterator[tuple[int, list]]:
             table = element
         elif event == "end" and tag == "row":
             row = int(element.get("r", row + 2)) - 1
-            cells = list(_row_cells(element, shared))
+            cells = list(_row_cells(element, shared, dates))
             if cells:
                 yield row, cells
             table.clear()
 
 
-def _row_cells(row: ElementTree.Element, shared: list[str]) -> Iterator[tuple[int, str]]:
+def _row_cells(
+    row: ElementTree.Element, shared: list[str], dates: dict[str, datetime.datetime]
+) -> Iterator[tuple[int, str]]:
     col = -1
     for cell in row:
         reference = cell.get("r")
         col = _column_index(reference) if reference else col + 1
-        value = _cell_value(cell, shared)
+        value = _cell_value(cell, shared, dates)
         if value is not None:
             yield col, value
 
 
-def _cell_value(cell: ElementTree.Element, shared: list[str]) -> str | None:
+def _cell_value(
+    cell: ElementTree.Element, shared: list[str], dates: dict[str, datetime.datetime]
+) -> str | None:
     kind = cell.get("t")
     if kind == "inlineStr":
         return "".join(_text(child) for child in cell if _local(child.tag) == "is")
@@ -147,4 +190,5 @@ def _cell_value(cell: ElementTree.Element, shared: list[str]) -> str | None:
         return shared[int(stored)]
     if kind == "b":
         return "TRUE" if stored == "1" else "FALSE"
-    return stored
+    zero = dates.get(cell.get("s", "")) if kind in (None, "n") else None
+    return stored if zero is None else _shown_date(stored, zero)

@@ -1,11 +1,15 @@
 """Hourly activity over a stream, with late rows."""
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ringledger.plans.activity import hourly_average
 
 
+HOUR = "hour_folder"
+
+
 def stream_hourly_average(activity: DataFrame, late_by: str = "2 hours") -> DataFrame:
     """Streaming hourly averages.
 
@@ -16,14 +20,19 @@ def stream_hourly_average(activity: DataFrame, late_by: str = "2 hours") -> Data
 
 
 def write_hours(hours: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Writer that keeps every hour so far under ``path``: one row per hour, replaced as
-    whole by each batch, so a repeated batch changes nothing."""
+    """Writer that keeps every hour under ``path``, in a folder per hour.
+
+    A batch holds the hours it changed and replaces their folders only, so a repeated batch
+    changes nothing, other hours stay readable, and closed hours leave the state.
+    """
 
     def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.withColumn(HOUR, F.date_format("start", "yyyy-MM-dd-HH")).write.partitionBy(
+            HOUR
+        ).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
 
     return (
-        hours.writeStream.outputMode("complete")
+        hours.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(replace)
     )

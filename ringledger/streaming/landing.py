@@ -3,7 +3,8 @@
 A file source lists the folder, its checkpoint remembers the files taken, and
 ``cleanSource`` moves them to the archive some batches later. Each micro-batch writes its
 own ``ingest_batch`` partitions, replacing them: after a crash Spark repeats the batch
-with the same files, and the table still holds every row once.
+with the same files, and the table still holds every row once. A workbook without a needed
+sheet or header fails its batch, which is run again once the file is mended or taken away.
 """
 
 from collections.abc import Callable
@@ -14,8 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from ringledger.operators.staging import staged
+from ringledger.operators.staging import delete_folder, staged
 from ringledger.plans.feeds import (
+    CELCOM_BILL_RANGE,
+    EMPLOYEE_RANGE,
+    MAXIS_SUMMARY_RANGE,
     employee_rows,
     normalise_celcom_monthly,
     normalise_employees,
@@ -24,8 +28,10 @@ from ringledger.plans.feeds import (
 )
 from ringledger.schemas import (
     BINARY_FILES,
+    CELCOM_HEADERS,
     CELCOM_MONTHLY_FOLDER,
     EMPLOYEE_FOLDER,
+    EMPLOYEE_HEADERS,
     EMPLOYEE_MASTER,
     ITEMIZED_BILL,
     ITEMIZED_CSV,
@@ -33,8 +39,9 @@ from ringledger.schemas import (
     MAXIS_MONTHLY_FOLDER,
     MONTHLY_BILL_SUMMARY,
 )
-from ringledger.sinks.tables import ensure_table, replace_partitions
-from ringledger.sources.files import itemized_layout
+from ringledger.sinks.tables import ensure_table, rebalanced, replace_partitions
+from ringledger.sources.files import CSV_CELLS, by_own_header, csv_lines
+from ringledger.sources.sheets import lacking
 from ringledger.sources.workbook import workbook_rows
 
 FEED = "feed"
@@ -53,12 +60,23 @@ class Feed:
     periods: list[str]
     workbook: bool
     normalise: Callable[[DataFrame], DataFrame]
+    # Sheet ranges every workbook must have, with the headers it must name.
+    needed: tuple[tuple, ...] = ()
+
+
+class RefusedFiles(ValueError):
+    """Workbooks without a needed sheet or header; nothing of their batch is landed."""
+
+    def __init__(self, feed: str, paths: list[str]):
+        super().__init__(f"{feed}: no sheet or header as needed in {', '.join(paths)}")
+        self.paths = paths
 
 
 FEEDS = [
     Feed(
         "employees", EMPLOYEE_FOLDER, "employee_master", EMPLOYEE_MASTER, [], True,
         lambda rows: normalise_employees(employee_rows(rows)),
+        ((*EMPLOYEE_RANGE, EMPLOYEE_HEADERS),),
     ),
     Feed(
         "itemized", ITEMIZED_FOLDER, "itemized_bill", ITEMIZED_BILL, PERIOD, False,
@@ -66,11 +84,12 @@ FEEDS = [
     ),
     Feed(
         "maxis_monthly", MAXIS_MONTHLY_FOLDER, "monthly_bill_summary",
-        MONTHLY_BILL_SUMMARY, PERIOD, True, normalise_maxis_monthly,
+        MONTHLY_BILL_SUMMARY, PERIOD, True, normalise_maxis_monthly, (MAXIS_SUMMARY_RANGE,),
     ),
     Feed(
         "celcom_monthly", CELCOM_MONTHLY_FOLDER, "monthly_bill_summary",
         MONTHLY_BILL_SUMMARY, PERIOD, True, normalise_celcom_monthly,
+        ((*CELCOM_BILL_RANGE, CELCOM_HEADERS),),
     ),
 ]
 
@@ -79,19 +98,13 @@ def _landing_files(
     spark: SparkSession, feed: Feed, source: str, archive: str | None
 ) -> DataFrame:
     folder = f"{source.rstrip('/')}/{feed.folder}"
-    reader = spark.readStream
+    # A refused file may be taken away before its batch is run again.
+    reader = spark.readStream.option("ignoreMissingFiles", True)
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if feed.workbook:
         return reader.format("binaryFile").schema(BINARY_FILES).load(folder)
-    layout = itemized_layout(spark, folder, ITEMIZED_CSV)
-    return (
-        reader.option("header", True)
-        .option("enforceSchema", False)
-        .schema(layout)
-        .csv(folder)
-        .select("*", F.col("_metadata.file_name").alias("file_name"))
-    )
+    return csv_lines(reader.schema(CSV_CELLS).csv(folder))
 
 
 def landed_table(spark: SparkSession, database: str, feed: Feed) -> str:
@@ -104,6 +117,16 @@ def landed_table(spark: SparkSession, database: str, feed: Feed) -> str:
     return table
 
 
+def _refuse(feed: Feed, files: DataFrame, rows: DataFrame) -> None:
+    """Raises for files that would land nothing; a file without any row lacks all."""
+    bad = files.select("path").join(rows.select("path").distinct(), "path", "left_anti")
+    for part in feed.needed:
+        bad = bad.union(lacking(rows, *part))
+    paths = sorted({row["path"] for row in bad.distinct().collect()})  # a row per bad file
+    if paths:
+        raise RefusedFiles(feed.name, paths)
+
+
 def ingest(
     spark: SparkSession,
     feed: Feed,
@@ -117,13 +140,18 @@ def ingest(
     state = f"{checkpoints.rstrip('/')}/{feed.name}"
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        rows = batch
+        unpacked = f"{state}-rows/{batch_id}"
         if feed.workbook:
-            rows = staged(workbook_rows(batch), feed.name, f"{state}-rows/{batch_id}")
+            rows = staged(workbook_rows(batch), feed.name, unpacked)
+            _refuse(feed, batch, rows)
+        else:
+            rows = by_own_header(batch, ITEMIZED_CSV.names)
         marked = feed.normalise(rows).withColumns({
             FEED: F.lit(feed.name), BATCH: F.lit(batch_id).cast("long")
         })
-        replace_partitions(marked, table)
+        replace_partitions(rebalanced(marked, feed.periods) if feed.periods else marked, table)
+        if feed.workbook:
+            delete_folder(spark, unpacked)
 
     return (
         _landing_files(spark, feed, source, archive)

@@ -49,7 +49,9 @@ GOLDEN = [
         "01/02/18": D(2018, 2, 1), " 05/02/18": D(2018, 2, 5), "31/02/18": None,
         "1/2/18": D(2018, 2, 1), "01/02/98": D(1998, 2, 1), "01/02/2018": D(2018, 2, 1),
         "01/02/18 10:00": D(2018, 2, 1), "2018-02-01": None, "soon": None, "": None,
-        "5 x/02/18": None, None: None,
+        "5 x/02/18": None, None: None, "01/02/018": None, "01/02/20181": None, "01 02 18": None,
+        "01/02": None, "1/2/3/18": None, "//": None, "01/02/1a": None, "01/02/49": D(2049, 2, 1),
+        "01/02/50": D(1950, 2, 1),
     }),
     (dates.statement_date, {
         "05/01/2018 - 28/01/2018": D(2018, 1, 5), "1/2/2018 - 5": D(2018, 2, 1),
@@ -59,7 +61,10 @@ GOLDEN = [
         "05 May 2018": D(2018, 5, 5), "5 Jan 2018": D(2018, 1, 5),
         "05 January 2018": D(2018, 1, 5), "May": None, None: None,
     }),
-    (dates.serial_date, {"43227": D(2018, 5, 7), "2018": None, "x": None, None: None}),
+    (dates.cell_date, {
+        "2018-05-07": D(2018, 5, 7), "2018-05-07 12:30:00": D(2018, 5, 7), "1905-07-10": D(1905, 7, 10),
+        "43227": None, "2018": None, "x": None, None: None,
+    }),
     (dates.file_year, {"201805_bill.csv": 2018, "bill.csv": None, None: None}),
     (dates.file_month, {
         "201805_bill.csv": "May", "201813_b.csv": None, "201800_b.csv": None, "x": None,

@@ -8,9 +8,10 @@ import pytest
 
 import __spark_entry__ as driver
 from conftest import TESTDATA
+from ringledger.checks.oracle import ORACLE
+from ringledger.checks.queries import QUERIES as OWN
 
-QUERIES = driver.queries()
-ORACLE = driver.oracle_sql()
+QUERIES = {name: driver.queries()[name] for name in OWN}
 
 SF = TESTDATA / "sf0.01"
 

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from ringledger.plans.copy import copy_to_service, table_copy
+from ringledger.operators.staging import shared_folder
+from ringledger.plans.copy import copy_to_service, copy_to_table, table_copy
 from ringledger.sinks.batches import DeliveryError, send_batches
 from ringledger.sinks.tables import (
     append_counted,
@@ -123,6 +124,33 @@ def test_refused_rows_are_kept_and_the_others_delivered(spark, tmp_path):
 TARGET = StructType([StructField("k", LongType()), StructField("v", DoubleType())])
 
 
+def test_copy_creates_loads_and_keeps_misfits(spark):
+    described = spark.createDataFrame(
+        [("k", "bigint(20)", "NO"), ("v", "decimal(10,2)", "YES"), ("t", "datetime", "YES")],
+        "Field string, Type string, `Null` string")
+    source = spark.createDataFrame(
+        [("1", "1.25", None), ("2", "x", "2018-01-01 00:00:00"), (None, "2", None), ("3", None, "soon")],
+        "k string, v string, t string")
+    assert copy_to_table(source, described, "copied", exact_decimals=True) == 3
+    assert [(r["k"], str(r["v"]), r["t"]) for r in spark.table("copied").collect()] == [(1, "1.25", None)]
+    assert spark.table("copied").schema["v"].dataType.simpleString() == "decimal(10,2)"
+    assert sorted(str(r["k"]) for r in spark.table("copied_misfits").collect()) == ["2", "3", "None"]
+    with pytest.raises(Exception, match="exists|EXISTS"):
+        copy_to_table(source, described, "copied")
+
+
+def test_staging_on_a_cluster_needs_a_shared_folder():
+    class Context:
+        master, applicationId = "spark://somewhere", "a"
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session(), "x")
+
+
 def test_copy_maps_types_and_limits(spark, tmp_path):
     source = _numbers(spark, 0, 50)
     assert table_copy(source, TARGET).count() == 50

@@ -1,13 +1,14 @@
 """Readers: CSV and TSV files, workbooks and sheet ranges, relational tables."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql.types import DoubleType, LongType, StringType, TimestampType
 
 from ringledger.plans import feeds
 from ringledger.schemas import ITEMIZED_CSV
-from ringledger.sources.files import itemized_layout, read_activity_tsv, read_itemized_csv
+from ringledger.sources.files import read_activity_tsv, read_itemized_csv
 from ringledger.sources.relational import (
     bounds_query,
     columns_query,
@@ -17,7 +18,7 @@ from ringledger.sources.relational import (
     starts_query,
     target_schema,
 )
-from ringledger.sources.sheets import first_cells, sheet_range, sheet_range_with_header
+from ringledger.sources.sheets import first_cells, lacking, sheet_range, sheet_range_with_header
 from ringledger.sources.workbook import read_workbook_rows
 from workbooks import row_of, write_workbook
 
@@ -40,18 +41,42 @@ def test_csv_is_read_by_header(spark, tmp_path):
     assert str(bill["start_date"]) == "2018-02-01" and str(bill["end_date"]) == "2018-02-05"
 
 
-def test_csv_with_another_header_is_refused(spark, tmp_path):
+def test_each_csv_is_read_by_its_own_header(spark, tmp_path):
+    (tmp_path / "201805_a.csv").write_text(f"{HEADER}\n{LINE}\n{LINE}\n")
+    turned = [",".join(["?", *reversed(text.split(","))]) for text in (HEADER, LINE)]
+    (tmp_path / "201806_b.csv").write_text("\n".join(turned) + "\n")
+    rows = read_itemized_csv(spark, str(tmp_path)).select(*ITEMIZED_CSV.names).collect()
+    assert [",".join(row) for row in rows] == [LINE] * 3
+
+
+def test_a_csv_without_the_needed_header_raises(spark, tmp_path):
     (tmp_path / "201805_a.csv").write_text(f"{HEADER}\n{LINE}\n")
-    other = ",".join(reversed(ITEMIZED_CSV.names))
-    (tmp_path / "201806_b.csv").write_text(f"{other}\n{LINE}\n")
-    with pytest.raises(Exception, match="header"):
+    (tmp_path / "201806_b.csv").write_text(f"{HEADER.replace('Total', 'Sum')}\n{LINE}\n")
+    with pytest.raises(Exception, match="201806_b.csv"):
         read_itemized_csv(spark, str(tmp_path)).collect()
 
 
-def test_layout_of_an_empty_folder_is_the_default(spark, tmp_path):
-    assert itemized_layout(spark, str(tmp_path), ITEMIZED_CSV) == ITEMIZED_CSV
-    (tmp_path / "201805_a.csv").write_text(f"more,{HEADER}\n1,{LINE}\n")
-    assert itemized_layout(spark, str(tmp_path), ITEMIZED_CSV).names[0] == "more"
+def test_date_cells_are_shown_as_dates(spark, tmp_path):
+    moments = [dt.datetime(2018, 2, 7), dt.datetime(1979, 5, 1, 12, 30)]
+    write_workbook(tmp_path / "a.xlsx", {"S": {0: {0: moments[0], 1: moments[1], 2: 43138, 3: "x"}}})
+    cells = read_workbook_rows(spark, str(tmp_path)).first()["cells"]
+    assert cells == {0: "2018-02-07", 1: "1979-05-01 12:30:00", 2: "43138", 3: "x"}
+
+
+def test_files_that_lack_a_sheet_or_header_are_told(spark, tmp_path):
+    for name, sheets in {
+        "good": {"S": {2: {0: "A", 1: "B"}}}, "renamed": {"S": {2: {0: "A", 1: "b"}}},
+        "bare": {"S": {5: {0: "1"}}}, "other": {"T": {2: {0: "A", 1: "B"}}},
+    }.items():
+        write_workbook(tmp_path / f"{name}.xlsx", sheets)
+    rows = read_workbook_rows(spark, str(tmp_path))
+
+    def found(*part):
+        return sorted(Path(r["path"]).stem for r in lacking(rows, *part).collect())
+
+    assert found("S", 0, 5, 2, ["A", "B"]) == ["bare", "other", "renamed"]
+    assert found("S", 0, 5, 2) == ["other"]
+    assert found(None, 0, 0, 2, ["A"]) == ["bare"]
 
 
 def test_activity_tsv(spark, tmp_path):

@@ -1,8 +1,10 @@
 """Landing folders, the whole refresh, and hourly activity over a stream."""
 
+import datetime
+
+import pytest
 from pyspark.sql import functions as F
 
-from ringledger.operators.period import Period
 from ringledger.plans.activity import cleaned, hourly_average
 from ringledger.plans.refresh import mart_progress, refresh
 from ringledger.schemas import (
@@ -47,8 +49,8 @@ def _maxis(root, month, numbers):
 
 
 def _celcom(root, month, numbers):
-    write_workbook(root / CELCOM_MONTHLY_FOLDER / f"c{month}.xlsx", {"Bill": {
-        4: {2: month if isinstance(month, int) else f"07 {month} 2018"},
+    write_workbook(root / CELCOM_MONTHLY_FOLDER / f"c{str(month)[:10]}.xlsx", {"Bill": {
+        4: {2: f"07 {month} 2018" if isinstance(month, str) else month},
         14: row_of(3, CELCOM_HEADERS),
         **{15 + i: row_of(3, [f"013-{n}", 77, 78, 100, 20, 5, 1, -2, 24])
            for i, n in enumerate(numbers)},
@@ -93,7 +95,7 @@ def test_refresh_takes_each_file_once_and_adds_new_periods(spark, tmp_path):
 
     refresh(*args)  # nothing new
     _itemized(source, "201802_a.csv", [2222222])
-    _celcom(source, 43138, [2222222, 1111111])  # a date cell: 2018-02-07
+    _celcom(source, datetime.datetime(2018, 2, 7), [2222222, 1111111])  # a date cell
     refresh(*args)
     assert table("employee_master").count() == 2
     assert table("itemized_bill").count() == 4
@@ -102,7 +104,7 @@ def test_refresh_takes_each_file_once_and_adds_new_periods(spark, tmp_path):
     assert table("employee_monthly_top_table").groupBy("billing_month").count().orderBy(
         "billing_month"
     ).collect() == [("February", 2), ("January", 2)]
-    assert mart_progress(spark, "bills_a", "employee_itemized_bill") == Period(2018, 2)
+    assert mart_progress(spark, "bills_a", "employee_itemized_bill").count() == 2
     # Files are archived some batches after they were taken; January's are gone by now.
     left = {p.name for p in source.rglob("*") if p.is_file()}
     taken = {p.name for p in archive.rglob("*") if p.is_file()}
@@ -126,6 +128,51 @@ def test_a_mart_that_failed_is_made_up_for(spark, tmp_path):
     assert spark.table("bills_b.employee_itemized_bill").count() == 3
 
 
+def test_late_bills_reach_the_marts(spark, tmp_path):
+    source = tmp_path / "in"
+    args = (spark, str(source), "bills_d", str(tmp_path / "state"))
+    for feed in FEEDS:
+        (source / feed.folder).mkdir(parents=True)
+    _staff(source, "staff.xlsx", ["012-1111111", "013-12222222"])
+    _maxis(source, 1, [1111111])
+    _itemized(source, "209912_far.csv", [1111111])  # a misnamed file
+    _itemized(source, "nameless.csv", [1111111])
+    refresh(*args)
+    top = lambda: sorted((r["username"], r["operator"]) for r in spark.table(
+        "bills_d.employee_monthly_top_table").collect())
+    assert top() == [("u0", "MAXIS")]
+    _celcom(source, "Jan", [12222222, 2222222])  # the same month; one number of eight digits
+    _itemized(source, "201801_a.csv", [1111111])
+    _itemized(source, "unnamed.csv", [1111111])
+    refresh(*args)
+    assert top() == [("u0", "MAXIS"), ("u1", "CELCOM")]
+    itemized = spark.table("bills_d.employee_itemized_bill")
+    assert sorted(str(r["billing_year"]) for r in itemized.collect()) == ["2018", "2099", "None", "None"]
+    refresh(*args)
+    assert itemized.count() == 4
+
+
+def test_refused_workbooks_are_not_taken(spark, tmp_path):
+    source, archive = tmp_path / "in", tmp_path / "done"
+    feed = next(feed for feed in FEEDS if feed.name == "celcom_monthly")
+    spark.sql("CREATE DATABASE IF NOT EXISTS bills_e")
+    run = lambda: ingest(
+        spark, feed, str(source), "bills_e", str(tmp_path / "state"), str(archive)).awaitTermination()
+    _celcom(source, "Jan", [2222222])
+    bad = source / feed.folder / "bad.xlsx"
+    write_workbook(bad, {"Bill": {14: row_of(1, ["Mobile", *CELCOM_HEADERS[1:]]), 15: row_of(1, ["012-1"] * 9)}})
+    none = source / feed.folder / "none.xlsx"
+    write_workbook(none, {"Bill": {20: {0: "x"}}})
+    with pytest.raises(Exception, match="bad.xlsx.*none.xlsx"):
+        run()
+    assert spark.table("bills_e.monthly_bill_summary").count() == 0
+    assert bad.exists() and none.exists()
+    bad.unlink()
+    none.unlink()
+    run()
+    assert spark.table("bills_e.monthly_bill_summary").count() == 1
+
+
 def test_a_repeated_batch_changes_nothing(spark):
     itemized = next(feed for feed in FEEDS if feed.name == "itemized")
     spark.sql("CREATE DATABASE IF NOT EXISTS bills_c")

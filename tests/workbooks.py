@@ -1,5 +1,6 @@
 """Builds small .xlsx files for the tests."""
 
+import datetime
 import zipfile
 from pathlib import Path
 from xml.sax.saxutils import escape
@@ -8,6 +9,13 @@ MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 LINKS = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 PACKAGE = "http://schemas.openxmlformats.org/package/2006/relationships"
 
+# Styles 0 to 3: general, a built-in date, a date and a number of the book's own.
+STYLES = (
+    '<numFmts><numFmt numFmtId="164" formatCode="dd\\ mmm"/>'
+    '<numFmt numFmtId="165" formatCode="0.0 &quot;days&quot;"/></numFmts>'
+    '<cellXfs><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="164"/><xf numFmtId="165"/></cellXfs>'
+)
+
 
 def letters(col: int) -> str:
     name = ""
@@ -31,6 +39,9 @@ def write_workbook(path: Path, sheets: dict[str, dict[int, dict[int, object]]])
                 if isinstance(value, str):
                     shared.append(value)
                     body += f'<c r="{place}" t="s"><v>{len(shared) - 1}</v></c>'
+                elif isinstance(value, datetime.datetime):
+                    days = (value - datetime.datetime(1899, 12, 30)) / datetime.timedelta(days=1)
+                    body += f'<c r="{place}" s="1"><v>{days}</v></c>'
                 elif value is None:
                     body += f'<c r="{place}"/>'
                 else:
@@ -56,6 +67,7 @@ def write_workbook(path: Path, sheets: dict[str, dict[int, dict[int, object]]])
             "xl/_rels/workbook.xml.rels",
             f'<Relationships xmlns="{PACKAGE}">{links}</Relationships>',
         )
+        book.writestr("xl/styles.xml", f'<styleSheet xmlns="{MAIN}">{STYLES}</styleSheet>')
         book.writestr("xl/sharedStrings.xml", f'<sst xmlns="{MAIN}">{texts}</sst>')
         for i, body in enumerate(bodies, 1):
             book.writestr(f"xl/worksheets/sheet{i}.xml", body)
