@@ -37,8 +37,18 @@ def staged(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a folder, on whatever file system it lies."""
+    system, folder = _folder(spark, path)
+    return system.exists(folder)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
-    """Deletes a staged copy that is no longer read, on whatever file system it lies."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    """Deletes a staged copy that is no longer read."""
+    system, folder = _folder(spark, path)
+    system.delete(folder, True)

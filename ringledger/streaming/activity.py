@@ -4,10 +4,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from ringledger.operators.staging import folder_exists, staged
 from ringledger.plans.activity import hourly_average
 
 
-HOUR = "hour_folder"
+DAY = "day_folder"
 
 
 def stream_hourly_average(activity: DataFrame, late_by: str = "2 hours") -> DataFrame:
@@ -20,16 +21,26 @@ def stream_hourly_average(activity: DataFrame, late_by: str = "2 hours") -> Data
 
 
 def write_hours(hours: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Writer that keeps every hour under ``path``, in a folder per hour.
+    """Writer that keeps every hour under ``path``, in a folder per day.
 
-    A batch holds the hours it changed and replaces their folders only, so a repeated batch
-    changes nothing, other hours stay readable, and closed hours leave the state.
+    A batch holds the hours it changed. They are laid over the stored hours of their days,
+    and only those days' folders are replaced, so a repeated batch changes nothing, other
+    days stay readable, and closed hours leave the state.
     """
 
     def replace(batch: DataFrame, _: int) -> None:
-        batch.withColumn(HOUR, F.date_format("start", "yyyy-MM-dd-HH")).write.partitionBy(
-            HOUR
-        ).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+        changed = staged(batch.withColumn(DAY, F.to_date("start")), "changed-hours")
+        whole = changed
+        if folder_exists(batch.sparkSession, path):
+            stored = batch.sparkSession.read.schema(changed.schema).parquet(path)
+            kept = stored.join(changed.select(DAY).distinct(), DAY, "left_semi").join(
+                changed.select("start"), "start", "left_anti"
+            )
+            whole = changed.unionByName(kept)
+        # Spark writes such partitions beside the old ones and swaps them at the end.
+        whole.hint("rebalance", F.col(DAY)).write.partitionBy(DAY).option(
+            "partitionOverwriteMode", "dynamic"
+        ).mode("overwrite").parquet(path)
 
     return (
         hours.writeStream.outputMode("update")

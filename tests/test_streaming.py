@@ -215,3 +215,24 @@ def test_streamed_hours_equal_batch_hours(spark, tmp_path):
     ))
     assert streamed == {(r["start"], r["hourly_average"]) for r in batch.collect()}
     assert len(streamed) == 5
+
+
+def test_rows_later_than_the_watermark_change_nothing(spark, tmp_path):
+    begin, folder, out = 1383260400000, tmp_path / "slots", str(tmp_path / "hours")
+    folder.mkdir()
+
+    def run(name, slots):
+        (folder / name).write_text("".join(
+            f"1\t{begin + s * 600_000}\t39\t{value}\t0\t0\t0\t0\n" for s, value in slots
+        ))
+        slots = spark.readStream.schema(ACTIVITY_TSV).option("sep", "\t").csv(str(folder))
+        hours = stream_hourly_average(cleaned(slots, 2))
+        write_hours(hours, out, str(tmp_path / "state")).trigger(
+            availableNow=True
+        ).start().awaitTermination()
+        found = spark.read.parquet(out).orderBy("start").collect()
+        return [r["hourly_average"] for r in found]
+
+    assert run("a.tsv", [(0, 2), (6, 3)]) == [2.0, 3.0]
+    assert run("b.tsv", [(6, 5), (300, 7)]) == [2.0, 4.0, 7.0]  # an hour of the stored day changes
+    assert run("c.tsv", [(0, 100), (301, 9)]) == [2.0, 4.0, 8.0]  # the first hour is closed
