@@ -367,11 +367,22 @@ def main_text(source: str | None, model: Boosted | None) -> str:
 
 
 def training_pages(pages: DataFrame, html_column: str = "html") -> list[str]:
-    """At most TRAIN_PAGES pages of at most TRAIN_CHARS characters, chosen by hash."""
+    """At most TRAIN_PAGES different pages of at most TRAIN_CHARS characters, chosen by hash.
+
+    Hashes alone are ranked; page texts leave the tasks only for the ones picked.
+    """
     source = F.col(f"`{html_column}`")
-    usable = pages.where(source.isNotNull() & (F.char_length(source) <= TRAIN_CHARS))
-    picked = usable.select(source.alias("html"), F.xxhash64(source).alias("order"))
-    return [row[0] for row in picked.orderBy("order", "html").limit(TRAIN_PAGES).collect()]
+    usable = pages.where(source.isNotNull() & (F.char_length(source) <= TRAIN_CHARS)).select(
+        source.alias("html"), F.xxhash64(source).alias("order")
+    )
+    lowest = [row[0] for row in
+              usable.select("order").distinct().orderBy("order").limit(TRAIN_PAGES).collect()]
+    if not lowest:
+        return []
+    picked = usable.where(F.col("order") <= lowest[-1]).groupBy("order").agg(
+        F.min("html").alias("html")
+    )
+    return [row["html"] for row in sorted(picked.collect(), key=lambda row: row["order"])]
 
 
 def extracted(pages: DataFrame, id_column: str = "page_id", url_column: str = "url",
