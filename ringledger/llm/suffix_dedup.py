@@ -14,11 +14,14 @@ are judged on the input.
 3. Where a key has several different runs, their texts are fetched, gathered in key order into
    bundles of shards, and the shards' Burrows-Wheeler transforms are merged by interleave
    refinement (``bwt.repeated``). Intervals with a common prefix of ``length`` or more are the
-   repeated strings; in each the earliest place stays.
+   repeated strings; in each the earliest place stays. A key with very many different runs is
+   split first, by where its minimizer stands in a window and by the bytes all such windows
+   share, so a large group of near copies spreads over tasks.
 4. Spans are merged per document and cut.
 
 Steps are written to the shared folder. Tasks hold one bundle at a time; a bundle ends at a key's
-end, so its size is set by ``BUNDLE_BYTES`` and the most different surroundings of one key.
+end, so its size is set by ``BUNDLE_BYTES`` and by the most different surroundings of one
+(finer) key.
 
 Defined results: null and short texts keep all their bytes. Rows that are equal in id and text
 are one document and have the same result; an id names one text. Rows without an id are left
@@ -46,6 +49,10 @@ GRAM = 32
 GROUP_BYTES = 1 << 19
 GROUPS = 16
 BUNDLE_BYTES = 1 << 18
+# A key with more different runs than this is split into finer ones, each of the windows in which
+# the minimizer stands at one of so many neighbouring places.
+CROWD = 500
+PART_PLACES = 8
 # Positions share a word with hashes while minima are sought.
 PLACE_BITS = np.uint64(24)
 PLACE_MASK = np.uint64((1 << 24) - 1)
@@ -275,15 +282,40 @@ TEXTS = pa.schema([
 TEXTS_SQL = "key long, id long, first long, bytes binary"
 
 
-def _fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parts(run: bytes, key: int, length: int, gram: int) -> Iterator[tuple[int, int, bytes]]:
+    """A crowded key's run in parts: finer key, offset, bytes.
+
+    A part holds the windows in which the minimizer stands within PART_PLACES places of each
+    other. They share all but that many bytes around it, and the hash of those is the finer
+    key, so equal windows still meet.
+    """
+    powers, inverses = _powers(1 << len(run).bit_length())
+    values = _byte_values()[np.frombuffer(run, dtype=np.uint8)] * powers[: len(run)]
+    sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(values, dtype=np.uint64)))
+    grams = _mixed((sums[gram:] - sums[:-gram]) * inverses[: len(run) - gram + 1])
+    place = int(np.flatnonzero(grams.view(np.int64) == key)[0])
+    last = len(run) - length
+    for part in range((place - last) // PART_PLACES, place // PART_PLACES + 1):
+        # Windows start at most ``high`` before the minimizer and at least ``low``.
+        low, high = part * PART_PLACES, part * PART_PLACES + PART_PLACES - 1
+        begin, end = max(0, place - high), min(last, place - low)
+        shared = run[place - low : place - high + length]
+        digest = hashlib.blake2b(shared, digest_size=8, salt=part.to_bytes(2, "big")).digest()
+        yield int.from_bytes(digest, "big", signed=True), begin, run[begin : end + length]
+
+
+def _fetched(batches: Iterator[pa.RecordBatch], length: int, gram: int
+             ) -> Iterator[pa.RecordBatch]:
     """The bytes of the runs listed beside each text."""
     for batch in batches:
         rows: list[tuple] = []
         for name, text, runs in zip(*(batch.column(c) for c in ("id", "text", "runs"))):
             whole = text.as_py().encode("utf-8", "surrogatepass")
             for run in runs.as_py():
-                a = run["first"]
-                rows.append((run["key"], name.as_py(), a, whole[a : a + run["size"]]))
+                a, key = run["first"], run["key"]
+                found = whole[a : a + run["size"]]
+                parts = _parts(found, key, length, gram) if run["crowded"] else [(key, 0, found)]
+                rows += [(k, name.as_py(), a + offset, part) for k, offset, part in parts]
         if rows:
             yield _batch(TEXTS, *zip(*rows))
 
@@ -328,18 +360,26 @@ def _bundled(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
 
 
 def repeated_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                   length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``id, first, size``: bytes to remove, in spans that may overlap."""
+                   length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
+    """``id, first, size``: bytes to remove, in spans that may overlap.
+
+    Keys with more than ``crowd`` different runs are split up; the result is the same."""
     read = docs.select(F.col(f"`{id_column}`").cast("long").alias("id"),
                        F.col(f"`{text_column}`").alias("text"))
     runs = read.mapInArrow(lambda batches: _scanned(batches, length, gram), RUNS_SQL)
     by_key = runs.repartition("key").sortWithinPartitions("key", "body", "id", "first")
     decided = staged(by_key.mapInArrow(_decided, DECIDED_SQL), "runs")
-    wanted = decided.where("key is not null").groupBy("id").agg(
-        F.collect_list(F.struct("key", "first", "size")).alias("runs")
+    open_runs = decided.where("key is not null")
+    crowded = open_runs.groupBy("key").agg(F.count("*").alias("n")).where(
+        F.col("n") > crowd
+    ).select("key", F.lit(True).alias("crowded"))
+    wanted = open_runs.join(crowded, "key", "left").groupBy("id").agg(
+        F.collect_list(F.struct("key", "first", "size", "crowded")).alias("runs")
     )
     once = read.where("id is not null").join(wanted, "id")
-    texts = once.mapInArrow(_fetched, TEXTS_SQL).repartition("key").sortWithinPartitions("key")
+    texts = once.mapInArrow(
+        lambda batches: _fetched(batches, length, gram), TEXTS_SQL
+    ).repartition("key").sortWithinPartitions("key")
     merged = staged(texts.mapInArrow(lambda batches: _bundled(batches, length), SPANS_SQL), "spans")
     return decided.where("key is null").select("id", "first", "size").unionByName(merged)
 
@@ -384,9 +424,9 @@ def _gathered(spans: DataFrame) -> DataFrame:
 
 
 def removals(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-             length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+             length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
     """``id, n_bytes, n_removed, n_spans, kept_sha256`` of every row."""
-    spans = _gathered(repeated_spans(docs, id_column, text_column, length, gram))
+    spans = _gathered(repeated_spans(docs, id_column, text_column, length, gram, crowd))
     read = docs.select(F.col(f"`{id_column}`").cast("long").alias("id"),
                        F.col(f"`{text_column}`").alias("text"))
     joined = read.join(spans, F.col("id") == F.col("of_id"), "left").select("id", "text", "spans")

@@ -24,9 +24,9 @@ def _expected(rows, length):
     return out
 
 
-def _check(df, length=100, gram=32):
+def _check(df, length=100, gram=32, crowd=dedup.CROWD):
     rows = [(r["doc_id"], r["text"]) for r in df.collect()]
-    found = dedup.removals(df, length=length, gram=gram).collect()
+    found = dedup.removals(df, length=length, gram=gram, crowd=crowd).collect()
     assert len(found) == len(rows)
     expected = _expected(rows, length)
     for r in found:
@@ -73,12 +73,25 @@ def test_against_brute_force(documents, batch_rows):
         rows.append((rng.choice([k, 1000 - k]), "".join(parts)))
     rows = list({name: (name, text) for name, text in rows}.values())
     _check(documents(rows + rows[:3]))
+    _check(documents(rows), crowd=1)
 
 
 def test_periodic_and_short_windows(documents):
     rng = random.Random(4)
     rows = [(k, "".join(rng.choice("ab") for _ in range(rng.randint(0, 60)))) for k in range(30)]
     _check(documents([*rows, (90, "ab" * 100), (91, "a" * 150), (92, "ba" * 70)]), length=20, gram=8)
+    _check(documents([*rows, (90, "ab" * 100), (91, "a" * 150)]), length=20, gram=8, crowd=1)
+
+
+def test_many_near_copies(documents):
+    rng = random.Random(9)
+    base = "".join(rng.choice("abcdefghij ") for _ in range(600))
+    rows = []
+    for k in range(60):
+        at = rng.randint(0, 590)
+        rows.append((k, base[:at] + rng.choice("XYZ") + base[at + rng.randint(0, 3):]))
+    for crowd in (1, 10, 500):
+        _check(documents(rows), crowd=crowd)
 
 
 def test_odd_documents_and_names(odd_documents, clashing):
