@@ -370,9 +370,10 @@ def repeated_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str
     by_key = runs.repartition("key").sortWithinPartitions("key", "body", "id", "first")
     decided = staged(by_key.mapInArrow(_decided, DECIDED_SQL), "runs")
     open_runs = decided.where("key is not null")
-    crowded = open_runs.groupBy("key").agg(F.count("*").alias("n")).where(
+    # Written first: few keys, so Spark knows their size and need not shuffle the runs for them.
+    crowded = staged(open_runs.groupBy("key").agg(F.count("*").alias("n")).where(
         F.col("n") > crowd
-    ).select("key", F.lit(True).alias("crowded"))
+    ).select("key", F.lit(True).alias("crowded")), "crowded")
     wanted = open_runs.join(crowded, "key", "left").groupBy("id").agg(
         F.collect_list(F.struct("key", "first", "size", "crowded")).alias("runs")
     )
