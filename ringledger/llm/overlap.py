@@ -1,0 +1,143 @@
+"""Links between texts that share most of their shingles but differ in many fingerprint bits.
+
+Texts that have four fifths of their five-word shingles in common differ in about ten of 64
+bits, too many for grid cells that stay small. They are sought by samples instead: each of
+``SAMPLES`` orders of all shingles, given by a hash, picks the two first ones of a text, and
+texts whose shingles have a share ``s`` in common pick the same two with a chance of about
+``s`` squared. At 0.8, all eight orders miss a pair three times in ten thousand.
+
+Texts with one pick are compared with one of them, so there are at most ``SAMPLES`` comparisons
+a text however many pick the same. Which one leads changes with the order, so texts that one
+leader misses meet under another. The Manhattan distance of the fingerprints'
+segment counts and then their bit distance put aside what is far apart; the rest is compared by
+all its shingles.
+"""
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ringledger.llm.grid import unary_counts
+from ringledger.llm.shingles import shingle_hashes
+from ringledger.operators.staging import staged
+
+SHINGLE = 5
+SAMPLES = 8
+TURNS = 4
+# Five standard deviations above the distance of texts with a similarity of 0.8; unrelated texts
+# differ in 32 bits on average.
+FAR_BITS = 24
+MIX = np.uint64(0xBF58476D1CE4E5B9)
+STEP = 0x9E3779B97F4A7C15
+
+
+def marks(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """The distinct shingle hashes of a text, sorted."""
+    blocks = list(shingle_hashes(text, shingle))
+    return np.unique(np.concatenate(blocks)) if blocks else np.zeros(0, dtype=np.uint64)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * MIX
+    return x ^ (x >> np.uint64(31))
+
+
+def picks(found: np.ndarray, samples: int = SAMPLES) -> list[int]:
+    """One key per order: a hash of the two first shingles, or of the only one."""
+    keys = []
+    for k in range(samples if len(found) else 0):
+        ranks = _mixed(found ^ np.uint64((k + 1) * STEP % (1 << 64)))
+        first = np.sort(np.partition(ranks, 1)[:2]) if len(ranks) > 1 else ranks
+        key = _mixed(np.array([int(first[0]) * 3 + int(first[-1]) + k & (1 << 64) - 1], np.uint64))
+        keys.append(int(key.view(np.int64)[0]))
+    return keys
+
+
+def similarity_of(one: np.ndarray, other: np.ndarray) -> float:
+    """Share of common shingles among all of both; texts without any are equal."""
+    common = len(np.intersect1d(one, other, assume_unique=True))
+    every = len(one) + len(other) - common
+    return common / every if every else 1.0
+
+
+MARKED = pa.schema([("fp", pa.int64()), ("marks", pa.binary())])
+MARKED_SQL = "fp long, marks binary"
+
+
+def _marked(batches: Iterator[pa.RecordBatch], of_class: Callable[[str | None], int]
+            ) -> Iterator[pa.RecordBatch]:
+    done = set()
+    for batch in batches:
+        rows = []
+        for fp, text in zip(batch.column("fp").to_pylist(), batch.column("text")):
+            # An id may stand on other texts, and on repeated rows.
+            if fp not in done and of_class(text.as_py()) == fp:
+                done.add(fp)
+                rows.append((fp, marks(text.as_py()).tobytes()))
+        if rows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(zip(*rows), MARKED)], schema=MARKED
+            )
+
+
+def _verified(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        near = [
+            similarity_of(*(np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in pair))
+            >= similarity
+            for pair in zip(batch.column("marks_a"), batch.column("marks_b"))
+        ]
+        yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
+
+
+def pairs(picked: DataFrame) -> DataFrame:
+    """``a, b`` for fingerprints ``fp`` with a key in common: ``a`` leads a group of equal keys.
+
+    ``picked`` has ``fp, keys``.
+    """
+    # The leader is the smallest fingerprint once some bits are turned, others in each order.
+    turns = F.array(*[F.lit(_signed((k % TURNS) * STEP % (1 << 64))) for k in range(SAMPLES)])
+    each = picked.select("fp", F.posexplode("keys").alias("sample", "key")).distinct()
+    each = each.withColumn("turn", F.get(turns, F.col("sample")))
+    heads = each.groupBy("sample", "key").agg(
+        F.min(F.col("fp").bitwiseXOR(F.col("turn"))).alias("head"), F.count("*").alias("n")
+    ).where("n > 1").select("sample", "key", "head")
+
+    def apart(one: Column, other: Column) -> Column:
+        return F.bit_count(one.bitwiseXOR(other))
+
+    met = each.join(heads, ["sample", "key"]).select(
+        F.col("head").bitwiseXOR(F.col("turn")).alias("a"), F.col("fp").alias("b")
+    )
+    a, b = F.col("a"), F.col("b")
+    return met.where(
+        (a != b) & (apart(unary_counts(a), unary_counts(b)) <= FAR_BITS) & (apart(a, b) <= FAR_BITS)
+    ).distinct()
+
+
+def alike(texts: DataFrame, named: DataFrame, picked: DataFrame,
+          of_class: Callable[[str | None], int], similarity: float) -> DataFrame:
+    """``a, b``: fingerprints of texts of the given similarity or more.
+
+    ``texts`` has ``id, text``, ``named`` the ``id`` of one text per fingerprint ``fp``,
+    ``picked`` its ``keys``. ``of_class`` gives the fingerprint of a text.
+    """
+    near = staged(pairs(picked), "pairs")
+    involved = near.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(named, "fp")
+    marked = staged(texts.join(involved, "id").select("fp", "text").mapInArrow(
+        lambda rows: _marked(rows, of_class), MARKED_SQL
+    ), "marks")
+    one = marked.select(F.col("fp").alias("a"), F.col("marks").alias("marks_a"))
+    other = marked.select(F.col("fp").alias("b"), F.col("marks").alias("marks_b"))
+    # The leader of a large group is the skewed key; its join comes last and can be split.
+    met = near.join(other, "b").join(one, "a")
+    return staged(
+        met.mapInArrow(lambda rows: _verified(rows, similarity), "a long, b long"), "alike"
+    )

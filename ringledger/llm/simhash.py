@@ -8,6 +8,9 @@ equality join on the grid cells of every pair of blocks. Pairs from one cell are
 Manhattan distance and then the true bit distance are small enough; both are bit operations,
 since counts in unary code differ in as many bits as their distance.
 
+With a similarity, as for ``one_of_each``, texts that have so much of their five-word shingles
+in common are linked as well; ``overlap`` says how they are found and verified.
+
 Exact copies fall together before the join. A fingerprint has at most 2080 others within two
 bits of it, so links stay bounded however large a group of copies is.
 
@@ -18,66 +21,57 @@ other. An empty table gives an empty result.
 """
 
 from collections.abc import Iterator
+from functools import partial
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ringledger.llm.components import components
 from ringledger.llm.frames import packed, unpacked
+from ringledger.llm.grid import unary_counts
+from ringledger.llm.overlap import SAMPLES, alike, marks, picks
+from ringledger.llm.shingles import shingle_hashes
 from ringledger.operators.staging import staged
 
 SHINGLE = 3
+SIMILARITY = 0.8
 MAX_BITS = 2
-SEED = 42
 SEGMENTS = 32
-# Shingles whose bits are counted at once; bounds the memory for one very long text.
-BLOCK = 1 << 15
-LOW_BITS = 0x5555555555555555
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     """Signed 64-bit fingerprint; a bit is set if it is in over half the shingle hashes."""
-    # bytes.lower changes A-Z only; bytes.split splits on blank and \x09 to \x0D only.
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return 0
-    joined = b" ".join(words)
-    ends = np.cumsum([len(word) + 1 for word in words]) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    span = min(shingle, len(words))
-    pairs = list(zip(starts[: len(words) - span + 1].tolist(), ends[span - 1 :].tolist()))
-    digest, counts = xxhash.xxh64_intdigest, np.zeros(64, dtype=np.int64)
-    for first in range(0, len(pairs), BLOCK):
-        hashes = [digest(joined[a:b], SEED) for a, b in pairs[first : first + BLOCK]]
-        octets = np.array(hashes, dtype=">u8").view(np.uint8).reshape(-1, 8)
+    counts, n = np.zeros(64, dtype=np.int64), 0
+    for hashes in shingle_hashes(text, shingle):
+        octets = hashes.astype(">u8").view(np.uint8).reshape(-1, 8)
         counts += np.unpackbits(octets, axis=1).sum(axis=0, dtype=np.int64)
-    bits = np.packbits(counts * 2 > len(pairs)).tobytes()
+        n += len(hashes)
+    bits = np.packbits(counts * 2 > n).tobytes()
     return int.from_bytes(bits, "big", signed=True)
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                 shingle: int = SHINGLE) -> DataFrame:
-    """``id, fp`` of every row."""
+                 shingle: int = SHINGLE, samples: int = 0) -> DataFrame:
+    """``id, fp`` of every row; with ``samples``, also the ``keys`` that ``overlap`` picks."""
     read = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text"))
 
     def taken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(text.as_py(), shingle) for text in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(found, pa.int64())], names=["id", "fp"]
-            )
-
-    return read.mapInArrow(taken, f"id {read.schema['id'].dataType.simpleString()}, fp long")
-
+            texts = batch.column("text")
+            found = {
+                "id": batch.column("id"),
+                "fp": pa.array([fingerprint(text.as_py(), shingle) for text in texts], pa.int64()),
+            }
+            if samples:
+                keys = [picks(marks(text.as_py()), samples) for text in texts]
+                found["keys"] = pa.array(keys, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_pydict(found)
 
-def _unary_counts(fp: Column) -> Column:
-    """Every two-bit segment's count in unary: 00, 01 or 11."""
-    low, high = fp.bitwiseAND(LOW_BITS), F.shiftrightunsigned(fp, 1).bitwiseAND(LOW_BITS)
-    return F.shiftleft(low.bitwiseAND(high), 1).bitwiseOR(low.bitwiseOR(high))
+    columns = f"id {read.schema['id'].dataType.simpleString()}, fp long"
+    return read.mapInArrow(taken, columns + (", keys array<long>" if samples else ""))
 
 
 def _block_masks(blocks: int) -> list[int]:
@@ -92,7 +86,7 @@ def _signed(mask: int) -> int:
 def links(classes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """``a, b`` (a < b) for distinct fingerprints ``fp`` that differ in ``max_bits`` or fewer."""
     masks = [_signed(x | y) for x, y in combinations(_block_masks(max_bits + 2), 2)]
-    points = classes.select("fp", _unary_counts(F.col("fp")).alias("counts"))
+    points = classes.select("fp", unary_counts(F.col("fp")).alias("counts"))
     cells = points.select("fp", "counts", F.posexplode(F.array(*[
         F.col("counts").bitwiseAND(F.lit(mask)) for mask in masks
     ])).alias("grid", "cell"))
@@ -110,11 +104,27 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``id, fp, component_id`` per row: the smallest id reachable over links, its own included."""
-    prints = staged(fingerprints(docs, id_column, text_column, shingle), "fingerprints")
+                shingle: int = SHINGLE, max_bits: int = MAX_BITS,
+                similarity: float | None = None) -> DataFrame:
+    """``id, fp, component_id`` per row: the smallest id reachable over links, its own included.
+
+    With a ``similarity``, texts that share so much of their shingles are linked too, however
+    many bits they differ in (``overlap.alike``).
+    """
+    samples = 0 if similarity is None else SAMPLES
+    prints = staged(fingerprints(docs, id_column, text_column, shingle, samples), "fingerprints")
     classes = staged(prints.groupBy("fp").agg(F.min("id").alias("first_id")), "classes")
-    labels = components(links(classes, max_bits))
+    near = links(classes, max_bits)
+    if similarity is not None:
+        texts = docs.select(
+            F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text")
+        )
+        named = classes.select("fp", F.col("first_id").alias("id"))
+        of_class = partial(fingerprint, shingle=shingle)
+        near = near.unionByName(
+            alike(texts, named, prints.join(named, ["fp", "id"]), of_class, similarity)
+        )
+    labels = components(near)
     # Fingerprints without a link are components of their own.
     grouped = classes.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first_id", F.coalesce("label", "fp").alias("label")
@@ -130,12 +140,13 @@ def as_hex(fp: Column) -> Column:
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+                shingle: int = SHINGLE, max_bits: int = MAX_BITS,
+                similarity: float | None = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` whose id names its component; the others are near copies of it.
 
     Rows without an id can't be named and stay. Fully equal rows collapse to one.
     """
-    found = near_copies(docs, id_column, text_column, shingle, max_bits)
+    found = near_copies(docs, id_column, text_column, shingle, max_bits, similarity)
     # An id that stands on rows of several groups goes only if it names none of them.
     copies = found.where("id is not null").groupBy(F.col("id").alias("copy_id")).agg(
         F.bool_or(F.col("id") == F.col("component_id")).alias("names")

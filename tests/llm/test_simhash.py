@@ -2,7 +2,7 @@ import re
 
 import xxhash
 
-from ringledger.llm import simhash
+from ringledger.llm import overlap, simhash
 from ringledger.llm.components import components
 
 
@@ -78,3 +78,47 @@ def test_components_of_a_long_chain_and_self_links(spark):
     rows = [(k, k + 1) for k in range(60)] + [(100, 100), (201, 200), (None, 3)]
     found = {r["node"]: r["label"] for r in components(spark.createDataFrame(rows, "a long, b long")).collect()}
     assert found == {**{k: 0 for k in range(61)}, 100: 100, 200: 200, 201: 200}
+
+
+def _edited(words, places):
+    return " ".join(f"{word}x" if k in places else word for k, word in enumerate(words))
+
+
+def _share(one, other):
+    sets = [
+        {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else {()}
+        for words in ((text or "").lower().split() for text in (one, other))
+    ]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def test_stage_finds_texts_of_a_similarity_of_four_fifths(documents):
+    rows, alike = [], []
+    for group in range(60):
+        words = [f"w{group * k * k % 997}y{k * 31 % 89}" for k in range(120 + 3 * group)]
+        edits = {20 + 45 * k for k in range(1 + group % 2)}
+        rows += [(10 * group, " ".join(words)), (10 * group + 1, _edited(words, edits))]
+        # Every sixth word changed: not alike.
+        rows.append((10 * group + 2, _edited(words, set(range(0, len(words), 6)))))
+        alike.append(_share(rows[-3][1], rows[-2][1]))
+        assert _share(rows[-3][1], rows[-1][1]) < 0.8
+    assert min(alike) > 0.8
+    kept = {r["doc_id"] for r in simhash.one_of_each(documents(rows)).collect()}
+    assert kept == {name for name, _ in rows if name % 10 != 1}
+
+
+def test_a_large_group_of_near_copies_is_compared_with_few(documents, spark):
+    words = [f"w{k * 7919 % 1009}" for k in range(400)]
+    rows = [(k, _edited(words, {k})) for k in range(300)]
+    prints = simhash.fingerprints(documents(rows), samples=simhash.SAMPLES)
+    met = overlap.pairs(prints)
+    assert met.count() <= 300 * simhash.SAMPLES
+    assert [r["doc_id"] for r in simhash.one_of_each(documents(rows)).collect()] == [0]
+
+
+def test_marks_hold_the_distinct_shingles():
+    assert overlap.similarity_of(overlap.marks(None), overlap.marks(" \n")) == 1.0
+    assert overlap.picks(overlap.marks("")) == []
+    one, other = "a b c d e f", "A  b c d e\tg"
+    assert overlap.similarity_of(overlap.marks(one), overlap.marks(other)) == _share(one, other)
+    assert overlap.picks(overlap.marks("a b")) == overlap.picks(overlap.marks("A B"))
