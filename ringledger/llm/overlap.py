@@ -6,9 +6,11 @@ bits, too many for grid cells that stay small. They are sought by samples instea
 texts whose shingles have a share ``s`` in common pick the same two with a chance of about
 ``s`` squared. At 0.8, all eight orders miss a pair three times in ten thousand.
 
-Texts with one pick are compared with one of them, so there are at most ``SAMPLES`` comparisons
-a text however many pick the same. Which one leads changes with the order, so texts that one
-leader misses meet under another. The Manhattan distance of the fingerprints'
+Up to ``BIN`` texts with one pick are all compared. More are dealt into bins of about so many,
+anew in each order, and every text is also compared with a leader, another one in other orders:
+comparisons grow with the texts, not with the square of a group. Large groups hang together by
+many such links; a text that is like few others of a large group, and meets none of them in any
+order, is not linked. The Manhattan distance of the fingerprints'
 segment counts and then their bit distance put aside what is far apart; the rest is compared by
 all its shingles.
 """
@@ -27,6 +29,8 @@ from ringledger.operators.staging import staged
 SHINGLE = 5
 SAMPLES = 8
 TURNS = 4
+# Groups of so many texts with one pick are compared in full.
+BIN = 8
 # Five standard deviations above the distance of texts with a similarity of 0.8; unrelated texts
 # differ in 32 bits on average.
 FAR_BITS = 24
@@ -98,28 +102,40 @@ def _signed(value: int) -> int:
 
 
 def pairs(picked: DataFrame) -> DataFrame:
-    """``a, b`` for fingerprints ``fp`` with a key in common: ``a`` leads a group of equal keys.
+    """``a, b`` (a < b): fingerprints ``fp`` with a key in common that are to be compared.
 
-    ``picked`` has ``fp, keys``.
+    ``picked`` has ``fp, keys``. A group of equal keys is dealt into bins of about ``BIN``, whose
+    members all meet; every member also meets the group's leader.
     """
     # The leader is the smallest fingerprint once some bits are turned, others in each order.
     turns = F.array(*[F.lit(_signed((k % TURNS) * STEP % (1 << 64))) for k in range(SAMPLES)])
     each = picked.select("fp", F.posexplode("keys").alias("sample", "key")).distinct()
     each = each.withColumn("turn", F.get(turns, F.col("sample")))
-    heads = each.groupBy("sample", "key").agg(
+    groups = each.groupBy("sample", "key").agg(
         F.min(F.col("fp").bitwiseXOR(F.col("turn"))).alias("head"), F.count("*").alias("n")
-    ).where("n > 1").select("sample", "key", "head")
+    ).where("n > 1")
+    members = staged(each.join(groups, ["sample", "key"]).select(
+        "sample", "key", "fp", F.col("head").bitwiseXOR(F.col("turn")).alias("leader"),
+        F.pmod(F.xxhash64("fp", "sample"), F.ceil(F.col("n") / BIN)).alias("bin"),
+    ), "members")
 
     def apart(one: Column, other: Column) -> Column:
         return F.bit_count(one.bitwiseXOR(other))
 
-    met = each.join(heads, ["sample", "key"]).select(
-        F.col("head").bitwiseXOR(F.col("turn")).alias("a"), F.col("fp").alias("b")
+    def near(one: Column, other: Column) -> Column:
+        return (apart(unary_counts(one), unary_counts(other)) <= FAR_BITS) & (
+            apart(one, other) <= FAR_BITS
+        )
+
+    led = members.where((F.col("fp") != F.col("leader")) & near(F.col("fp"), F.col("leader")))
+    one = members.select("sample", "key", "bin", F.col("fp").alias("a"))
+    other = members.select("sample", "key", "bin", F.col("fp").alias("b"))
+    met = one.join(other, ["sample", "key", "bin"]).where(
+        (F.col("a") < F.col("b")) & near(F.col("a"), F.col("b"))
     )
-    a, b = F.col("a"), F.col("b")
-    return met.where(
-        (a != b) & (apart(unary_counts(a), unary_counts(b)) <= FAR_BITS) & (apart(a, b) <= FAR_BITS)
-    ).distinct()
+    return led.select(
+        F.least("fp", "leader").alias("a"), F.greatest("fp", "leader").alias("b")
+    ).union(met.select("a", "b")).distinct()
 
 
 def alike(texts: DataFrame, named: DataFrame, picked: DataFrame,
