@@ -7,21 +7,31 @@ texts whose shingles have a share ``s`` in common pick the same two with a chanc
 ``s`` squared. At 0.8, all eight orders miss a pair three times in ten thousand.
 
 Up to ``BIN`` texts with one pick are all compared. More are dealt into bins of about so many,
-anew in each order, and every text is also compared with a leader, another one in other orders:
-comparisons grow with the texts, not with the square of a group. Large groups hang together by
-many such links; a text that is like few others of a large group, and meets none of them in any
-order, is not linked. The Manhattan distance of the fingerprints'
-segment counts and then their bit distance put aside what is far apart; the rest is compared by
-all its shingles.
+anew in each order, and every text is also compared with a leader, another one in other orders.
+The Manhattan distance of the fingerprints' segment counts and then their bit distance put aside
+what is far apart; the rest is compared by all its shingles.
+
+These links are the cheap ones and no more than a start. ``remaining`` then looks for all others
+and leaves none out: two texts of the similarity have a shingle in common among the first fifth of
+each, in whatever order all shingles are put (prefix filter), so texts that meet there and do not
+hang together yet are all compared. The order is the hash's, with shingles of crowded groups last,
+the most frequent at the very end: passages that stand in many texts lead no text that has enough
+of its own. Members of a group still crowded are first compared with the one that has the fewest
+shingles of its own, as a source has among its edits; what hangs together then is not compared
+again. Only texts of a crowded group that stay apart are compared in full, at a cost that grows
+with the square of their number.
 """
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ringledger.llm.components import components
 from ringledger.llm.grid import unary_counts
 from ringledger.llm.shingles import shingle_hashes
 from ringledger.operators.staging import staged
@@ -29,6 +39,8 @@ from ringledger.operators.staging import staged
 SHINGLE = 5
 SAMPLES = 8
 TURNS = 4
+# Shingles that lead more texts than this go to the end of the order.
+CROWD = 100
 # Groups of so many texts with one pick are compared in full.
 BIN = 8
 # Five standard deviations above the distance of texts with a similarity of 0.8; unrelated texts
@@ -157,3 +169,144 @@ def alike(texts: DataFrame, named: DataFrame, picked: DataFrame,
     return staged(
         met.mapInArrow(lambda rows: _verified(rows, similarity), "a long, b long"), "alike"
     )
+
+
+def set_key(found: np.ndarray) -> int:
+    """One number for equal sets of shingles."""
+    return _signed(xxhash.xxh64_intdigest(found.tobytes()))
+
+
+def leading(found: np.ndarray, similarity: float, common: np.ndarray | None = None,
+            ranks: np.ndarray | None = None) -> np.ndarray:
+    """The first shingles in order, so many that two texts of the similarity share one of them.
+
+    ``common`` (sorted) are the shingles that come last, by their ``ranks``.
+    """
+    n = len(found) - math.ceil(len(found) * similarity - 1e-9) + 1 if len(found) else 0
+    if common is None or not len(common):
+        return found[:n]
+    at = np.minimum(np.searchsorted(common, found), len(common) - 1)
+    last = common[at] == found
+    own = found[~last]
+    return np.concatenate((own, found[last][np.argsort(ranks[at[last]])]))[:n]
+
+
+def _of_sets(texts: DataFrame, wanted: DataFrame, column: str, kind: str,
+             taken: Callable[[np.ndarray], list | bytes]) -> DataFrame:
+    """``set`` and what ``taken`` makes of its shingles, for ``wanted`` (``set, id``)."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = set()
+        for batch in batches:
+            rows = []
+            for key, text in zip(batch.column("set").to_pylist(), batch.column("text")):
+                # An id may stand on other texts, and on repeated rows.
+                if key not in done and set_key(found := marks(text.as_py())) == key:
+                    done.add(key)
+                    rows.append((key, taken(found)))
+            if rows:
+                types = (pa.int64(), pa.binary() if kind == "binary" else pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["set", column]
+                )
+
+    met = texts.join(wanted.select("set", "id"), "id").select("set", "text")
+    # Equal rows of an id may be read by several tasks.
+    return met.mapInArrow(read, f"set long, {column} {kind}").dropDuplicates(["set"])
+
+
+def _compared(texts: DataFrame, sets: DataFrame, near: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: labels of those of the pairs ``near`` of sets that have the similarity."""
+    involved = near.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+    wanted = sets.select("set", "id").join(involved, "set")
+    marked = staged(_of_sets(texts, wanted, "marks", "binary", lambda x: x.tobytes()), "marks")
+    one = marked.select(F.col("set").alias("a"), F.col("marks").alias("marks_a"))
+    other = marked.select(F.col("set").alias("b"), F.col("marks").alias("marks_b"))
+    found = near.join(other, "b").join(one, "a").mapInArrow(
+        lambda rows: _verified(rows, similarity), "a long, b long"
+    )
+    labels = sets.select("set", "label")
+    found = found.join(labels.toDF("a", "label_a"), "a").join(labels.toDF("b", "label_b"), "b")
+    return staged(found.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).distinct(),
+                  "alike")
+
+
+def relabelled(rows: DataFrame, joined: DataFrame) -> DataFrame:
+    """``rows`` with new values of ``label`` where ``joined`` (``a, b``) links labels."""
+    moved = components(joined).select(F.col("node").alias("label"), F.col("label").alias("to"))
+    others = [name for name in rows.columns if name != "label"]
+    return rows.join(moved, "label", "left").select(
+        *others, F.coalesce("to", "label").alias("label")
+    )
+
+
+def remaining(texts: DataFrame, sets: DataFrame, similarity: float, crowd: int = CROWD
+              ) -> DataFrame:
+    """``a, b``: labels to be joined, since texts under them have the similarity.
+
+    ``texts`` has ``id, text``; ``sets`` has one row per distinct set of shingles: ``set``, the
+    ``id`` of a text with it, ``size``, the shingles it is led by (``prefix``) and the ``label`` of
+    what it is linked to so far. All pairs under different labels are found.
+    """
+
+    def spread(of: DataFrame) -> DataFrame:
+        return of.select("set", "label", "size", F.explode("prefix").alias("token"))
+
+    def opened(of: DataFrame, least: int = 1) -> DataFrame:
+        """Shingles that lead sets under different labels."""
+        return of.groupBy("token").agg(
+            F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")
+        ).where((F.col("low") < F.col("high")) & (F.col("n") > least)).select("token", "n")
+
+    rows = spread(sets)
+    crowded = staged(opened(rows, crowd), "crowded")
+    common, ranks = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    if not crowded.isEmpty():
+        held = rows.join(crowded, "token").select("set").distinct()
+        every = _of_sets(texts, sets.join(held, "set"), "tokens", "array<long>",
+                         lambda x: x.view(np.int64).tolist())
+        counted = every.select(F.explode("tokens").alias("token")).groupBy("token").agg(
+            F.count("*").alias("n")
+        ).where(F.col("n") > crowd)
+        last = staged(counted.unionByName(crowded).groupBy("token").agg(F.max("n").alias("n")),
+                      "common")
+        # At most one in ``crowd`` of the shingles of texts in crowded groups.
+        listed = last.orderBy("n", "token").toPandas()["token"].to_numpy(dtype=np.int64)
+        common = np.sort(listed.view(np.uint64))
+        ranks = np.empty(len(common), dtype=np.int64)
+        ranks[np.searchsorted(common, listed.view(np.uint64))] = np.arange(len(common))
+        moved = staged(rows.join(last, "token").select("set").distinct(), "moved")
+        anew = _of_sets(texts, sets.join(moved, "set"), "prefix", "array<long>", lambda x: leading(
+            x, similarity, common, ranks).view(np.int64).tolist())
+        sets = staged(sets.join(moved, "set", "left_anti").unionByName(
+            sets.drop("prefix").join(anew, "set").select(*sets.columns)
+        ), "sets")
+        rows = spread(sets)
+    open_rows = staged(rows.join(opened(rows), "token"), "open")
+    names = sets.drop("prefix")
+
+    # The fewest open shingles of its own: the most in groups that are crowded.
+    big = open_rows.where(F.col("n") > crowd)
+    links = None
+    if not big.isEmpty():
+        shared = big.groupBy("set").agg((-F.count("*")).alias("own"))
+        heads = big.join(shared, "set").groupBy("token").agg(
+            F.min(F.struct("own", "set", "label")).alias("head")
+        )
+        met = big.join(heads, "token").where(F.col("label") != F.col("head.label"))
+        pairs_ = staged(met.select(F.least("set", "head.set").alias("a"),
+                                   F.greatest("set", "head.set").alias("b")).distinct(), "led")
+        links = _compared(texts, names, pairs_, similarity)
+        names = staged(relabelled(names, links), "names")
+        open_rows = staged(relabelled(open_rows.drop("n"), links), "open")
+        open_rows = open_rows.join(opened(open_rows).select("token"), "token").drop("n")
+
+    one = open_rows.select("token", *[F.col(c).alias(f"{c}_a") for c in ("set", "label", "size")])
+    other = open_rows.select("token", *[F.col(c).alias(f"{c}_b") for c in ("set", "label", "size")])
+    met = one.join(other, "token").where(
+        (F.col("set_a") < F.col("set_b")) & (F.col("label_a") != F.col("label_b"))
+        & (F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * similarity - 1e-6)
+    )
+    near = staged(met.select(F.col("set_a").alias("a"), F.col("set_b").alias("b")).distinct(), "near")
+    found = _compared(texts, names, near, similarity)
+    return found if links is None else links.unionByName(found)

@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 from ringledger.llm.components import components
 from ringledger.llm.frames import packed, unpacked
 from ringledger.llm.grid import unary_counts
-from ringledger.llm.overlap import SAMPLES, alike, marks, picks
+from ringledger.llm.overlap import (
+    SAMPLES, alike, leading, marks, picks, relabelled, remaining, set_key
+)
 from ringledger.llm.shingles import shingle_hashes
 from ringledger.operators.staging import staged
 
@@ -54,8 +56,10 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                 shingle: int = SHINGLE, samples: int = 0) -> DataFrame:
-    """``id, fp`` of every row; with ``samples``, also the ``keys`` that ``overlap`` picks."""
+                 shingle: int = SHINGLE, samples: int = 0,
+                 similarity: float = SIMILARITY) -> DataFrame:
+    """``id, fp`` of every row; with ``samples``, also the ``keys`` that ``overlap`` picks, the
+    number of its ``set`` of shingles, its ``size`` and its leading shingles (``prefix``)."""
     read = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text"))
 
     def taken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,12 +70,18 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
                 "fp": pa.array([fingerprint(text.as_py(), shingle) for text in texts], pa.int64()),
             }
             if samples:
-                keys = [picks(marks(text.as_py()), samples) for text in texts]
-                found["keys"] = pa.array(keys, pa.list_(pa.int64()))
+                sets = [marks(text.as_py()) for text in texts]
+                found["keys"] = pa.array([picks(x, samples) for x in sets], pa.list_(pa.int64()))
+                found["set"] = pa.array([set_key(x) for x in sets], pa.int64())
+                found["size"] = pa.array([len(x) for x in sets], pa.int64())
+                found["prefix"] = pa.array([leading(x, similarity).view(np.int64) for x in sets],
+                                           pa.list_(pa.int64()))
             yield pa.RecordBatch.from_pydict(found)
 
     columns = f"id {read.schema['id'].dataType.simpleString()}, fp long"
-    return read.mapInArrow(taken, columns + (", keys array<long>" if samples else ""))
+    return read.mapInArrow(taken, columns + (
+        ", keys array<long>, set long, size long, prefix array<long>" if samples else ""
+    ))
 
 
 def _block_masks(blocks: int) -> list[int]:
@@ -112,7 +122,8 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     many bits they differ in (``overlap.alike``).
     """
     samples = 0 if similarity is None else SAMPLES
-    prints = staged(fingerprints(docs, id_column, text_column, shingle, samples), "fingerprints")
+    prints = staged(fingerprints(docs, id_column, text_column, shingle, samples,
+                                 similarity or SIMILARITY), "fingerprints")
     classes = staged(prints.groupBy("fp").agg(F.min("id").alias("first_id")), "classes")
     near = links(classes, max_bits)
     if similarity is not None:
@@ -122,13 +133,27 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         named = classes.select("fp", F.col("first_id").alias("id"))
         of_class = partial(fingerprint, shingle=shingle)
         near = near.unionByName(
-            alike(texts, named, prints.join(named, ["fp", "id"]), of_class, similarity)
+            alike(texts, named, prints.select("id", "fp", "keys").join(named, ["fp", "id"]),
+                  of_class, similarity)
         )
     labels = components(near)
     # Fingerprints without a link are components of their own.
     grouped = classes.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first_id", F.coalesce("label", "fp").alias("label")
     )
+    if similarity is not None:
+        grouped = staged(grouped, "grouped")
+        label_of = grouped.select("fp", "label")
+        sets = prints.where("id is not null").groupBy("set").agg(
+            F.min(F.struct("id", "fp")).alias("one"), F.any_value("size").alias("size"),
+            F.any_value("prefix").alias("prefix"),
+        ).select("set", "one.id", "one.fp", "size", "prefix").join(label_of, "fp").drop("fp")
+        sets = staged(sets, "sets")
+        # Equal sets may have several fingerprints.
+        same = prints.select("set", "fp").distinct().join(label_of, "fp").join(
+            sets.select("set", F.col("label").alias("a")), "set"
+        ).where(F.col("label") != F.col("a")).select("a", F.col("label").alias("b"))
+        grouped = relabelled(grouped, remaining(texts, sets, similarity).unionByName(same))
     first = grouped.groupBy("label").agg(F.min("first_id").alias("component_id"))
     named = staged(grouped.join(first, "label").select("fp", "component_id"), "components")
     return prints.join(named, "fp").select("id", "fp", "component_id")

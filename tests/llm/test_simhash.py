@@ -1,3 +1,4 @@
+import random
 import re
 
 import xxhash
@@ -125,6 +126,52 @@ def test_a_large_group_of_near_copies_is_compared_with_few(documents, spark):
     assert [r["doc_id"] for r in simhash.one_of_each(documents(rows)).collect()] == [0]
 
 
+def _star(n, edits, seed=5):
+    """A source and edits of it, each like the source and less like each other."""
+    chosen = random.Random(seed)
+    words = [f"w{k}" for k in range(480)]
+    rows = [(n, " ".join(words))]
+    for k in range(n):
+        text = list(words)
+        for at in chosen.sample(range(0, 480, 6), edits):
+            text[at] = f"e{k}x{at}"
+        rows.append((k, " ".join(text)))
+    return rows
+
+
+def test_a_star_of_edits_hangs_together(documents):
+    rows = _star(2000, 10)
+    assert min(_share(rows[0][1], text) for _, text in rows) >= 0.8
+    assert max(_share(rows[k][1], rows[k + 1][1]) for k in range(1, 200)) < 0.8
+    # Brute force: every edit is linked to the source, so one component is left.
+    assert [r["doc_id"] for r in simhash.one_of_each(documents(rows)).collect()] == [0]
+
+
+def test_pairs_in_crowded_groups_against_brute_force(spark, documents, monkeypatch):
+    chosen = random.Random(3)
+    passage = [f"p{k}" for k in range(90)]
+    rows = []
+    for k in range(60):
+        own = [f"o{k // 2}x{j}" for j in range(chosen.randint(0, 60))]
+        text = own + passage
+        for at in chosen.sample(range(len(text)), chosen.randint(0, 3)):
+            text[at] = f"e{k}x{at}"
+        rows.append((k, " ".join(text)))
+    sets = [overlap.marks(text) for _, text in rows]
+    expected = {(a, b) for a in range(60) for b in range(a + 1, 60)
+                if overlap.similarity_of(sets[a], sets[b]) >= 0.8}
+    named = spark.createDataFrame([
+        (overlap.set_key(x), k, len(x), overlap.leading(x, 0.8).view("int64").tolist(), k)
+        for k, x in enumerate(sets)
+    ], "set long, id long, size long, prefix array<long>, label long")
+    texts = documents(rows).selectExpr("doc_id as id", "text")
+    edges = overlap.remaining(texts, named, 0.8, crowd=1000).collect()
+    assert {(min(r), max(r)) for r in map(tuple, edges)} == expected
+    joined = components(overlap.remaining(texts, named, 0.8, crowd=5)).collect()
+    whole = components(spark.createDataFrame(sorted(expected), "a long, b long")).collect()
+    assert sorted(joined) == sorted(whole)
+
+
 def test_marks_hold_the_distinct_shingles():
     assert overlap.similarity_of(overlap.marks(None), overlap.marks(" \n")) == 1.0
     assert overlap.picks(overlap.marks("")) == []
