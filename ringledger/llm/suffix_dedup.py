@@ -16,12 +16,12 @@ are judged on the input.
    refinement (``bwt.repeated``). Intervals with a common prefix of ``length`` or more are the
    repeated strings; in each the earliest place stays. A key with very many different runs is
    split first, by where its minimizer stands in a window and by the bytes all such windows
-   share, so a large group of near copies spreads over tasks.
+   share, so a large group of near copies spreads over tasks. Equal parts fall together like runs,
+   and a finer key that is still crowded is split into single windows, of which equal ones meet.
 4. Spans are merged per document and cut.
 
 Steps are written to the shared folder. Tasks hold one bundle at a time; a bundle ends at a key's
-end, so its size is set by ``BUNDLE_BYTES`` and by the most different surroundings of one
-(finer) key.
+end, so its size is set by ``BUNDLE_BYTES`` and by ``CROWD`` different parts of a key.
 
 Defined results: null and short texts keep all their bytes. Rows that are equal in id and text
 are one document and have the same result; an id names one text. Rows without an id are left
@@ -49,6 +49,8 @@ GRAM = 32
 GROUP_BYTES = 1 << 19
 GROUPS = 16
 BUNDLE_BYTES = 1 << 18
+# Equal parts among about so many bytes of a task fall together before they are shuffled.
+PARTS_BYTES = 1 << 24
 # A key with more different runs than this is split into finer ones, each of the windows in which
 # the minimizer stands at one of so many neighbouring places.
 CROWD = 500
@@ -277,9 +279,14 @@ def _spans(ids: np.ndarray, first: np.ndarray, size: np.ndarray) -> pa.RecordBat
 
 
 TEXTS = pa.schema([
-    ("key", pa.int64()), ("id", pa.int64()), ("first", pa.int64()), ("bytes", pa.binary()),
+    ("key", pa.int64()), ("body", pa.int64()), ("id", pa.int64()), ("first", pa.int64()),
+    ("bytes", pa.binary()), ("size", pa.int32()), ("split", pa.bool_()),
 ])
-TEXTS_SQL = "key long, id long, first long, bytes binary"
+TEXTS_SQL = "key long, body long, id long, first long, bytes binary, size int, split boolean"
+
+
+def _digest(text: bytes, salt: bytes = b"") -> int:
+    return int.from_bytes(hashlib.blake2b(text, digest_size=8, salt=salt).digest(), "big", signed=True)
 
 
 def _parts(run: bytes, key: int, length: int, gram: int) -> Iterator[tuple[int, int, bytes]]:
@@ -300,24 +307,97 @@ def _parts(run: bytes, key: int, length: int, gram: int) -> Iterator[tuple[int,
         low, high = part * PART_PLACES, part * PART_PLACES + PART_PLACES - 1
         begin, end = max(0, place - high), min(last, place - low)
         shared = run[place - low : place - high + length]
-        digest = hashlib.blake2b(shared, digest_size=8, salt=part.to_bytes(2, "big")).digest()
-        yield int.from_bytes(digest, "big", signed=True), begin, run[begin : end + length]
+        yield _digest(shared, part.to_bytes(2, "big")), begin, run[begin : end + length]
+
+
+def _collapsed(rows: Iterator[tuple[int, int, int, bytes, bool]]) -> Iterator[pa.RecordBatch]:
+    """Rows of key, id, first byte, bytes and whether the key was split: equal parts of a key fall
+    together, of about PARTS_BYTES at a time. The first stays, the others become spans (``key``
+    null)."""
+
+    def written(held: dict, spans: list) -> Iterator[pa.RecordBatch]:
+        if held:
+            yield _batch(TEXTS, *zip(*(
+                (key, _digest(part), name, first, part, len(part), split)
+                for (key, part), (name, first, split) in held.items()
+            )))
+        if spans:
+            ids, first, size = _merged(*(np.array(x, dtype=np.int64) for x in zip(*spans)))
+            n = len(ids)
+            yield _batch(TEXTS, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), ids, first,
+                         pa.nulls(n, pa.binary()), size, pa.nulls(n, pa.bool_()))
+
+    held: dict[tuple[int, bytes], tuple[int, int, bool]] = {}
+    spans: list[tuple[int, int, int]] = []
+    size = 0
+    for key, name, first, part, split in rows:
+        size += len(part)
+        place, other = (name, first), held.get((key, part))
+        if other is None or place < other[:2]:
+            held[key, part] = (name, first, split)
+        if other is not None and place != other[:2]:
+            later = max(place, other[:2])
+            spans.append((*later, len(part)))
+        if size >= PARTS_BYTES:
+            yield from written(held, spans)
+            held, spans, size = {}, [], 0
+    yield from written(held, spans)
 
 
 def _fetched(batches: Iterator[pa.RecordBatch], length: int, gram: int
              ) -> Iterator[pa.RecordBatch]:
-    """The bytes of the runs listed beside each text."""
-    for batch in batches:
-        rows: list[tuple] = []
-        for name, text, runs in zip(*(batch.column(c) for c in ("id", "text", "runs"))):
-            whole = text.as_py().encode("utf-8", "surrogatepass")
-            for run in runs.as_py():
-                a, key = run["first"], run["key"]
-                found = whole[a : a + run["size"]]
-                parts = _parts(found, key, length, gram) if run["crowded"] else [(key, 0, found)]
-                rows += [(k, name.as_py(), a + offset, part) for k, offset, part in parts]
-        if rows:
-            yield _batch(TEXTS, *zip(*rows))
+    """The bytes of the runs listed beside each text, in parts for crowded keys."""
+
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            for name, text, runs in zip(*(batch.column(c) for c in ("id", "text", "runs"))):
+                name, whole = name.as_py(), text.as_py().encode("utf-8", "surrogatepass")
+                for run in runs.as_py():
+                    a, key, split = run["first"], run["key"], bool(run["crowded"])
+                    found = whole[a : a + run["size"]]
+                    for k, offset, part in (
+                        _parts(found, key, length, gram) if split else [(key, 0, found)]
+                    ):
+                        yield k, name, a + offset, part, split
+
+    return _collapsed(rows())
+
+
+def _windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Parts of finer keys that are still crowded, window by window: equality alone decides."""
+
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            for name, first, part in zip(*(batch.column(c).to_pylist()
+                                           for c in ("id", "first", "bytes"))):
+                for k in range(len(part) - length + 1):
+                    window = part[k : k + length]
+                    yield _digest(window, b"window"), name, first + k, window, True
+
+    return _collapsed(rows())
+
+
+def merge_parts(once: DataFrame, length: int, gram: int, crowd: int) -> tuple[DataFrame, DataFrame]:
+    """Parts to merge by key, and the spans (``id, first, size``) of their repeats.
+
+    ``once`` has ``id, text, runs``. A key has at most ``crowd`` different parts or is one window.
+    """
+    parts = staged(once.mapInArrow(lambda batches: _fetched(batches, length, gram), TEXTS_SQL),
+                   "parts")
+    # Equal parts of several tasks count once; those of a finer key share most of their bytes.
+    crowded = staged(parts.where("split").select("key", "body").distinct().groupBy("key").agg(
+        F.count("*").alias("n")
+    ).where(F.col("n") > crowd).select("key"), "crowded-parts")
+    open_parts = parts.where("key is not null")
+    windows = staged(open_parts.where("split").join(crowded, "key").select(*TEXTS.names).mapInArrow(
+        lambda batches: _windows(batches, length), TEXTS_SQL
+    ), "windows")
+    rest = open_parts.where("not split").unionByName(
+        open_parts.where("split").join(crowded, "key", "left_anti").select(*TEXTS.names)
+    )
+    merged = rest.unionByName(windows.where("key is not null"))
+    spans = parts.unionByName(windows).where("key is null").select("id", "first", "size")
+    return merged, spans
 
 
 SPANS = pa.schema([("id", pa.int64()), ("first", pa.int64()), ("size", pa.int32())])
@@ -342,11 +422,18 @@ def _later_places(ids: list[int], firsts: list[int], texts: list[bytes], length:
 
 
 def _bundled(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Runs sorted by key, in bundles of whole keys; windows to remove."""
-    ids, firsts, texts, size, last = [], [], [], 0, None
+    """Parts sorted by key, body, id and first byte, in bundles of whole keys; windows to remove.
+    Of equal parts the first one is merged only, the others go as they are."""
+    ids, firsts, texts, size, last, head = [], [], [], 0, None, None
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in TEXTS.names]
+        columns = [batch.column(c).to_pylist() for c in ("key", "id", "first", "bytes")]
+        again = []
         for key, name, first, text in zip(*columns):
+            if head is not None and head[0] == key and head[3] == text:
+                if (name, first) != head[1:3]:
+                    again.append((name, first, len(text)))
+                continue
+            head = (key, name, first, text)
             if key != last and size >= BUNDLE_BYTES:
                 yield _later_places(ids, firsts, texts, length)
                 ids, firsts, texts, size = [], [], [], 0
@@ -355,6 +442,8 @@ def _bundled(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
             texts.append(text)
             size += len(text)
             last = key
+        if again:
+            yield _batch(SPANS, *_merged(*(np.array(x, dtype=np.int64) for x in zip(*again))))
     if texts:
         yield _later_places(ids, firsts, texts, length)
 
@@ -378,11 +467,13 @@ def repeated_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str
         F.collect_list(F.struct("key", "first", "size", "crowded")).alias("runs")
     )
     once = read.where("id is not null").join(wanted, "id")
-    texts = once.mapInArrow(
-        lambda batches: _fetched(batches, length, gram), TEXTS_SQL
-    ).repartition("key").sortWithinPartitions("key")
+    parts, again = merge_parts(once, length, gram, crowd)
+    texts = parts.select("key", "body", "id", "first", "bytes").repartition("key")
+    texts = texts.sortWithinPartitions("key", "body", "id", "first")
     merged = staged(texts.mapInArrow(lambda batches: _bundled(batches, length), SPANS_SQL), "spans")
-    return decided.where("key is null").select("id", "first", "size").unionByName(merged)
+    return decided.where("key is null").select("id", "first", "size").unionByName(
+        again
+    ).unionByName(merged)
 
 
 def _cut(text: str | None, spans: list[dict] | None) -> tuple[bytes, int, int]:

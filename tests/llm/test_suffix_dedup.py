@@ -94,6 +94,42 @@ def test_many_near_copies(documents):
         _check(documents(rows), crowd=crowd)
 
 
+def _with_passage(n, seed=12):
+    """One passage with different text around it in all documents."""
+    rng = random.Random(seed)
+    passage = "".join(rng.choice("abcdefghij ") for _ in range(400))
+
+    def own(size):
+        return "".join(rng.choice("klmnopqrst") for _ in range(size))
+
+    return [(k, own(120) + passage + own(120)) for k in range(n)]
+
+
+@pytest.mark.parametrize("crowd", [1, 20, 500])
+def test_one_passage_in_many_surroundings(documents, crowd):
+    _check(documents(_with_passage(80)).repartition(3), crowd=crowd)
+
+
+def test_parts_of_one_key_are_few(documents, spark):
+    length, gram, crowd = 100, 32, 20
+    rows = _with_passage(300)
+    docs = documents(rows)
+    listed, seen = [], set()
+    for name, text in rows:
+        _, first, size, key, body = dedup.runs_of([text.encode()], length, gram)
+        # Equal runs have fallen together by then.
+        runs = [(k, a, n, True) for k, b, a, n in zip(*(x.tolist() for x in (key, body, first, size)))
+                if not ((k, b) in seen or seen.add((k, b)))]
+        listed.append((name, text, runs))
+    once = spark.createDataFrame(
+        listed, "id long, text string, "
+        "runs array<struct<key: long, first: long, size: int, crowded: boolean>>"
+    ).repartition(2)
+    parts, _ = dedup.merge_parts(once, length, gram, crowd)
+    assert docs.count() == 300
+    assert max(r["count"] for r in parts.groupBy("key").count().collect()) <= 2 * crowd
+
+
 def test_odd_documents_and_names(odd_documents, clashing):
     _check(clashing(odd_documents))
 
