@@ -380,7 +380,8 @@ def _windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
 def merge_parts(once: DataFrame, length: int, gram: int, crowd: int) -> tuple[DataFrame, DataFrame]:
     """Parts to merge by key, and the spans (``id, first, size``) of their repeats.
 
-    ``once`` has ``id, text, runs``. A key has at most ``crowd`` different parts or is one window.
+    ``once`` has ``id, text, runs``. A key has at most ``crowd`` different parts, or it is the key of
+    one window (``alone``), which needs no merge.
     """
     parts = staged(once.mapInArrow(lambda batches: _fetched(batches, length, gram), TEXTS_SQL),
                    "parts")
@@ -395,7 +396,9 @@ def merge_parts(once: DataFrame, length: int, gram: int, crowd: int) -> tuple[Da
     rest = open_parts.where("not split").unionByName(
         open_parts.where("split").join(crowded, "key", "left_anti").select(*TEXTS.names)
     )
-    merged = rest.unionByName(windows.where("key is not null"))
+    merged = rest.withColumn("alone", F.lit(False)).unionByName(
+        windows.where("key is not null").withColumn("alone", F.lit(True))
+    )
     spans = parts.unionByName(windows).where("key is null").select("id", "first", "size")
     return merged, spans
 
@@ -426,14 +429,16 @@ def _bundled(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
     Of equal parts the first one is merged only, the others go as they are."""
     ids, firsts, texts, size, last, head = [], [], [], 0, None, None
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("key", "id", "first", "bytes")]
+        columns = [batch.column(c).to_pylist() for c in ("key", "id", "first", "bytes", "alone")]
         again = []
-        for key, name, first, text in zip(*columns):
+        for key, name, first, text, alone in zip(*columns):
             if head is not None and head[0] == key and head[3] == text:
                 if (name, first) != head[1:3]:
                     again.append((name, first, len(text)))
                 continue
             head = (key, name, first, text)
+            if alone:
+                continue
             if key != last and size >= BUNDLE_BYTES:
                 yield _later_places(ids, firsts, texts, length)
                 ids, firsts, texts, size = [], [], [], 0
@@ -468,7 +473,7 @@ def repeated_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
     once = read.where("id is not null").join(wanted, "id")
     parts, again = merge_parts(once, length, gram, crowd)
-    texts = parts.select("key", "body", "id", "first", "bytes").repartition("key")
+    texts = parts.select("key", "body", "id", "first", "bytes", "alone").repartition("key")
     texts = texts.sortWithinPartitions("key", "body", "id", "first")
     merged = staged(texts.mapInArrow(lambda batches: _bundled(batches, length), SPANS_SQL), "spans")
     return decided.where("key is null").select("id", "first", "size").unionByName(
