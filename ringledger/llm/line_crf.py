@@ -31,7 +31,8 @@ HOLD_OUT = 3
 HELD_REMAINDER = 1
 TRAIN_DOCS = 3000
 TRAIN_CHARS = 20_000
-TRAIN_LINES = 400
+# Padded blocks hold about so many lines at most.
+BLOCK_LINES = 160_000
 ROUNDS = 250
 RATE = 0.08
 RIDGE = 1e-3
@@ -150,7 +151,7 @@ def _gradient(field: LineField, scaled: np.ndarray, mask: np.ndarray, good: np.n
 
 def _spliced(texts: list[str], labels: list[int]) -> list[list[tuple[str, int]]]:
     """Lines with labels: every document, and splices of neighbours of different quality."""
-    split = [[(line, label) for line in text.split("\n") if line.strip()][:TRAIN_LINES]
+    split = [[(line, label) for line in text.split("\n") if line.strip()]
              for text, label in zip(texts, labels)]
     split = [lines for lines in split if lines]
     good = [lines for lines in split if lines[0][1]]
@@ -159,7 +160,7 @@ def _spliced(texts: list[str], labels: list[int]) -> list[list[tuple[str, int]]]
     for k, lines in enumerate(bad):
         other = good[k % len(good)] if good else []
         cut = len(other) // 2
-        mixed.append((other[:cut] + lines + other[cut:])[:TRAIN_LINES])
+        mixed.append(other[:cut] + lines + other[cut:])
     return split + mixed
 
 
@@ -177,7 +178,11 @@ def fitted(texts: list[str], labels: list[int]) -> LineField | None:
     # Sequences of like length share a padded block.
     order = sorted(range(len(rows)), key=lambda k: len(rows[k]))
     blocks = []
+    parts = []
     for part in np.array_split(np.array(order), max(1, len(order) // 400)):
+        cells = len(part) * len(rows[part[-1]])
+        parts += np.array_split(part, min(len(part), -(-cells // BLOCK_LINES)))
+    for part in parts:
         steps = max(len(rows[k]) for k in part)
         scaled = np.zeros((len(part), steps, every.shape[1]))
         mask, good = np.zeros((len(part), steps)), np.zeros((len(part), steps))
@@ -233,11 +238,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS
     marked = labels.where("doc_id is not null and quality is not null").where(
         ~held_out(F.col("doc_id"))
     ).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    picked = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    # At most ``limit`` ids, whatever the size of the tables.
-    met = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").where(
+    usable = docs.where(
         F.col("text").isNotNull() & (F.char_length("text") <= TRAIN_CHARS)
-    )
+    ).select("doc_id", "text")
+    # Ids of usable texts alone are ranked; at most ``limit`` are picked, whatever the tables' size.
+    picked = marked.join(usable.select("doc_id").distinct(), "doc_id").orderBy(
+        F.xxhash64("doc_id"), "doc_id"
+    ).limit(limit)
+    met = usable.join(F.broadcast(picked), "doc_id")
     found = {}
     for row in met.groupBy("doc_id", "quality").agg(F.min("text").alias("text")).collect():
         found[row["doc_id"]] = (row["text"], int(row["quality"] == 1))

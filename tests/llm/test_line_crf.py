@@ -84,3 +84,17 @@ def test_odd_documents_and_names(spark, odd_documents, clashing):
 
 def test_empty_table(spark, documents):
     assert crf.quality(documents([]), spark.createDataFrame([], LABELS)).collect() == []
+
+
+def test_limit_counts_usable_texts_only(spark, documents):
+    long = "word " * 5000
+    docs = documents([(k, long if k % 2 else f"short text {k}") for k in range(200)] + [(300, None)])
+    labels = spark.createDataFrame([(k, k % 3 % 2) for k in range(400)], "doc_id long, quality int")
+    texts, _ = crf.training_rows(docs, labels, limit=30)
+    assert len(texts) == 30 and all(text.startswith("short") for text in texts)
+
+
+def test_training_texts_are_read_whole():
+    text = "\n".join(f"line {k}" for k in range(900))
+    lines = crf._spliced([text, "bad"], [1, 0])
+    assert [len(x) for x in lines] == [900, 1, 901]
