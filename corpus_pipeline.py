@@ -7,7 +7,7 @@ Every stage reads what its predecessor kept from Parquet and returns rows with t
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringledger.llm import decontamination as leaks
@@ -32,13 +32,13 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages that stand earlier in the corpus."""
-    return _recounted(repeats.without_repeats(docs))
+    return _recounted(docs, repeats.without_repeats)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _recounted(leaks.decontaminated(docs, benchmark))
+    return _recounted(docs, lambda told: leaks.decontaminated(told, benchmark))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +46,16 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return mix.mixed(docs).select("row.*", "probability")
 
 
-def _recounted(docs: DataFrame) -> DataFrame:
-    left = docs.where(F.btrim("text", F.lit(BLANKS)) != "")
+def _recounted(docs: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``docs`` after ``cut``, without those that had a word before and have none now."""
+
+    def worded() -> Column:
+        return F.coalesce(F.btrim("text", F.lit(BLANKS)) != "", F.lit(False))
+
+    had = "had_words"
+    while had in docs.columns:
+        had += "_"
+    left = cut(docs.withColumn(had, worded())).where(worded() | ~F.col(had)).drop(had)
     return left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 

@@ -40,3 +40,12 @@ def test_pipeline_keeps_columns_and_takes_effect(spark):
         before = docs.count()
     assert docs.columns[-1] == "probability"
     assert corpus_pipeline.run(spark, SF).count() == before
+
+
+def test_only_texts_emptied_by_a_cut_go(spark, documents):
+    passage = " ".join(f"w{k * 7919 % 1009}" for k in range(60))
+    rows = [(1, passage), (2, passage), (3, None), (4, " \n"), (5, "")]
+    docs = documents(rows)
+    left = corpus_pipeline.suffix_array_dedup(spark, docs, SF)
+    assert left.columns == docs.columns
+    assert sorted(r["doc_id"] for r in left.collect()) == [1, 3, 4, 5]
