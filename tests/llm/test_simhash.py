@@ -147,7 +147,7 @@ def test_a_star_of_edits_hangs_together(documents):
     assert [r["doc_id"] for r in simhash.one_of_each(documents(rows)).collect()] == [0]
 
 
-def test_pairs_in_crowded_groups_against_brute_force(spark, documents, monkeypatch):
+def test_pairs_in_crowded_groups_against_brute_force(spark, documents):
     chosen = random.Random(3)
     passage = [f"p{k}" for k in range(90)]
     rows = []
@@ -172,6 +172,21 @@ def test_pairs_in_crowded_groups_against_brute_force(spark, documents, monkeypat
     assert sorted(joined) == sorted(whole)
 
 
+def test_all_texts_of_one_fingerprint_are_compared(documents):
+    words = [f"w{k}" for k in range(400)]
+    first, other = _edited(words, {200}), _edited(words, set(range(3, 200, 30)))
+    third = _edited(words, set(range(3, 200, 30)) | {230, 250, 270})
+    assert _share(first, other) >= 0.8 and _share(other, third) >= 0.8 > _share(first, third)
+    sets = [overlap.marks(text) for text in (first, other, third)]
+    rows = documents([(0, first), (1, other), (2, third)]).sparkSession.createDataFrame([
+        # The first two share a fingerprint and so a label.
+        (overlap.set_key(x), k, len(x), overlap.leading(x, 0.8).view("int64").tolist(), max(k, 1))
+        for k, x in enumerate(sets)
+    ], "set long, id long, size long, prefix array<long>, label long")
+    texts = documents([(0, first), (1, other), (2, third)]).selectExpr("doc_id as id", "text")
+    assert {tuple(r) for r in overlap.remaining(texts, rows, 0.8).collect()} in ({(1, 2)}, {(2, 1)})
+
+
 def test_marks_hold_the_distinct_shingles():
     assert overlap.similarity_of(overlap.marks(None), overlap.marks(" \n")) == 1.0
     assert overlap.picks(overlap.marks("")) == []
