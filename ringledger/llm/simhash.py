@@ -8,20 +8,17 @@ equality join on the grid cells of every pair of blocks. Pairs from one cell are
 Manhattan distance and then the true bit distance are small enough; both are bit operations,
 since counts in unary code differ in as many bits as their distance.
 
-With a similarity, as for ``one_of_each``, texts that have so much of their five-word shingles
-in common are linked as well; ``overlap`` says how they are found and verified.
-
 Exact copies fall together before the join. A fingerprint has at most 2080 others within two
 bits of it, so links stay bounded however large a group of copies is.
 
 Defined results: null, empty and blank texts have fingerprint zero and are linked to each
-other like any other; texts shorter than a shingle are one shingle. Repeated rows give repeated
-results. A null id is carried along and never names a component, unless the component has no
-other. An empty table gives an empty result.
+other like any other; texts shorter than a shingle are one shingle; long texts are hashed whole,
+block by block. Repeated rows give repeated results. A null id is carried along and never names a
+component, unless the component has no other. An empty table gives an empty result. Other columns
+are not read, whatever their names.
 """
 
 from collections.abc import Iterator
-from functools import partial
 from itertools import combinations
 
 import numpy as np
@@ -32,14 +29,10 @@ from pyspark.sql import functions as F
 from ringledger.llm.components import components
 from ringledger.llm.frames import packed, unpacked
 from ringledger.llm.grid import unary_counts
-from ringledger.llm.overlap import (
-    SAMPLES, alike, leading, marks, picks, relabelled, remaining, set_key
-)
 from ringledger.llm.shingles import shingle_hashes
 from ringledger.operators.staging import staged
 
 SHINGLE = 3
-SIMILARITY = 0.8
 MAX_BITS = 2
 SEGMENTS = 32
 
@@ -56,32 +49,18 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                 shingle: int = SHINGLE, samples: int = 0,
-                 similarity: float = SIMILARITY) -> DataFrame:
-    """``id, fp`` of every row; with ``samples``, also the ``keys`` that ``overlap`` picks, the
-    number of its ``set`` of shingles, its ``size`` and its leading shingles (``prefix``)."""
+                 shingle: int = SHINGLE) -> DataFrame:
+    """``id, fp`` of every row."""
     read = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text"))
 
     def taken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text")
-            found = {
-                "id": batch.column("id"),
-                "fp": pa.array([fingerprint(text.as_py(), shingle) for text in texts], pa.int64()),
-            }
-            if samples:
-                sets = [marks(text.as_py()) for text in texts]
-                found["keys"] = pa.array([picks(x, samples) for x in sets], pa.list_(pa.int64()))
-                found["set"] = pa.array([set_key(x) for x in sets], pa.int64())
-                found["size"] = pa.array([len(x) for x in sets], pa.int64())
-                found["prefix"] = pa.array([leading(x, similarity).view(np.int64) for x in sets],
-                                           pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_pydict(found)
-
-    columns = f"id {read.schema['id'].dataType.simpleString()}, fp long"
-    return read.mapInArrow(taken, columns + (
-        ", keys array<long>, set long, size long, prefix array<long>" if samples else ""
-    ))
+            prints = [fingerprint(text.as_py(), shingle) for text in batch.column("text")]
+            yield pa.RecordBatch.from_pydict(
+                {"id": batch.column("id"), "fp": pa.array(prints, pa.int64())}
+            )
+
+    return read.mapInArrow(taken, f"id {read.schema['id'].dataType.simpleString()}, fp long")
 
 
 def _block_masks(blocks: int) -> list[int]:
@@ -114,46 +93,15 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                shingle: int = SHINGLE, max_bits: int = MAX_BITS,
-                similarity: float | None = None) -> DataFrame:
-    """``id, fp, component_id`` per row: the smallest id reachable over links, its own included.
-
-    With a ``similarity``, texts that share so much of their shingles are linked too, however
-    many bits they differ in (``overlap.alike``).
-    """
-    samples = 0 if similarity is None else SAMPLES
-    prints = staged(fingerprints(docs, id_column, text_column, shingle, samples,
-                                 similarity or SIMILARITY), "fingerprints")
+                shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """``id, fp, component_id`` per row: the smallest id reachable over links, its own included."""
+    prints = staged(fingerprints(docs, id_column, text_column, shingle), "fingerprints")
     classes = staged(prints.groupBy("fp").agg(F.min("id").alias("first_id")), "classes")
-    near = links(classes, max_bits)
-    if similarity is not None:
-        texts = docs.select(
-            F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text")
-        )
-        named = classes.select("fp", F.col("first_id").alias("id"))
-        of_class = partial(fingerprint, shingle=shingle)
-        near = near.unionByName(
-            alike(texts, named, prints.select("id", "fp", "keys").join(named, ["fp", "id"]),
-                  of_class, similarity)
-        )
-    labels = components(near)
+    labels = components(links(classes, max_bits))
     # Fingerprints without a link are components of their own.
     grouped = classes.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first_id", F.coalesce("label", "fp").alias("label")
     )
-    if similarity is not None:
-        grouped = staged(grouped, "grouped")
-        label_of = grouped.select("fp", "label")
-        sets = prints.where("id is not null").groupBy("set").agg(
-            F.min(F.struct("id", "fp")).alias("one"), F.any_value("size").alias("size"),
-            F.any_value("prefix").alias("prefix"),
-        ).select("set", "one.id", "one.fp", "size", "prefix").join(label_of, "fp").drop("fp")
-        sets = staged(sets, "sets")
-        # Equal sets may have several fingerprints.
-        same = prints.select("set", "fp").distinct().join(label_of, "fp").join(
-            sets.select("set", F.col("label").alias("a")), "set"
-        ).where(F.col("label") != F.col("a")).select("a", F.col("label").alias("b"))
-        grouped = relabelled(grouped, remaining(texts, sets, similarity).unionByName(same))
     first = grouped.groupBy("label").agg(F.min("first_id").alias("component_id"))
     named = staged(grouped.join(first, "label").select("fp", "component_id"), "components")
     return prints.join(named, "fp").select("id", "fp", "component_id")
@@ -165,13 +113,12 @@ def as_hex(fp: Column) -> Column:
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                shingle: int = SHINGLE, max_bits: int = MAX_BITS,
-                similarity: float | None = SIMILARITY) -> DataFrame:
+                shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` whose id names its component; the others are near copies of it.
 
     Rows without an id can't be named and stay. Fully equal rows collapse to one.
     """
-    found = near_copies(docs, id_column, text_column, shingle, max_bits, similarity)
+    found = near_copies(docs, id_column, text_column, shingle, max_bits)
     # An id that stands on rows of several groups goes only if it names none of them.
     copies = found.where("id is not null").groupBy(F.col("id").alias("copy_id")).agg(
         F.bool_or(F.col("id") == F.col("component_id")).alias("names")
