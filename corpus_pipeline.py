@@ -3,6 +3,13 @@
 Every stage reads what its predecessor kept from Parquet and returns rows with the columns of
 ``documents``; the last one adds what it sampled by. Texts that a stage cuts have their
 ``n_chars`` counted anew; a document that a cut leaves without a word goes.
+
+Every stage takes nulls in any column, empty, blank and very long texts, repeated rows, tied
+values, an empty table and further columns of any name, which it hands on. Null and blank texts
+fail the quality rules (no ten words), are copies of each other for the near-duplicate stage
+(those without an id stay) and pass the two cutting stages untouched; they weigh nothing, so
+mixing leaves them out. Repeated rows count as so many documents, but the near-duplicate stage
+keeps one of them. An empty table stays empty.
 """
 
 from collections.abc import Callable
@@ -42,8 +49,17 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample with the target shares, and each document's probability."""
-    return mix.mixed(docs).select("row.*", "probability")
+    """A sample with the target shares, and each document's probability behind its columns."""
+    name = _free("probability", docs)
+    return mix.mixed(docs).select("row.*", F.col("probability").alias(name))
+
+
+def _free(name: str, docs: DataFrame) -> str:
+    """``name``, with underscores behind it while ``docs`` has such a column."""
+    taken = {column.lower() for column in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def _recounted(docs: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -52,9 +68,7 @@ def _recounted(docs: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFr
     def worded() -> Column:
         return F.coalesce(F.btrim("text", F.lit(BLANKS)) != "", F.lit(False))
 
-    had = "had_words"
-    while had in docs.columns:
-        had += "_"
+    had = _free("had_words", docs)
     left = cut(docs.withColumn(had, worded())).where(worded() | ~F.col(had)).drop(had)
     return left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
