@@ -7,8 +7,6 @@ from pyspark.sql import SparkSession
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
-TESTDATA = Path("/root/testdata")
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
-from conftest import TESTDATA
+from places import TESTDATA
 from ringledger.checks.oracle import ORACLE
 from ringledger.checks.queries import QUERIES as OWN
 

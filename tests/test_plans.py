@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as driver
-from conftest import TESTDATA
+from places import TESTDATA
 from ringledger.checks.queries import QUERIES as OWN
 from ringledger.plans.feeds import normalise_itemized
 from ringledger.schemas import ITEMIZED_CSV
