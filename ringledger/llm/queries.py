@@ -9,6 +9,7 @@ from ringledger.llm import (
     chat_format,
     decontamination,
     html_extraction,
+    lexical_search,
     license_scan,
     line_crf,
     mixing,
@@ -101,6 +102,12 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_chat_format": op2_chat_format,
@@ -112,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_html_extraction": op10_html_extraction,
+    "op12_lexical_search": op12_lexical_search,
 }
 
 ORACLE: dict[str, str] = {
@@ -119,4 +127,5 @@ ORACLE: dict[str, str] = {
     "op3_license_scan": license_scan.oracle(),
     "op4_mixing": mixing.oracle(),
     "op5_url_filter": url_filter.oracle(URL_RULES),
+    "op12_lexical_search": lexical_search.ORACLE,
 }

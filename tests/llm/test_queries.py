@@ -26,7 +26,7 @@ def test_query_equals_its_sql(spark, name):
 
 def test_one_query_per_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_pipeline_keeps_columns_and_takes_effect(spark):
