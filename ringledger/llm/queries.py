@@ -9,6 +9,7 @@ from ringledger.llm import (
     chat_format,
     decontamination,
     html_extraction,
+    language_id,
     lexical_search,
     license_scan,
     line_crf,
@@ -102,6 +103,16 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    third = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3
+    counts = language_id.learned(docs.where(third != 1))
+    key = F.crc32(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")) % 3
+    return language_id.predicted(docs, counts).select(
+        F.col("id").alias("doc_id"), (key == 1).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.ranked(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
@@ -119,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_html_extraction": op10_html_extraction,
+    "op11_language_id": op11_language_id,
     "op12_lexical_search": op12_lexical_search,
 }
 
