@@ -16,6 +16,7 @@ from ringledger.llm import (
     mixing,
     quality_rules,
     simhash,
+    structure_repair,
     suffix_dedup,
     url_filter,
 )
@@ -119,6 +120,13 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = structure_repair.prepared(_table(spark, sf_dir, "conversations"))
+    return structure_repair.repairs(structure_repair.damaged(rows)).withColumnRenamed(
+        "conv", "conv_id"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_chat_format": op2_chat_format,
@@ -132,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html_extraction": op10_html_extraction,
     "op11_language_id": op11_language_id,
     "op12_lexical_search": op12_lexical_search,
+    "op13_structure_repair": op13_structure_repair,
 }
 
 ORACLE: dict[str, str] = {
