@@ -24,6 +24,8 @@ PROGRESS = StructType([
     StructField(BATCH, LongType()),
 ])
 
+BILL_PERIOD = {"billing_year": "int", "billing_month": "string"}
+
 # How a table's partition list writes a NULL.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
@@ -46,12 +48,12 @@ def refresh(
     staff = spark.table(f"{database}.employee_master").select(*EMPLOYEE_MASTER.names)
     update_mart(
         spark, database, "employee_itemized_bill", EMPLOYEE_ITEMIZED_BILL,
-        f"{database}.itemized_bill", ITEMIZED_BILL,
+        f"{database}.itemized_bill", ITEMIZED_BILL, f"{database}.employee_master",
         lambda bills: employee_itemized_bill(staff, bills),
     )
     update_mart(
         spark, database, "employee_monthly_top_table", EMPLOYEE_MONTHLY_TOP,
-        f"{database}.monthly_bill_summary", MONTHLY_BILL_SUMMARY,
+        f"{database}.monthly_bill_summary", MONTHLY_BILL_SUMMARY, f"{database}.employee_master",
         lambda bills: employee_monthly_top(staff, bills),
     )
 
@@ -63,43 +65,69 @@ def update_mart(
     mart_schema: StructType,
     bill_table: str,
     bill_schema: StructType,
+    staff_table: str,
     build: Callable[[DataFrame], DataFrame],
 ) -> None:
-    """Brings a mart up to date with the bill batches it has not taken in yet.
+    """Brings a mart up to date with the bill and staff batches it has not taken in yet.
 
-    The periods those batches touch, the undated one among them, are rebuilt from all their
-    bills and replaced whole, so late bills reach the mart and a repeated run adds nothing
-    twice. What a mart has taken in is noted after it is written.
+    The periods that new bills touch, the undated one among them, and those that hold a bill of a
+    newly landed staff number are rebuilt from all their bills and replaced whole. So late bills
+    and late staff reach the mart, a repeated run adds nothing twice, and other periods are not
+    written. What a mart has taken in is noted after it is written.
     """
-    table = f"{database}.{mart}"
-    ensure_table(spark, table, mart_schema, PERIOD)
-    fresh = staged(
-        _landed(spark, bill_table).join(
-            mart_progress(spark, database, mart), [FEED, BATCH], "left_anti"
-        ),
-        "progress",
+    ensure_table(spark, f"{database}.{mart}", mart_schema, PERIOD)
+    taken = mart_progress(spark, database, mart)
+    bills_new = staged(
+        _landed(spark, bill_table).join(taken, [FEED, BATCH], "left_anti"), "progress"
+    )
+    staff_new = staged(
+        _landed(spark, staff_table, []).join(taken, [FEED, BATCH], "left_anti"), "progress"
     )
     # A row per new period; the partition list is all that is read.
-    periods = [(r[0], r[1]) for r in fresh.select(*PERIOD).distinct().collect()]
-    if not periods:
-        return
-    bills = spark.table(bill_table).where(_in_periods(periods)).select(*bill_schema.names)
-    replace_partitions(rebalanced(build(bills), PERIOD), table)
-    done = fresh.select(F.lit(mart).alias("mart"), FEED, BATCH).distinct()
-    append_table(done, f"{database}.mart_progress")
+    periods = _periods(bills_new)
+    periods += periods_of_staff(
+        spark.table(staff_table).join(staff_new, [FEED, BATCH], "left_semi"),
+        spark.table(bill_table).where(~F.coalesce(_in_periods(periods), F.lit(False))),
+    )
+    if periods:
+        bills = spark.table(bill_table).where(_in_periods(periods)).select(*bill_schema.names)
+        replace_partitions(rebalanced(build(bills), PERIOD), f"{database}.{mart}")
+    done = bills_new.select(FEED, BATCH).union(staff_new.select(FEED, BATCH)).distinct()
+    if not done.isEmpty():
+        append_table(
+            done.select(F.lit(mart).alias("mart"), FEED, BATCH), f"{database}.mart_progress"
+        )
+
+
+def _periods(rows: DataFrame) -> list[tuple[int | None, str | None]]:
+    """The distinct periods of some rows, as many as there are months."""
+    return [(r[0], r[1]) for r in rows.select(*PERIOD).distinct().collect()]
+
+
+def periods_of_staff(staff: DataFrame, bills: DataFrame) -> list[tuple[int | None, str | None]]:
+    """Periods that hold a bill of one of the staff's numbers.
+
+    The numbers are written first: by their size Spark tells whether the join needs a shuffle.
+    Of the bills, only numbers and periods are read, and each pair of them meets once.
+    """
+    numbers = staged(staff.select("contact_number").distinct(), "changed-staff")
+    if numbers.isEmpty():
+        return []
+    billed = bills.select("phone_number", *PERIOD).distinct()
+    same = F.col("phone_number") == F.col("contact_number")
+    return _periods(billed.join(numbers, same, "left_semi"))
 
 
-def _landed(spark: SparkSession, bill_table: str) -> DataFrame:
-    """Period, feed and batch of every partition of a bill table."""
-    listed = spark.sql(f"SHOW PARTITIONS {bill_table}")
+def _landed(spark: SparkSession, table: str, periods: list[str] = PERIOD) -> DataFrame:
+    """Feed and batch of every partition of a landed table, and its period if it has one."""
+    listed = spark.sql(f"SHOW PARTITIONS {table}")
 
     def part(name: str) -> Column:
         text = F.regexp_extract("partition", f"(?:^|/){name}=([^/]*)", 1)
         return F.when(text != NO_VALUE, text)
 
     return listed.select(
-        part("billing_year").cast("int").alias("billing_year"),
-        part("billing_month").alias("billing_month"),
+        *[part(name).cast(BILL_PERIOD[name]).alias(name) for name in periods],
         part(FEED).alias(FEED), part(BATCH).cast("long").alias(BATCH),
     )
 

@@ -104,7 +104,9 @@ def test_refresh_takes_each_file_once_and_adds_new_periods(spark, tmp_path):
     assert table("employee_monthly_top_table").groupBy("billing_month").count().orderBy(
         "billing_month"
     ).collect() == [("February", 2), ("January", 2)]
-    assert mart_progress(spark, "bills_a", "employee_itemized_bill").count() == 2
+    progress = mart_progress(spark, "bills_a", "employee_itemized_bill")
+    assert progress.groupBy("feed").count().orderBy("feed").collect() == [
+        ("employees", 1), ("itemized", 2)]
     # Files are archived some batches after they were taken; January's are gone by now.
     left = {p.name for p in source.rglob("*") if p.is_file()}
     taken = {p.name for p in archive.rglob("*") if p.is_file()}
@@ -152,6 +154,57 @@ def test_late_bills_reach_the_marts(spark, tmp_path):
     assert itemized.count() == 4
 
 
+def _mart_files(spark, table):
+    found = {}
+    for row in spark.table(table).select("billing_month", "_metadata.file_path").distinct().collect():
+        found.setdefault(row["billing_month"], set()).add(row["file_path"])
+    return found
+
+
+def test_late_staff_reach_the_marts(spark, tmp_path):
+    def run(database, *steps):
+        source = tmp_path / database
+        for feed in FEEDS:
+            (source / feed.folder).mkdir(parents=True)
+        for step in steps:
+            step(source)
+            refresh(spark, str(source), database, str(tmp_path / f"{database}-state"))
+
+    def bills(source):
+        _itemized(source, "201801_a.csv", [1111111, 2222222])
+        _itemized(source, "201802_a.csv", [2222222, 9999999])
+        _itemized(source, "201803_a.csv", [1111111])
+        _itemized(source, "nameless.csv", [3333333])
+        _maxis(source, 1, [1111111, 2222222])
+        _maxis(source, 2, [1111111])
+
+    def staff(source):
+        _staff(source, "first.xlsx", ["012-1111111"])
+
+    def late(source):
+        _staff(source, "late.xlsx", ["012-2222222", "012-3333333", "012-4444444"])
+
+    marts = ["employee_itemized_bill", "employee_monthly_top_table"]
+    rows = lambda name: sorted(map(str, spark.table(name).collect()))
+    run("bills_late", bills, staff)
+    assert spark.table("bills_late.employee_itemized_bill").count() == 2
+    before = {mart: _mart_files(spark, f"bills_late.{mart}") for mart in marts}
+    late(tmp_path / "bills_late")
+    refresh(spark, str(tmp_path / "bills_late"), "bills_late", str(tmp_path / "bills_late-state"))
+    run("bills_once", lambda source: (bills(source), staff(source), late(source)))
+    for mart in marts:
+        assert rows(f"bills_late.{mart}") == rows(f"bills_once.{mart}")
+    after = {mart: _mart_files(spark, f"bills_late.{mart}") for mart in marts}
+    itemized, monthly = (
+        {month for month in after[mart] if after[mart][month] != before[mart].get(month)}
+        for mart in marts
+    )
+    assert itemized == {"January", "February", None} and monthly == {"January"}
+    # Nothing is new any more.
+    refresh(spark, str(tmp_path / "bills_late"), "bills_late", str(tmp_path / "bills_late-state"))
+    assert {mart: _mart_files(spark, f"bills_late.{mart}") for mart in marts} == after
+
+
 def test_refused_workbooks_are_not_taken(spark, tmp_path):
     source, archive = tmp_path / "in", tmp_path / "done"
     feed = next(feed for feed in FEEDS if feed.name == "celcom_monthly")
