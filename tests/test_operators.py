@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from ringledger.operators import numbering
 from ringledger.operators.joins import join_per_file
 from ringledger.operators.numbering import first_rows, number_batches, number_rows
 from ringledger.operators.period import (
@@ -116,6 +117,37 @@ def test_first_rows(spark, n):
     assert found == list(range(2000))[: n or 2000]
 
 
+KINDS = [
+    "id", "cast(id as int)", "id / 7", "cast(id / 7 as decimal(20, 3))", "cast(id % 9 as tinyint)",
+    "date_add(date'2000-01-01', cast(id as int))", "timestamp_seconds(id * 977)", "id % 5 = 0",
+    "concat('long common prefix ', lpad(id % 1500, 5, '0'))", "concat(char(65 + id % 26), id)",
+    "if(id % 50 = 0, double('NaN'), double(id - 900))", "if(id % 3 = 0, 7, id)",
+    "timestamp_ntz'2000-01-01 00:00:00' + make_interval(0, 0, 0, cast(id as int))",
+]
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_first_rows_of_every_kind_of_key(spark, monkeypatch, kind):
+    monkeypatch.setattr(numbering, "RANKED_AT_ONCE", 50)
+    df = spark.range(2000).selectExpr(
+        f"if(id % 100 = 3, null, {kind}) as k", "id"
+    ).repartition(5)
+    order = df.orderBy(F.col("k").asc_nulls_first(), "id").collect()
+    for n in (20, 21, 777):
+        found = first_rows(df, n, "k").collect()
+        assert sorted(r["id"] for r in found) == sorted(r["id"] for r in order[:n])
+
+
+def test_a_limit_stages_and_ranges_no_keys(spark, tmp_path, monkeypatch):
+    spark.range(400_000).selectExpr("id * 7919 % 400009 as k", "id as v").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    monkeypatch.setattr(numbering, "staged", None)
+    found = first_rows(df, 1000, "k")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "LessThanOrEqual(k," in plan
+    assert found.count() == 1000
+
+
 def _typed(spark, schema, rows):
     blank = dict.fromkeys(schema.names)
     return spark.createDataFrame([tuple({**blank, **row}.values()) for row in rows], schema)
