@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringledger.checks import raw
+from ringledger.operators.staging import staged
 from ringledger.plans.feeds import normalise_employees
 from ringledger.schemas import CELCOM_HEADERS
 
@@ -69,7 +70,7 @@ class Inputs:
             F.create_map(F.lit(6), F.col("account_text")).alias("cells"),
         )
         summary = _sheet(dated.unionByName(lines), "Account Summary", 0)
-        return summary.unionByName(_sheet(invoices, "Tax Invoice", 1))
+        return _landed(summary.unionByName(_sheet(invoices, "Tax Invoice", 1)))
 
     def celcom_sheets(self) -> DataFrame:
         """Sheet rows of the CELCOM workbooks; odd months sit one column further right."""
@@ -89,7 +90,12 @@ class Inputs:
             F.create_map(F.lit(2), F.col("date_text")).alias("cells"),
         )
         parts = [dated, captions, lines]
-        return _sheet(reduce(DataFrame.unionByName, parts), "Bill", 0)
+        return _landed(_sheet(reduce(DataFrame.unionByName, parts), "Bill", 0))
+
+
+def _landed(sheets: DataFrame) -> DataFrame:
+    """Sheet rows written before ranges are cut from them, as the feeds do."""
+    return staged(sheets, "sheets")
 
 
 def as_read(made: DataFrame) -> DataFrame:

@@ -266,6 +266,7 @@ FROM orders""",
 SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_totalprice, o_orderpriority
 FROM orders ORDER BY o_orderkey LIMIT 500""",
     "itemized_normalised": _ITEMIZED_NORMALISED,
+    "itemized_csv_by_header": f"SELECT * EXCLUDE (file_name) FROM ({src(raw.ITEMIZED_TEXT)})",
     "maxis_monthly_normalised": _MAXIS_NORMALISED,
     "celcom_monthly_normalised": _CELCOM_NORMALISED,
     "employee_master_normalised": _STAFF,

@@ -16,10 +16,12 @@ from ringledger.operators.staging import shared_folder
 from ringledger.plans import activity, feeds, marts
 from ringledger.plans.copy import table_copy
 from ringledger.schemas import (
+    ITEMIZED_CSV,
     MONTHLY_BILL_SUMMARY,
     SPARK_TYPES,
 )
 from ringledger.sinks.tables import append_table
+from ringledger.sources.files import read_itemized_csv
 from ringledger.sources.relational import map_schema
 from ringledger.sources.sheets import first_cells, sheet_range
 from ringledger.streaming.activity import stream_hourly_average, write_hours
@@ -162,6 +164,18 @@ def itemized_normalised(inputs: Inputs) -> DataFrame:
     return feeds.normalise_itemized(as_read(inputs.raw(raw.ITEMIZED_TEXT)))
 
 
+@query
+def itemized_csv_by_header(inputs: Inputs) -> DataFrame:
+    """Bills written as CSV files of two column orders and read back by their headers."""
+    bills, folder = inputs.raw(raw.ITEMIZED_TEXT), shared_folder(inputs.spark, "csv")
+    names = [f"`{name}`" for name in ITEMIZED_CSV.names]
+    first = F.col("Type") == "R"
+    for part, some in (("plain", bills.where(first).select(*names)),
+                       ("turned", bills.where(~first).select(F.lit("?").alias("more"), *reversed(names)))):
+        some.write.option("header", True).csv(f"{folder}/{part}")
+    return read_itemized_csv(inputs.spark, [f"{folder}/plain", f"{folder}/turned"]).select(*names)
+
+
 @query
 def maxis_monthly_normalised(inputs: Inputs) -> DataFrame:
     return feeds.normalise_maxis_monthly(inputs.maxis_sheets())

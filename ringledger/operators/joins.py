@@ -2,15 +2,15 @@
 
 from pyspark.sql import DataFrame
 
+from ringledger.operators.staging import staged
+
 
 def join_per_file(rows: DataFrame, per_file: DataFrame, how: str = "inner") -> DataFrame:
     """``rows`` (path, row, ...) with the columns of ``per_file``, one row per path.
 
-    Spark broadcasts ``per_file`` while its true size, known once it is shuffled, is below
-    its broadcast threshold. ``per_file`` usually comes out of an aggregate by path, whose
-    partitioning a join would reuse, and then the adaptive skew split does not apply. Dealt
-    out evenly first, both sides are shuffled for the join alone, and a file with most of
-    the rows is split into as many parts as it takes.
+    ``per_file`` is worked out and written first. So its size is known when the join is planned:
+    below Spark's broadcast threshold it goes to the rows, which stay where they were read. Beyond
+    it both sides are shuffled for the join alone, and a file with most of the rows is split by
+    the adaptive skew handling.
     """
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.join(per_file.repartition(parts), "path", how)
+    return rows.join(staged(per_file, "per-file"), "path", how)

@@ -1,51 +1,74 @@
 """Delimited feed files."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from ringledger.operators.joins import join_per_file
+from ringledger.operators.staging import staged
 from ringledger.schemas import ACTIVITY_TSV, ITEMIZED_CSV
 
-# Cells taken of a line. A file whose header has a needed name further right is refused.
-CSV_WIDTH = 64
-CSV_CELLS = StructType([StructField(f"_c{i}", StringType()) for i in range(CSV_WIDTH)])
-
 
 def csv_lines(raw: DataFrame) -> DataFrame:
-    """``path``, ``file_name`` and the ``cells`` of every line, headers among them."""
+    """``path``, ``file_name`` and ``line`` of every filled line of text files."""
     return raw.select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name"),
-        F.array(*CSV_CELLS.names).alias("cells"),
-    )
+        F.col("value").alias("line"),
+    ).where(F.btrim("line", F.lit(" \t")) != "")
 
 
-def by_own_header(lines: DataFrame, names: list[str]) -> DataFrame:
-    """Lines under the named columns, each file read by its own header line.
+def _of_cells(width: int, body: Callable[[Column], Column]) -> Column:
+    """``body`` of the cells of ``line``, which is cut once however often ``body`` uses them."""
+    columns = [f"_c{i}" for i in range(width)]
+    cut = F.from_csv("line", ", ".join(f"{name} STRING" for name in columns))
+    cells = F.transform(F.array(cut), lambda x: F.array(*[x[name] for name in columns]))
+    return F.get(F.transform(cells, body), F.lit(0))
+
 
-    Files may carry more columns, in any order. A header line is one that holds all names;
-    a file without one raises, with its path.
+def headers(lines: DataFrame, names: list[str]) -> tuple[DataFrame, int]:
+    """``path, _at``: where each file's header line has the named columns, counted from 1; and the
+    number of cells of the widest header.
+
+    A header line is one that holds all names. Lines are looked through once, as text; header
+    lines alone are cut into cells.
     """
-    places = [F.array_position("cells", name).cast("int").alias(f"_at{i}") for i, name in enumerate(names)]
-    at = [F.col(f"_at{i}") for i in range(len(names))]
-    marked = lines.select("path", "file_name", "cells", F.array(*places).alias("_at"))
-    heads = F.forall("_at", lambda place: place > 0)
-    headers = lines.select("path", *places).groupBy("path").agg(
-        *[F.max(F.when(F.least(*at) > 0, col)).alias(f"_at{i}") for i, col in enumerate(at)]
-    )
-    body = join_per_file(marked.where(~heads), headers)
+    named = F.lit(True)
+    for name in names:
+        named = named & F.col("line").contains(name)
+    found = staged(lines.where(named).select("path", "line"), "header-lines")
+    # Never below the number of cells: a quoted comma counts as one more.
+    width = found.agg(F.max(F.size(F.split("line", ",")))).first()[0] or 1
+    places = _of_cells(width, lambda cells: F.array(
+        *[F.array_position(cells, name).cast("int") for name in names]
+    ))
+    whole = found.select("path", places.alias("_at")).where(F.forall("_at", lambda at: at > 0))
+    return whole.groupBy("path").agg(F.max("_at").alias("_at")), width
 
-    def cell(i: int) -> Column:
-        message = F.concat(F.lit("no header line with the needed columns: "), F.col("path"))
-        place = F.coalesce(at[i], F.raise_error(message).cast("int"))
-        return F.get("cells", place - 1).alias(names[i])
 
-    return body.select(*[cell(i) for i in range(len(names))], "file_name")
+def by_own_header(lines: DataFrame, names: list[str]) -> DataFrame:
+    """Lines under the named columns, each file read by its own header line.
+
+    Files may carry more columns, in any order and number. A file without a header line raises,
+    with its path. Lines stay where they are read unless the headers of all files outgrow
+    Spark's broadcast threshold.
+    """
+    placed, width = headers(lines, names)
+    body = join_per_file(lines, placed, "left")
+    message = F.concat(F.lit("no header line with the needed columns: "), F.col("path"))
+    at = F.coalesce("_at", F.raise_error(message).cast("array<int>"))
+    picked = _of_cells(width, lambda cells: F.transform(at, lambda k: F.get(cells, k - 1)))
+    caption = F.array(*[F.lit(name) for name in names])
+    # Exploded, so that no later filter has lines cut once more.
+    told = body.select("file_name", F.explode(F.filter(
+        F.array(picked), lambda cells: ~cells.eqNullSafe(caption)
+    )).alias("_picked"))
+    return told.select(*[F.get("_picked", F.lit(i)).alias(n) for i, n in enumerate(names)], "file_name")
 
 
 def read_itemized_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Itemized bills as text columns named by each file's header, plus ``file_name``."""
-    return by_own_header(csv_lines(spark.read.schema(CSV_CELLS).csv(path)), ITEMIZED_CSV.names)
+    return by_own_header(csv_lines(spark.read.text(path)), ITEMIZED_CSV.names)
 
 
 def read_activity_tsv(spark: SparkSession, path: str | list[str]) -> DataFrame:

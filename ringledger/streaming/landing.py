@@ -40,7 +40,7 @@ from ringledger.schemas import (
     MONTHLY_BILL_SUMMARY,
 )
 from ringledger.sinks.tables import ensure_table, rebalanced, replace_partitions
-from ringledger.sources.files import CSV_CELLS, by_own_header, csv_lines
+from ringledger.sources.files import by_own_header, csv_lines
 from ringledger.sources.sheets import lacking
 from ringledger.sources.workbook import workbook_rows
 
@@ -104,7 +104,7 @@ def _landing_files(
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if feed.workbook:
         return reader.format("binaryFile").schema(BINARY_FILES).load(folder)
-    return csv_lines(reader.schema(CSV_CELLS).csv(folder))
+    return csv_lines(reader.text(folder))
 
 
 def landed_table(spark: SparkSession, database: str, feed: Feed) -> str:

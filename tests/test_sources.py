@@ -49,6 +49,33 @@ def test_each_csv_is_read_by_its_own_header(spark, tmp_path):
     assert [",".join(row) for row in rows] == [LINE] * 3
 
 
+def test_a_header_far_to_the_right(spark, tmp_path):
+    wide = [f"x{k}" for k in range(300)]
+    lines = [",".join([*wide, *ITEMIZED_CSV.names]), ",".join(['"a,b"'] * 300) + "," + LINE, "", " "]
+    (tmp_path / "201805_a.csv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "201806_b.csv").write_text(f"{HEADER}\n{LINE}\n{HEADER}\n")
+    rows = read_itemized_csv(spark, str(tmp_path)).select(*ITEMIZED_CSV.names).collect()
+    assert [",".join(row) for row in rows] == [LINE] * 2
+
+
+def test_lines_stay_where_they_are_read(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / f"20180{k + 1}_a.csv").write_text("\n".join([HEADER, *[LINE] * 500]) + "\n")
+    found = read_itemized_csv(spark, str(tmp_path))
+    assert found.count() == 1500
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in plan and plan.count("FileScan text") == 1
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    # Past the threshold both sides are shuffled instead.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        other = read_itemized_csv(spark, str(tmp_path))
+        assert sorted(map(str, other.collect())) == sorted(map(str, found.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_a_csv_without_the_needed_header_raises(spark, tmp_path):
     (tmp_path / "201805_a.csv").write_text(f"{HEADER}\n{LINE}\n")
     (tmp_path / "201806_b.csv").write_text(f"{HEADER.replace('Total', 'Sum')}\n{LINE}\n")
