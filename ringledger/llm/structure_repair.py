@@ -232,11 +232,12 @@ def _illegal(left: int, right: int) -> bool:
 class Paths:
     """The optimal arcs of some blocks, ranked; ``node`` is 4 * place + state."""
 
-    def __init__(self, blocks: list[tuple[Block, list[int], bool]]):
-        arcs, self.starts, base = [], [], 0
-        for block, behind, last in blocks:
-            self.starts.append(base)
+    def __init__(self, blocks: list[tuple[Block, list[int], bool, bool]]):
+        arcs, self.starts, self.costs, base = [], [], [], 0
+        for block, behind, last, _ in blocks:
             costs = block.costs(behind)
+            self.starts.append(base)
+            self.costs.append(costs[0][START])
             for place, now in enumerate(costs):
                 at = base + STATES * place
                 ends = place == len(block.rows)
@@ -288,16 +289,17 @@ class Paths:
         return path[: ends[0] + 1]
 
 
-def _solved(blocks: list[tuple[Block, list[int], bool]]) -> Iterator[list[tuple]]:
-    """Per block and state it is entered in: state at the end, audit and messages put out.
+def _solved(blocks: list[tuple[Block, list[int], bool, bool]]) -> Iterator[tuple[int, list[tuple]]]:
+    """Per block its least cost from the start, and per state it is entered in: state at the end,
+    audit and messages put out. A block that is a conversation's only one is entered in one.
 
     A message is a row that stays, with its new role if it gets one, or one that is put in before
     a row or at the end.
     """
     paths = Paths(blocks)
-    for (block, _, _), start in zip(blocks, paths.starts):
+    for (block, _, _, alone), start, cost in zip(blocks, paths.starts, paths.costs):
         found = []
-        for entry in range(STATES):
+        for entry in [START] if alone else range(STATES):
             nodes = paths.unrolled(start + entry)
             letters, nodes = paths.letters[nodes[:-1]].tolist(), (nodes - start).tolist()
             audit, out = [], []
@@ -311,7 +313,7 @@ def _solved(blocks: list[tuple[Block, list[int], bool]]) -> Iterator[list[tuple]
                     at = block.rows[place] if place < len(block.rows) else block.end
                     out.append({"row": at, "put_in": put_in, "role": role})
             found.append((nodes[-1] % STATES, "".join(audit), out))
-        yield found
+        yield cost, found
 
 
 MESSAGE = "row:bigint,put_in:boolean,role:string"
@@ -376,14 +378,17 @@ def _schema(batch: pa.RecordBatch, columns: list[tuple]) -> pa.Schema:
 def _pathed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows, blocks in _chunks(batch):
-            told = [(b, r["behind"] or AT_END, r["last"] is not False) for r, b in zip(rows, blocks)]
+            told = [
+                (block, row["behind"] or AT_END, row["last"] is not False, row["behind"] is None)
+                for row, block in zip(rows, blocks)
+            ]
             found = [
                 {
-                    "conv": row["conv"], "block": row["block"],
-                    "cost": block.costs(behind)[0][START], "ends": [way[0] for way in ways],
-                    "audits": [way[1] for way in ways], "messages": [way[2] for way in ways],
+                    "conv": row["conv"], "block": row["block"], "cost": cost,
+                    "ends": [way[0] for way in ways], "audits": [way[1] for way in ways],
+                    "messages": [way[2] for way in ways],
                 } | block.counts()
-                for row, (block, behind, _), ways in zip(rows, told, _solved(told))
+                for row, block, (cost, ways) in zip(rows, blocks, _solved(told))
             ]
             yield pa.RecordBatch.from_pylist(found, schema=_schema(batch, PATHS))
 

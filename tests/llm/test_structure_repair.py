@@ -144,7 +144,7 @@ def test_ranks_follow_the_audits():
     rows = [{"row": k, "turn": k, "copies": 1, "state": chosen.randrange(4),
              "fault": chosen.choice([None, None, "truncated", "blank"])} for k in range(40)]
     block = repair.Block(rows)
-    paths = repair.Paths([(block, repair.AT_END, True)])
+    paths = repair.Paths([(block, repair.AT_END, True, False)])
     audits = []
     for node in range(4 * 41):
         way = paths.unrolled(node)
