@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ringledger.operators.staging import staged
+
 ORDER = 4
 # Training bounds: documents of a language, and bytes of one that is preferred; longer documents
 # are drawn only where a language has too few others.
@@ -177,12 +179,19 @@ class Model:
 
 
 def _sampled(labelled: DataFrame, train_docs: int, train_bytes: int) -> DataFrame:
-    """At most ``train_docs`` rows of every language, picked by a hash of the text."""
-    order = Window.partitionBy("lang").orderBy(
-        F.octet_length("text") > train_bytes, F.xxhash64("text"), "text"
-    )
-    picked = labelled.withColumn("place", F.row_number().over(order))
-    return picked.where(F.col("place") <= train_docs).select("lang", "text")
+    """The texts of at most ``train_docs`` rows of every language, picked by a hash of the text.
+
+    Hashes alone are ranked, so that a language of most rows sends its few best ones of every task
+    to one, and no texts. Copies of a text count as so many rows and are learned once.
+    """
+    key = F.xxhash64("text").alias("key")
+    order = Window.partitionBy("lang").orderBy("long", "key")
+    ranks = labelled.select("lang", (F.octet_length("text") > train_bytes).alias("long"), key)
+    picked = staged(ranks.withColumn("place", F.row_number().over(order)).where(
+        F.col("place") <= train_docs
+    ).select("lang", "key").distinct(), "picked")
+    return labelled.select("lang", "text", key).join(picked, ["lang", "key"], "left_semi").groupBy(
+        "lang", "key").agg(F.min("text").alias("text")).select("lang", "text")
 
 
 def learned(docs: DataFrame, text_column: str = "text", lang_column: str = "lang",
