@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from dataclasses import dataclass
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,3 +53,32 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     """Deletes a staged copy that is no longer read."""
     system, folder = _folder(spark, path)
     system.delete(folder, True)
+
+
+@dataclass(frozen=True)
+class File:
+    """A file of a folder and when it was last changed, in milliseconds."""
+
+    name: str
+    modified: int
+
+
+def listed(spark: SparkSession, path: str) -> list[File]:
+    """The files of a folder, none where there is no folder."""
+    system, folder = _folder(spark, path)
+    if not system.exists(folder):
+        return []
+    return [File(x.getPath().getName(), x.getModificationTime()) for x in system.listStatus(folder)
+            if x.isFile()]
+
+
+def move_file(spark: SparkSession, path: str, folder: str, other_name: str) -> None:
+    """Moves a file into a folder, under another name where its own is taken."""
+    system, source = _folder(spark, path)
+    _, target = _folder(spark, folder)
+    system.mkdirs(target)
+    whole = _folder(spark, f"{folder}/{source.getName()}")[1]
+    if system.exists(whole):
+        whole = _folder(spark, f"{folder}/{other_name}")[1]
+    if not system.rename(source, whole):
+        raise OSError(f"{path} can't be moved to {folder}")

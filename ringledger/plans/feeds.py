@@ -32,6 +32,21 @@ MAXIS_DATE_CELL = ("Account Summary", 3, 0)
 MAXIS_ACCOUNT_CELL = ("Tax Invoice", 6, 6)
 CELCOM_DATE_CELL = (None, 2, 4)
 
+
+def _wanted(*places: tuple) -> dict[str | None, int]:
+    """The first row wanted of each sheet that ranges (sheet, first and last column, rows to skip)
+    or cells (sheet, column, rows to skip) lie on."""
+    found: dict[str | None, int] = {}
+    for sheet, *_, skip in places:
+        found[sheet] = min(skip, found.get(sheet, skip))
+    return found
+
+
+# What is unpacked of each feed's workbooks.
+EMPLOYEE_SHEETS = _wanted(EMPLOYEE_RANGE)
+MAXIS_SHEETS = _wanted(MAXIS_SUMMARY_RANGE, MAXIS_DATE_CELL, MAXIS_ACCOUNT_CELL)
+CELCOM_SHEETS = _wanted(CELCOM_BILL_RANGE, CELCOM_DATE_CELL)
+
 # The staff list's number column, quoted as its header ends in a dot.
 STAFF_NUMBER = "`H/P NO.`"
 

@@ -16,7 +16,7 @@ from ringledger.schemas import (
     MONTHLY_BILL_SUMMARY,
 )
 from ringledger.sinks.tables import append_table, ensure_table, rebalanced, replace_partitions
-from ringledger.streaming.landing import BATCH, FEED, FEEDS, PERIOD, ingest
+from ringledger.streaming.landing import BATCH, FEED, FEEDS, PERIOD, land_waiting
 
 PROGRESS = StructType([
     StructField("mart", StringType()),
@@ -44,7 +44,7 @@ def refresh(
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for feed in FEEDS:
-        ingest(spark, feed, source, database, checkpoints, archive).awaitTermination()
+        land_waiting(spark, feed, source, database, checkpoints, archive)
     staff = spark.table(f"{database}.employee_master").select(*EMPLOYEE_MASTER.names)
     update_mart(
         spark, database, "employee_itemized_bill", EMPLOYEE_ITEMIZED_BILL,

@@ -11,10 +11,10 @@ from ringledger.schemas import ACTIVITY_TSV, ITEMIZED_CSV
 
 
 def csv_lines(raw: DataFrame) -> DataFrame:
-    """``path``, ``file_name`` and ``line`` of every filled line of text files."""
+    """``path``, ``file_name``, ``modified`` and ``line`` of every filled line of text files."""
     return raw.select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name"),
-        F.col("value").alias("line"),
+        F.col("_metadata.file_modification_time").alias("modified"), F.col("value").alias("line"),
     ).where(F.btrim("line", F.lit(" \t")) != "")
 
 
@@ -46,15 +46,23 @@ def headers(lines: DataFrame, names: list[str]) -> tuple[DataFrame, int]:
     return whole.groupBy("path").agg(F.max("_at").alias("_at")), width
 
 
-def by_own_header(lines: DataFrame, names: list[str]) -> DataFrame:
+def headless(lines: DataFrame, names: list[str]) -> DataFrame:
+    """``path, modified`` of the files without a header line."""
+    files = lines.select("path", "modified").distinct()
+    return files.join(headers(lines, names)[0], "path", "left_anti")
+
+
+def by_own_header(
+    lines: DataFrame, names: list[str], skip_headless: bool = False
+) -> DataFrame:
     """Lines under the named columns, each file read by its own header line.
 
     Files may carry more columns, in any order and number. A file without a header line raises,
-    with its path. Lines stay where they are read unless the headers of all files outgrow
+    with its path, or is left out with ``skip_headless``. Lines stay where they are read unless the headers of all files outgrow
     Spark's broadcast threshold.
     """
     placed, width = headers(lines, names)
-    body = join_per_file(lines, placed, "left")
+    body = join_per_file(lines, placed, "inner" if skip_headless else "left")
     message = F.concat(F.lit("no header line with the needed columns: "), F.col("path"))
     at = F.coalesce("_at", F.raise_error(message).cast("array<int>"))
     picked = _of_cells(width, lambda cells: F.transform(at, lambda k: F.get(cells, k - 1)))

@@ -24,6 +24,9 @@ DATE_FORMATS = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range
 DATE_LETTERS = re.compile(r"[dmyhs]", re.IGNORECASE)
 NOT_LETTERS = re.compile(r'"[^"]*"|\\.|\[[^\]]*\]')
 
+# What unpacking raises for a file that is no workbook.
+BROKEN = (zipfile.BadZipFile, ElementTree.ParseError, KeyError, StopIteration, EOFError)
+
 _ARROW_ROWS = pa.schema([
     ("path", pa.string()),
     ("sheet", pa.string()),
@@ -39,27 +42,39 @@ def read_workbook_rows(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return workbook_rows(spark.read.format("binaryFile").load(paths))
 
 
-def workbook_rows(files: DataFrame) -> DataFrame:
+def workbook_rows(
+    files: DataFrame, sheets: dict[str | None, int] | None = None, skip_broken: bool = False
+) -> DataFrame:
     """Sheet rows of ``binaryFile`` rows, with the filled cells as a map.
 
     Rows and columns count from zero. Numbers are given as stored, cells with a date style
     as ``yyyy-MM-dd`` with the time behind it where there is one, shared and inline text in
     full; a cell that holds nothing is absent.
-    """
-    return files.select("path", "content").mapInArrow(_row_batches, SHEET_ROWS)
 
+    ``sheets`` names the sheets to unpack (None: the first) and the first row wanted of each;
+    other sheets are not opened, and earlier rows are not handed over. With ``skip_broken``, a
+    file that is no workbook gives no rows instead of raising.
+    """
 
-def _row_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows: list[tuple] = []
-    for batch in batches:
-        for path, content in zip(batch.column("path"), batch.column("content")):
-            for row in _book_rows(content.as_py()):
-                rows.append((path.as_py(), *row))
-                if len(rows) == ROWS_PER_BATCH:
-                    yield _to_batch(rows)
-                    rows = []
-    if rows:
-        yield _to_batch(rows)
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        for batch in batches:
+            for path, content in zip(batch.column("path"), batch.column("content")):
+                held = len(rows)
+                try:
+                    for row in _book_rows(content.as_py(), sheets):
+                        rows.append((path.as_py(), *row))
+                        if len(rows) == ROWS_PER_BATCH:
+                            yield _to_batch(rows)
+                            rows, held = [], 0
+                except BROKEN:
+                    if not skip_broken:
+                        raise
+                    rows = rows[:held]
+        if rows:
+            yield _to_batch(rows)
+
+    return files.select("path", "content").mapInArrow(unpacked, SHEET_ROWS)
 
 
 def _to_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -67,13 +82,27 @@ def _to_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, schema=_ARROW_ROWS)
 
 
-def _book_rows(content: bytes) -> Iterator[tuple[str, int, int, list]]:
+def _book_rows(
+    content: bytes, sheets: dict[str | None, int] | None = None
+) -> Iterator[tuple[str, int, int, list]]:
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         shared, dates = _shared_strings(book), _date_styles(book)
         for index, (name, part) in enumerate(_sheet_parts(book)):
+            first = _first_row(sheets, name, index)
+            if first is None:
+                continue
             with book.open(part) as stream:
                 for row, cells in _sheet_rows(stream, shared, dates):
-                    yield name, index, row, cells
+                    if row >= first:
+                        yield name, index, row, cells
+
+
+def _first_row(sheets: dict[str | None, int] | None, name: str, index: int) -> int | None:
+    """The first row wanted of a sheet, None for a sheet that is not wanted."""
+    if sheets is None:
+        return 0
+    asked = [sheets[key] for key in ([name] if index else [name, None]) if key in sheets]
+    return min(asked, default=None)
 
 
 def _local(name: str) -> str:

@@ -1,6 +1,7 @@
 """Readers: CSV and TSV files, workbooks and sheet ranges, relational tables."""
 
 import datetime as dt
+import zipfile
 from pathlib import Path
 
 import pytest
@@ -19,6 +20,7 @@ from ringledger.sources.relational import (
     target_schema,
 )
 from ringledger.sources.sheets import first_cells, lacking, sheet_range, sheet_range_with_header
+from ringledger.sources import workbook
 from ringledger.sources.workbook import read_workbook_rows
 from workbooks import row_of, write_workbook
 
@@ -123,6 +125,27 @@ def book(tmp_path):
     return str(path.parent)
 
 
+def test_only_wanted_sheets_are_opened(spark, tmp_path, monkeypatch):
+    sheets = {name: {k: {0: f"{name}{k}"} for k in range(5)} for name in ("one", "two", "three")}
+    write_workbook(tmp_path / "b.xlsx", sheets)
+    opened, real = [], zipfile.ZipFile.open
+    monkeypatch.setattr(zipfile.ZipFile, "open", lambda book, part, *args, **kw: (
+        opened.append(getattr(part, "filename", part)), real(book, part, *args, **kw))[1])
+    content = (tmp_path / "b.xlsx").read_bytes()
+    rows = [row[:3] for row in workbook._book_rows(content, {"three": 2, None: 4})]
+    assert rows == [("one", 0, 4), ("three", 2, 2), ("three", 2, 3), ("three", 2, 4)]
+    assert [part for part in opened if "worksheets" in part] == [
+        "xl/worksheets/sheet1.xml", "xl/worksheets/sheet3.xml"]
+    files = spark.read.format("binaryFile").load(str(tmp_path))
+    found = workbook.workbook_rows(files, {"three": 2, None: 4}).collect()
+    assert [(r["sheet"], r["sheet_index"], r["row"]) for r in found] == rows
+    (tmp_path / "torn.xlsx").write_bytes(content[:200])
+    files = spark.read.format("binaryFile").load(str(tmp_path))
+    assert workbook.workbook_rows(files, {"two": 0}, skip_broken=True).count() == 5
+    with pytest.raises(Exception, match="BadZipFile"):
+        workbook.workbook_rows(files).count()
+
+
 def test_workbook_rows(spark, book):
     rows = read_workbook_rows(spark, book).orderBy("sheet_index", "row").collect()
     assert [(r["sheet"], r["row"], r["cells"]) for r in rows] == [

@@ -1,8 +1,9 @@
 """Landing folders, the whole refresh, and hourly activity over a stream."""
 
 import datetime
+import os
+from pathlib import Path
 
-import pytest
 from pyspark.sql import functions as F
 
 from ringledger.plans.activity import cleaned, hourly_average
@@ -19,7 +20,16 @@ from ringledger.schemas import (
 )
 from ringledger.streaming.activity import stream_hourly_average, write_hours
 from ringledger.sinks.tables import replace_partitions
-from ringledger.streaming.landing import BATCH, FEED, FEEDS, ingest, landed_table
+from ringledger.streaming.landing import (
+    BATCH,
+    FEED,
+    FEEDS,
+    archive_taken,
+    ingest,
+    land_waiting,
+    landed_table,
+    still_refused,
+)
 from workbooks import row_of, write_workbook
 
 
@@ -107,10 +117,9 @@ def test_refresh_takes_each_file_once_and_adds_new_periods(spark, tmp_path):
     progress = mart_progress(spark, "bills_a", "employee_itemized_bill")
     assert progress.groupBy("feed").count().orderBy("feed").collect() == [
         ("employees", 1), ("itemized", 2)]
-    # Files are archived some batches after they were taken; January's are gone by now.
-    left = {p.name for p in source.rglob("*") if p.is_file()}
+    assert not [p for p in source.rglob("*") if p.is_file() and not p.name.endswith(".crc")]
     taken = {p.name for p in archive.rglob("*") if p.is_file()}
-    assert "201801_a.csv" in taken and "201801_a.csv" not in left
+    assert {"staff.xlsx", "201801_a.csv", "201802_a.csv", "m1.xlsx"} <= taken
 
 
 def test_a_mart_that_failed_is_made_up_for(spark, tmp_path):
@@ -205,25 +214,60 @@ def test_late_staff_reach_the_marts(spark, tmp_path):
     assert {mart: _mart_files(spark, f"bills_late.{mart}") for mart in marts} == after
 
 
-def test_refused_workbooks_are_not_taken(spark, tmp_path):
+def _waiting(folder):
+    return sorted(p.name for p in folder.iterdir() if not p.name.endswith(".crc"))
+
+
+def test_refused_workbooks_hold_up_no_others(spark, tmp_path):
     source, archive = tmp_path / "in", tmp_path / "done"
     feed = next(feed for feed in FEEDS if feed.name == "celcom_monthly")
     spark.sql("CREATE DATABASE IF NOT EXISTS bills_e")
-    run = lambda: ingest(
-        spark, feed, str(source), "bills_e", str(tmp_path / "state"), str(archive)).awaitTermination()
+    run = lambda: land_waiting(
+        spark, feed, str(source), "bills_e", str(tmp_path / "state"), str(archive))
+    landed = lambda: sorted(r[0] for r in spark.table(
+        "bills_e.monthly_bill_summary").select("phone_number").collect())
     _celcom(source, "Jan", [2222222])
-    bad = source / feed.folder / "bad.xlsx"
-    write_workbook(bad, {"Bill": {14: row_of(1, ["Mobile", *CELCOM_HEADERS[1:]]), 15: row_of(1, ["012-1"] * 9)}})
-    none = source / feed.folder / "none.xlsx"
-    write_workbook(none, {"Bill": {20: {0: "x"}}})
-    with pytest.raises(Exception, match="bad.xlsx.*none.xlsx"):
-        run()
-    assert spark.table("bills_e.monthly_bill_summary").count() == 0
-    assert bad.exists() and none.exists()
-    bad.unlink()
-    none.unlink()
+    _celcom(source, "Feb", [3333333])
+    folder = source / feed.folder
+    write_workbook(folder / "bad.xlsx", {"Bill": {14: row_of(1, ["Mobile", *CELCOM_HEADERS[1:]])}})
+    (folder / "torn.xlsx").write_bytes((folder / "cJan.xlsx").read_bytes()[:300])
     run()
-    assert spark.table("bills_e.monthly_bill_summary").count() == 1
+    assert landed() == [2222222, 3333333]
+    reasons = {Path(r["path"]).name: r["reason"] for r in spark.table("bills_e.refused_files").collect()}
+    assert "header" in reasons["bad.xlsx"] and "no workbook" in reasons["torn.xlsx"]
+    # What was taken is archived after the run, what was refused waits.
+    assert _waiting(folder) == ["bad.xlsx", "torn.xlsx"]
+    run()
+    assert landed() == [2222222, 3333333]
+    _celcom(source, "Mar", [4444444])
+    (folder / "cMar.xlsx").replace(folder / "bad.xlsx")
+    os.utime(folder / "bad.xlsx", (2_000_000_000, 2_000_000_000))
+    _celcom(source, "Apr", [5555555])
+    for _ in range(2):
+        run()
+        assert landed() == [2222222, 3333333, 4444444, 5555555]
+    assert still_refused(spark, feed, "bills_e").count() == 1
+    assert sorted(r[0] for r in spark.table("bills_e.monthly_bill_summary").select(
+        "billing_month").collect()) == ["April", "February", "January", "March"]
+
+
+def test_a_csv_without_header_holds_up_no_others(spark, tmp_path):
+    feed = next(feed for feed in FEEDS if feed.name == "itemized")
+    spark.sql("CREATE DATABASE IF NOT EXISTS bills_f")
+    args = (spark, feed, str(tmp_path / "in"), "bills_f", str(tmp_path / "state"))
+    _itemized(tmp_path / "in", "201801_a.csv", [1111111])
+    _itemized(tmp_path / "in", "201802 b+%.csv", [1111111, 2222222])
+    folder = tmp_path / "in" / feed.folder
+    (folder / "201803_c.csv").write_text("no header here\n1,2\n")
+    ingest(*args).awaitTermination()
+    assert spark.table("bills_f.itemized_bill").count() == 3
+    # A crash between commit and move: nothing is archived yet, and the next run makes up for it.
+    assert len(_waiting(folder)) == 3
+    later = folder / "201804_d.csv"  # not taken yet
+    later.write_text("x")
+    assert archive_taken(*args, str(tmp_path / "done")) == 2
+    assert archive_taken(*args, str(tmp_path / "done")) == 0
+    assert _waiting(folder) == ["201803_c.csv", "201804_d.csv"]
 
 
 def test_a_repeated_batch_changes_nothing(spark):
