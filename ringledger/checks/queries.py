@@ -24,7 +24,7 @@ from ringledger.sinks.tables import append_table
 from ringledger.sources.files import read_itemized_csv
 from ringledger.sources.relational import map_schema
 from ringledger.sources.sheets import first_cells, sheet_range
-from ringledger.streaming.activity import stream_hourly_average, write_hours
+from ringledger.streaming.activity import read_hours, stream_hourly_average, write_hours
 
 Query = Callable[[Inputs], DataFrame]
 
@@ -462,5 +462,4 @@ def stream_hourly_activity(inputs: Inputs) -> DataFrame:
         availableNow=True
     ).start().awaitTermination()
     spark.catalog.dropTempView(view)
-    kept = spark.read.schema(hours.schema).parquet(path).select(*hours.columns)
-    return _clocks(kept, "start", "end")
+    return _clocks(read_hours(spark, path).select(*hours.columns), "start", "end")

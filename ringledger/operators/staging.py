@@ -72,6 +72,12 @@ def listed(spark: SparkSession, path: str) -> list[File]:
             if x.isFile()]
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders in a folder."""
+    system, folder = _folder(spark, path)
+    return [x.getPath().getName() for x in system.listStatus(folder) if x.isDirectory()]
+
+
 def move_file(spark: SparkSession, path: str, folder: str, other_name: str) -> None:
     """Moves a file into a folder, under another name where its own is taken."""
     system, source = _folder(spark, path)

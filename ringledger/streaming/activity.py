@@ -1,14 +1,13 @@
 """Hourly activity over a stream, with late rows."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ringledger.operators.staging import folder_exists, staged
+from ringledger.operators.staging import delete_folder, folders, staged
 from ringledger.plans.activity import hourly_average
 
-
-DAY = "day_folder"
+BATCH = "ingest_batch"
 
 
 def stream_hourly_average(activity: DataFrame, late_by: str = "2 hours") -> DataFrame:
@@ -21,29 +20,43 @@ def stream_hourly_average(activity: DataFrame, late_by: str = "2 hours") -> Data
 
 
 def write_hours(hours: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Writer that keeps every hour under ``path``, in a folder per day.
+    """Writer that keeps every hour under ``path``.
 
-    A batch holds the hours it changed. They are laid over the stored hours of their days,
-    and only those days' folders are replaced, so a repeated batch changes nothing, other
-    days stay readable, and closed hours leave the state.
+    A batch holds the hours it changed and is written once, to a folder of its own; nothing
+    stored is read or written again. A repeated batch replaces its folder, and closed hours leave
+    the state. ``read_hours`` gives the last word on each hour.
     """
 
-    def replace(batch: DataFrame, _: int) -> None:
-        changed = staged(batch.withColumn(DAY, F.to_date("start")), "changed-hours")
-        whole = changed
-        if folder_exists(batch.sparkSession, path):
-            stored = batch.sparkSession.read.schema(changed.schema).parquet(path)
-            kept = stored.join(changed.select(DAY).distinct(), DAY, "left_semi").join(
-                changed.select("start"), "start", "left_anti"
-            )
-            whole = changed.unionByName(kept)
-        # Spark writes such partitions beside the old ones and swaps them at the end.
-        whole.hint("rebalance", F.col(DAY)).write.partitionBy(DAY).option(
-            "partitionOverwriteMode", "dynamic"
-        ).mode("overwrite").parquet(path)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
     return (
         hours.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(replace)
+        .foreachBatch(write)
     )
+
+
+def read_hours(spark: SparkSession, path: str) -> DataFrame:
+    """The hours that ``write_hours`` keeps, each as the last batch that changed it left it."""
+    stored = spark.read.parquet(path)
+    told = [name for name in stored.columns if name not in ("start", BATCH)]
+    last = stored.groupBy("start").agg(F.max_by(F.struct(*told), BATCH).alias("last"))
+    return last.select("start", *[f"last.{name}" for name in told])
+
+
+def compact_hours(spark: SparkSession, path: str) -> None:
+    """Gathers all hours in the folder of the last batch; call it while the stream rests.
+
+    Hours that the last batch left alone are added to its folder, then the older folders go. A
+    run that stops in between leaves older words behind, which no reader hears; a finished batch
+    is not repeated, so its folder stays as it is.
+    """
+    batches = sorted(int(name.partition("=")[2]) for name in folders(spark, path))
+    if len(batches) < 2:
+        return
+    here = f"{path}/{BATCH}={batches[-1]}"
+    kept = read_hours(spark, path).join(spark.read.parquet(here).select("start"), "start", "left_anti")
+    staged(kept, "hours").coalesce(1).write.mode("append").parquet(here)
+    for batch in batches[:-1]:
+        delete_folder(spark, f"{path}/{BATCH}={batch}")

@@ -6,6 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from ringledger.operators.staging import folders
 from ringledger.plans.activity import cleaned, hourly_average
 from ringledger.plans.refresh import mart_progress, refresh
 from ringledger.schemas import (
@@ -18,7 +19,7 @@ from ringledger.schemas import (
     ITEMIZED_FOLDER,
     MAXIS_MONTHLY_FOLDER,
 )
-from ringledger.streaming.activity import stream_hourly_average, write_hours
+from ringledger.streaming.activity import compact_hours, read_hours, stream_hourly_average, write_hours
 from ringledger.sinks.tables import replace_partitions
 from ringledger.streaming.landing import (
     BATCH,
@@ -301,7 +302,7 @@ def test_streamed_hours_equal_batch_hours(spark, tmp_path):
         hours = stream_hourly_average(cleaned(slots, 2))
         out = str(tmp_path / "hours")
         write_hours(hours, out, checkpoint).trigger(availableNow=True).start().awaitTermination()
-        return {(r["start"], r["hourly_average"]) for r in spark.read.parquet(out).collect()}
+        return {(r["start"], r["hourly_average"]) for r in read_hours(spark, out).collect()}
 
     arrive("a.txt", range(0, 20))
     run()
@@ -327,9 +328,12 @@ def test_rows_later_than_the_watermark_change_nothing(spark, tmp_path):
         write_hours(hours, out, str(tmp_path / "state")).trigger(
             availableNow=True
         ).start().awaitTermination()
-        found = spark.read.parquet(out).orderBy("start").collect()
+        found = read_hours(spark, out).orderBy("start").collect()
         return [r["hourly_average"] for r in found]
 
     assert run("a.tsv", [(0, 2), (6, 3)]) == [2.0, 3.0]
     assert run("b.tsv", [(6, 5), (300, 7)]) == [2.0, 4.0, 7.0]  # an hour of the stored day changes
+    before = sorted(read_hours(spark, out).collect())
+    compact_hours(spark, out)
+    assert sorted(read_hours(spark, out).collect()) == before and len(folders(spark, out)) == 1
     assert run("c.tsv", [(0, 100), (301, 9)]) == [2.0, 4.0, 8.0]  # the first hour is closed
