@@ -78,6 +78,18 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return [x.getPath().getName() for x in system.listStatus(folder) if x.isDirectory()]
 
 
+def file_sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Bytes of the files in every folder below ``path``, by the folder's path from there."""
+    system, folder = _folder(spark, path)
+    base, found = system.makeQualified(folder).toString().rstrip("/") + "/", {}
+    files = system.listFiles(folder, True)
+    while files.hasNext():
+        file = files.next()
+        inner = file.getPath().getParent().toString().removeprefix(base)
+        found[inner] = found.get(inner, 0) + file.getLen()
+    return found
+
+
 def move_file(spark: SparkSession, path: str, folder: str, other_name: str) -> None:
     """Moves a file into a folder, under another name where its own is taken."""
     system, source = _folder(spark, path)

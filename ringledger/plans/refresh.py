@@ -15,6 +15,7 @@ from ringledger.schemas import (
     ITEMIZED_BILL,
     MONTHLY_BILL_SUMMARY,
 )
+from ringledger.sinks.compaction import compact, landed_rows
 from ringledger.sinks.tables import append_table, ensure_table, rebalanced, replace_partitions
 from ringledger.streaming.landing import BATCH, FEED, FEEDS, PERIOD, land_waiting
 
@@ -45,7 +46,9 @@ def refresh(
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for feed in FEEDS:
         land_waiting(spark, feed, source, database, checkpoints, archive)
-    staff = spark.table(f"{database}.employee_master").select(*EMPLOYEE_MASTER.names)
+    staff = landed_rows(spark, database, f"{database}.employee_master").select(
+        *EMPLOYEE_MASTER.names
+    )
     update_mart(
         spark, database, "employee_itemized_bill", EMPLOYEE_ITEMIZED_BILL,
         f"{database}.itemized_bill", ITEMIZED_BILL, f"{database}.employee_master",
@@ -58,6 +61,24 @@ def refresh(
     )
 
 
+MARTS_OF = {
+    "itemized_bill": ["employee_itemized_bill"],
+    "monthly_bill_summary": ["employee_monthly_top_table"],
+    "employee_master": ["employee_itemized_bill", "employee_monthly_top_table"],
+}
+
+
+def compact_landed(spark: SparkSession, database: str) -> int:
+    """Merges the small partitions of all landed tables that the marts have taken in.
+
+    Meant for between two refreshes; returns how many partitions went.
+    """
+    return sum(
+        compact(spark, database, f"{database}.{table}", marts) for table, marts in MARTS_OF.items()
+        if spark.catalog.tableExists(f"{database}.{table}")
+    )
+
+
 def update_mart(
     spark: SparkSession,
     database: str,
@@ -86,11 +107,13 @@ def update_mart(
     # A row per new period; the partition list is all that is read.
     periods = _periods(bills_new)
     periods += periods_of_staff(
-        spark.table(staff_table).join(staff_new, [FEED, BATCH], "left_semi"),
-        spark.table(bill_table).where(~F.coalesce(_in_periods(periods), F.lit(False))),
+        landed_rows(spark, database, staff_table).join(staff_new, [FEED, BATCH], "left_semi"),
+        landed_rows(spark, database, bill_table).where(~F.coalesce(_in_periods(periods), F.lit(False))),
     )
     if periods:
-        bills = spark.table(bill_table).where(_in_periods(periods)).select(*bill_schema.names)
+        bills = landed_rows(spark, database, bill_table).where(_in_periods(periods)).select(
+            *bill_schema.names
+        )
         replace_partitions(rebalanced(build(bills), PERIOD), f"{database}.{mart}")
     done = bills_new.select(FEED, BATCH).union(staff_new.select(FEED, BATCH)).distinct()
     if not done.isEmpty():

@@ -10,6 +10,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from ringledger.operators.staging import shared_folder
 from ringledger.plans.copy import copy_to_service, copy_to_table, table_copy
+from ringledger.sinks import compaction
 from ringledger.sinks.batches import DeliveryError, send_batches
 from ringledger.sinks.tables import (
     append_counted,
@@ -160,3 +161,83 @@ def test_copy_maps_types_and_limits(spark, tmp_path):
         table_copy(source, TARGET, limit=7)
     copy_to_service(source, TARGET, _service(tmp_path), limit=12, key="k", batch_size=5)
     assert sorted(k for batch in _received(tmp_path) for k in batch) == list(range(12))
+
+
+def _landed(spark, database, batches):
+    """A landed table with a small partition per batch and period, all taken in."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    table = f"{database}.bills"
+    spark.sql(f"CREATE TABLE {table} (v int, billing_year int, billing_month string, feed string, "
+              "ingest_batch long) USING orc PARTITIONED BY (billing_year, billing_month, feed, ingest_batch)")
+    rows = [(10 * b + k, *period, "f", b) for b in range(batches) for k, period in enumerate(
+        [(2018, "January"), (2018, "March"), (None, None)])]
+    frame = spark.createDataFrame(rows, "v int, billing_year int, billing_month string, feed string, "
+                                  "ingest_batch long")
+    append_table(frame, table, ["billing_year", "billing_month", "feed", "ingest_batch"])
+    progress = spark.createDataFrame([("m", "f", b) for b in range(batches - 1)],
+                                     "mart string, feed string, ingest_batch long")
+    append_table(progress, f"{database}.mart_progress")
+    return table
+
+
+def _held(rows):
+    return sorted(map(str, rows.select("v", "billing_year", "billing_month", "feed").collect()))
+
+
+def _folders(spark, table):
+    return {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+
+
+def test_small_closed_partitions_are_merged(spark):
+    table = _landed(spark, "compact_a", 12)
+    before = _held(spark.table(table))
+    assert compaction.compact(spark, "compact_a", table, ["m"]) == 33
+    # One partition a period for the closed batches, and the open batch as it was.
+    batches = [int(folder.rpartition("=")[2]) for folder in _folders(spark, table)]
+    assert sorted(batches) == [-3, -2, -1, 11, 11, 11]
+    assert len(_folders(spark, table)) == 6
+    assert len(spark.table(table).where("ingest_batch < 0").inputFiles()) == 3
+    assert _held(spark.table(table)) == _held(compaction.landed_rows(spark, "compact_a", table)) == before
+    progress = spark.table("compact_a.mart_progress")
+    fresh = spark.table(table).select("feed", "ingest_batch").distinct().join(
+        progress, ["feed", "ingest_batch"], "left_anti")
+    assert fresh.collect() == [("f", 11)]
+    # A later run merges the merged ones with what has been closed since.
+    append_table(spark.createDataFrame([("m", "f", 11)], progress.schema), "compact_a.mart_progress")
+    assert compaction.compact(spark, "compact_a", table, ["m"]) == 6
+    assert len(_folders(spark, table)) == 3 and _held(spark.table(table)) == before
+    assert compaction.compact(spark, "compact_a", table, ["m"]) == 0
+
+
+@pytest.mark.parametrize("step", ["_note", "_merge", "append_table", "_drop"])
+def test_a_compaction_that_stops_loses_and_doubles_nothing(spark, monkeypatch, step):
+    database = f"compact{step}"
+    table = _landed(spark, database, 4)
+    before = _held(spark.table(table))
+    real, calls = getattr(compaction, step), []
+
+    def stopping(*args):
+        calls.append(args)
+        # Dropping begins with what an earlier run left: nothing here.
+        if step != "_drop" or args[2]:
+            raise RuntimeError("stopped")
+        return real(*args)
+
+    if step == "append_table":  # the commit, not the note of the marts
+        monkeypatch.setattr(compaction, "_note", lambda *args: None)
+    monkeypatch.setattr(compaction, step, stopping)
+    with pytest.raises(RuntimeError):
+        compaction.compact(spark, database, table, ["m"])
+    assert calls and _held(compaction.landed_rows(spark, database, table)) == before
+    monkeypatch.undo()
+    compaction.compact(spark, database, table, ["m"])
+    assert _held(compaction.landed_rows(spark, database, table)) == before == _held(spark.table(table))
+    assert len(_folders(spark, table)) == 6
+
+
+def test_bins_hold_what_fits():
+    parts = {compaction.Partition(f"p={p}/feed=f/ingest_batch={b}"): size
+             for p, b, size in [(1, 0, 40), (1, 1, 40), (1, 2, 30), (1, 3, 55), (1, 4, 9), (2, 0, 9)]}
+    found = compaction.bins(parts, 100)
+    assert [[part.batch for part in one] for one in found] == [[0, 1, 4]]
+    assert compaction.bins({}, 100) == []

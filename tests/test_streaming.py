@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ringledger.operators.staging import folders
 from ringledger.plans.activity import cleaned, hourly_average
-from ringledger.plans.refresh import mart_progress, refresh
+from ringledger.plans.refresh import compact_landed, mart_progress, refresh
 from ringledger.schemas import (
     ACTIVITY_TSV,
     CELCOM_HEADERS,
@@ -213,6 +213,11 @@ def test_late_staff_reach_the_marts(spark, tmp_path):
     # Nothing is new any more.
     refresh(spark, str(tmp_path / "bills_late"), "bills_late", str(tmp_path / "bills_late-state"))
     assert {mart: _mart_files(spark, f"bills_late.{mart}") for mart in marts} == after
+    # Two staff batches are merged; no mart takes the merged one for a new one.
+    assert compact_landed(spark, "bills_late") == 2
+    refresh(spark, str(tmp_path / "bills_late"), "bills_late", str(tmp_path / "bills_late-state"))
+    assert spark.table("bills_late.employee_master").count() == 4
+    assert {mart: _mart_files(spark, f"bills_late.{mart}") for mart in marts} == after
 
 
 def _waiting(folder):
