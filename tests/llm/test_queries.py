@@ -49,3 +49,10 @@ def test_only_texts_emptied_by_a_cut_go(spark, documents):
     left = corpus_pipeline.suffix_array_dedup(spark, docs, SF)
     assert left.columns == docs.columns
     assert sorted(r["doc_id"] for r in left.collect()) == [1, 3, 4, 5]
+
+
+def test_mixing_stage_takes_a_column_of_its_own_name(spark, documents):
+    docs = documents([(k, f"word {k} " * 30) for k in range(20)]).selectExpr("*", "'mine' as probability")
+    left = corpus_pipeline.source_mixing(spark, docs, SF)
+    assert left.columns == [*docs.columns, "probability_"]
+    assert left.where("probability <> 'mine'").isEmpty()
