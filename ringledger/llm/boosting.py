@@ -20,50 +20,56 @@ class Boosted:
     def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> "Boosted":
         share = float(np.clip((y * weight).sum() / max(weight.sum(), 1e-9), 1e-3, 1 - 1e-3))
         self.start = float(np.log(share / (1 - share)))
-        cuts = [
-            np.unique(np.quantile(column, np.linspace(0, 1, self.bins + 1)[1:-1])) for column in x.T
+        cuts = [self._cuts(column) for column in x.T]
+        coded = [
+            np.searchsorted(c, column, side="left").astype(np.uint8) for c, column in zip(cuts, x.T)
         ]
-        coded = np.stack(
-            [np.searchsorted(c, column, side="left") for c, column in zip(cuts, x.T)], axis=1
-        )
         margin = np.full(len(y), self.start)
         for _ in range(self.trees):
             p = 1 / (1 + np.exp(-margin))
             grad, hess = weight * (p - y), weight * np.maximum(p * (1 - p), 1e-6)
-            tree = self._grow(coded, cuts, grad, hess)
+            tree, gain = self._grow(coded, cuts, grad, hess)
             self.grown.append(tree)
-            margin += self._leaf(x, tree)
+            margin += gain
         return self
 
+    def _cuts(self, column: np.ndarray) -> np.ndarray:
+        """Where a feature may be split; nowhere if it never changes."""
+        points = np.unique(np.quantile(column, np.linspace(0, 1, self.bins + 1)[1:-1]))
+        return points[points < column.max()] if len(column) else points
+
     def _grow(self, coded, cuts, grad, hess):
+        """The tree, and what it adds to each row's margin."""
         size = (1 << (self.depth + 1)) - 1
         feature, cut, value = np.full(size, -1), np.zeros(size), np.zeros(size)
+        added = np.zeros(len(grad))
         members = {0: np.arange(len(grad))}
         for node in range(size):
             rows = members.pop(node, None)
             if rows is None:
                 continue
-            g, h = grad[rows].sum(), hess[rows].sum()
-            value[node] = -self.rate * g / (h + self.ridge)
+            grads, hesses = grad[rows], hess[rows]
+            g, h = grads.sum(), hesses.sum()
+            value[node] = added[rows] = -self.rate * g / (h + self.ridge)
             if 2 * node + 2 >= size or len(rows) < 4:
                 continue
             best = (1e-6, -1, 0)
             for k, points in enumerate(cuts):
                 if not len(points):
                     continue
-                codes = coded[rows, k]
-                gl = np.cumsum(np.bincount(codes, grad[rows], len(points) + 1))[:-1]
-                hl = np.cumsum(np.bincount(codes, hess[rows], len(points) + 1))[:-1]
+                codes = coded[k][rows]
+                gl = np.cumsum(np.bincount(codes, grads, len(points) + 1))[:-1]
+                hl = np.cumsum(np.bincount(codes, hesses, len(points) + 1))[:-1]
                 gain = (gl**2 / (hl + self.ridge) + (g - gl) ** 2 / (h - hl + self.ridge)
                         - g**2 / (h + self.ridge))
                 at = int(np.argmax(gain))
                 if gain[at] > best[0]:
                     best = (float(gain[at]), k, at)
             if best[1] >= 0:
-                left = coded[rows, best[1]] <= best[2]
+                left = coded[best[1]][rows] <= best[2]
                 feature[node], cut[node] = best[1], cuts[best[1]][best[2]]
                 members[2 * node + 1], members[2 * node + 2] = rows[left], rows[~left]
-        return feature, cut, value
+        return (feature, cut, value), added
 
     @staticmethod
     def _leaf(x: np.ndarray, tree) -> np.ndarray:

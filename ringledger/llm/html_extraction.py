@@ -1,27 +1,32 @@
 """Main text of web pages by boosted trees over DOM nodes and hierarchical decoding.
 
 Every block element is a node with features of its subtree (text, link and tag density), its
-name and attribute tokens, its depth and its siblings; loose text between blocks is a node too.
-Boosted trees give each node the log odds of holding main text. Decoding picks the likeliest
-labels in which nothing below a dropped node is kept, by dynamic programming up the tree. Text
-of kept nodes is joined block by block.
+name and hashed attribute tokens, its depth and its siblings; loose text between blocks is a node
+too. Boosted trees give each node the chance that it holds main text if the part around it does.
+Decoding multiplies the chances down the tree and keeps what is over one half, so nothing below a
+dropped node is kept. Text of kept nodes is joined block by block.
 
 The trees are trained here, on at most ``TRAIN_PAGES`` pages of at most ``TRAIN_CHARS``
-characters (the ones whose ids hash lowest). What is main text on them follows from element
-names and from tokens that say what a part is for; each page is also used in variants in which
-parts are renamed, moved or added, so that the trees learn the tokens and densities and not one
-layout. Without pages to learn from, the same rule on names and tokens decides.
-
-Defined results: null and empty pages have an empty text; cut-off pages are read as far as they
-go; unclosed elements are closed as browsers do. Rows are taken one by one, so repeated rows
-give repeated results. Very long pages are read whole. Other columns are ignored.
+characters (the ones whose ids hash lowest). What is main text on them follows from their element
+names and from tokens that say what a part is for. Each page is also used in variants: parts get
+other names or names that tell nothing, wrappers and paragraphs get tokens that mislead, paragraphs
+go, parts are added. Labels go along with the text, whatever it is renamed to, so on variants
+neither names nor tokens settle them and densities, depth and siblings have to. Without pages to
+learn from, the rule on names and tokens decides.
+
+Defined results: null and empty pages, and pages without a main part, have an empty text; an empty
+table gives none; cut-off pages are read as far as they go; unclosed elements are closed as browsers
+do. Rows are taken one by one, so repeated rows give repeated results. A node at a chance of exactly
+one half is dropped. Very long pages are read whole. Other columns are ignored, whatever their names.
 """
 
 import html
 import random
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +37,11 @@ from ringledger.llm.boosting import Boosted
 
 TRAIN_PAGES = 300
 TRAIN_CHARS = 50_000
-VARIANTS = 4
+VARIANTS = 5
+# Columns that attribute tokens are hashed to.
+TOKEN_BUCKETS = 128
+# Pages are judged together up to about this many nodes.
+NODES_AT_ONCE = 8192
 
 # Elements of HTML by what they do.
 BLOCKS = frozenset(
@@ -50,6 +59,8 @@ SCOPES = {"ul", "ol", "dl", "table", "select", "body", "html", "article", "div",
 # Elements that hold text; loose text in any other is a node of its own.
 LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr pre blockquote figcaption caption".split())
 MAIN_NAMES = frozenset(["article", "main"])
+# Elements around the whole page: they are no part of it and not judged.
+WHOLE = frozenset(["html", "body"])
 SIDE_NAMES = frozenset("nav header footer aside form dialog menu fieldset details".split())
 MAIN_TOKENS = frozenset("article body content entry main post story text".split())
 SIDE_TOKENS = frozenset(
@@ -59,12 +70,13 @@ SIDE_TOKENS = frozenset(
     "promoted promotion recommended related reply replies respond search share sharing side sidebar "
     "signup skip social sponsor sponsored subscribe subscription tags toolbar topbar widget".split()
 )
-SIDE_VARIANTS = ("div class=sidebar", "div id=comments", "section class=related-posts",
-                 "div class=cookie-notice", "aside", "form class=search", "div class=share-links",
-                 "div class=ad-banner", "ul class=menu", "div id=footer", "div class=page-header",
-                 "section class=newsletter", "div class=comment-list", "div role=navigation")
-MAIN_VARIANTS = ("article", "main", "div class=post-content", "div id=content", "div class=entry",
-                 "section class=article-body", "div")
+# Names that parts of training pages are given: element and tokens.
+SIDE_VARIANTS = tuple(tuple(x.split()) for x in (
+    "div sidebar", "div comments", "section related posts", "div cookie notice", "aside", "form search",
+    "div share links", "div ad banner", "ul menu", "div footer", "div page header", "section newsletter",
+    "div comment list", "div navigation", "form", "nav", "footer", "header", "div ad", "div"))
+MAIN_VARIANTS = tuple(tuple(x.split()) for x in (
+    "article", "main", "div post content", "div content", "div entry", "section article body", "div"))
 
 TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -74,14 +86,12 @@ BLANK = re.compile(r"\s+")
 WORD_PARTS = re.compile(r"[a-z]+")
 
 
-@dataclass
+@dataclass(slots=True)
 class Node:
     name: str
     tokens: tuple[str, ...]
     parent: int
     depth: int
-    linked: bool = False
-    hidden: bool = False
 
 
 @dataclass
@@ -204,6 +214,8 @@ def parsed(source: str | None) -> Page:
 
 def _kind(node: Node) -> int:
     """1 if name or tokens say main text, -1 if they say something else, 0 if neither."""
+    if node.name in WHOLE:
+        return 0
     if node.name in SIDE_NAMES or any(token in SIDE_TOKENS for token in node.tokens):
         return -1
     if node.name in MAIN_NAMES or any(token in MAIN_TOKENS for token in node.tokens):
@@ -213,14 +225,23 @@ def _kind(node: Node) -> int:
 
 def ruled(page: Page) -> np.ndarray:
     """Nodes that hold main text, by names and tokens alone: the nearest part that says what it
-    is decides, and nothing inside a side part is main text. Pages that mark no main part: all
-    else."""
+    is decides, and nothing inside a side part is main text, but for an article or main element
+    below wrappers whose tokens alone say side. Pages that mark no main part: all else."""
     kinds = [_kind(node) for node in page.nodes]
     marked = 1 in kinds
     state = np.zeros(len(page.nodes), dtype=np.int64)
+    # Whether only tokens, and no part within a main one, made it a side part.
+    wrapped = np.zeros(len(page.nodes), dtype=bool)
     for k, node in enumerate(page.nodes):
-        above = state[node.parent] if node.parent >= 0 else 0
-        state[k] = above if above == -1 else kinds[k] or above
+        up = node.parent
+        above = state[up] if up >= 0 else 0
+        if above == -1:
+            freed = wrapped[up] and kinds[k] == 1 and node.name in MAIN_NAMES
+            state[k] = 1 if freed else -1
+            wrapped[k] = wrapped[up] and not freed and node.name not in SIDE_NAMES
+        else:
+            state[k] = kinds[k] or above
+            wrapped[k] = state[k] == -1 and above == 0 and node.name not in SIDE_NAMES
     kept = (state == 1) if marked else (state == 0)
     held = np.zeros(len(page.nodes), dtype=bool)
     for node, _, _ in page.blocks:
@@ -231,139 +252,250 @@ def ruled(page: Page) -> np.ndarray:
 
 
 NAMES = ("#text", "p", "li", "ul", "div", "section", "table", "h1", "h2", "article", "main", "nav", "aside",
-         "header", "footer", "form", "body", "html")
-N_FEATURES = 26 + len(NAMES)
-
-
-def features(page: Page) -> np.ndarray:
-    n = len(page.nodes)
-    parent = np.array([node.parent for node in page.nodes])
-    depth = np.array([node.depth for node in page.nodes], dtype=float)
-    own, linked, blocks = np.zeros(n), np.zeros(n), np.zeros(n)
-    stops = np.zeros(n)
-    for node, text, link in page.blocks:
-        own[node] += len(text)
-        linked[node] += link
-        blocks[node] += 1
-        stops[node] += text.count(".") + text.count(",")
-    kinds = np.array([_kind(node) for node in page.nodes], dtype=float)
-    tree = {
-        "text": own.copy(), "linked": linked, "blocks": blocks, "stops": stops,
-        "nodes": np.ones(n), "paragraphs": np.array([node.name == "p" for node in page.nodes], float),
-        "items": np.array([node.name == "li" for node in page.nodes], float),
-    }
-    for k in range(n - 1, 0, -1):  # children follow their parents
-        for values in tree.values():
-            values[parent[k]] += values[k]
-    side, main = np.zeros(n), np.zeros(n)
-    for k in range(n):
-        above = parent[k]
-        side[k] = (kinds[k] < 0) or (above >= 0 and side[above])
-        main[k] = (kinds[k] > 0) or (above >= 0 and main[above])
-    order = np.zeros(n)
-    children = np.zeros(n)
-    before, after = np.zeros(n), np.zeros(n)
-    last: dict[int, int] = {}
-    for k in range(1, n):
-        order[k] = children[parent[k]]
-        children[parent[k]] += 1
-        if parent[k] in last:
-            before[k] = tree["text"][last[parent[k]]]
-            after[last[parent[k]]] = tree["text"][k]
-        last[parent[k]] = k
-    up = np.maximum(parent, 0)
-    text = tree["text"]
-    whole = max(text[0], 1.0)
-    columns = [
-        np.log1p(text), np.log1p(own), text / whole, tree["linked"] / np.maximum(text, 1),
-        text / tree["nodes"], np.log1p(tree["nodes"]), tree["blocks"],
-        tree["stops"] / np.maximum(text, 1), tree["paragraphs"] / tree["nodes"],
-        tree["items"] / tree["nodes"], depth, children, order, children[up] - order,
-        text / np.maximum(text[up], 1), np.log1p(before), np.log1p(after),
-        kinds < 0, kinds > 0, side, main, np.full(n, float((kinds > 0).any())),
-        np.array([any(t in SIDE_TOKENS for t in node.tokens) for node in page.nodes]),
-        np.array([any(t in MAIN_TOKENS for t in node.tokens) for node in page.nodes]),
-        np.array([len(node.tokens) for node in page.nodes]),
-        np.array([order[k] / max(children[up[k]], 1) for k in range(n)]),
-    ]
-    columns += [np.array([node.name == name for node in page.nodes]) for name in NAMES]
-    return np.stack([np.asarray(column, dtype=float) for column in columns], axis=1)
+         "header", "footer", "form", "blockquote", "pre")
+CODES = {name: code for code, name in enumerate(NAMES)}
+MEASURES = ("text", "own text", "share of page", "link density", "text a node", "nodes", "blocks",
+            "stop density", "paragraph share", "item share", "depth", "children", "order", "order from end",
+            "share of parent", "share of largest sibling", "text before", "text after", "tokens")
+N_FEATURES = len(MEASURES) + len(NAMES) + TOKEN_BUCKETS
+
+
+@cache
+def _bucket(token: str) -> int:
+    return zlib.crc32(token.encode()) % TOKEN_BUCKETS
+
+
+def features(pages: list[Page]) -> np.ndarray:
+    """A row per node of the pages, one page after the other: ``MEASURES``, names, tokens."""
+    nodes = [node for page in pages for node in page.nodes]
+    n = len(nodes)
+    sizes = np.array([len(page.nodes) for page in pages])
+    tops = np.cumsum(sizes) - sizes
+    top = np.repeat(tops, sizes)
+    parent = np.array([node.parent for node in nodes]) + top
+    parent[tops] = tops
+    depth = np.array([node.depth for node in nodes])
+    name = np.array([CODES.get(node.name, -1) for node in nodes])
+
+    # Text, links, blocks, stops, nodes, paragraphs, items: own ones, then added up the tree.
+    told = [(base + node, len(text), linked, 1, text.count(".") + text.count(","))
+            for page, base in zip(pages, tops.tolist()) for node, text, linked in page.blocks]
+    tree = np.zeros((n, 7))
+    if told:
+        told = np.array(told)
+        np.add.at(tree[:, :4], told[:, 0], told[:, 1:])
+    own = tree[:, 0].copy()
+    tree[:, 4], tree[:, 5], tree[:, 6] = 1, name == CODES["p"], name == CODES["li"]
+    by_depth = np.argsort(depth, kind="stable")
+    edges = np.searchsorted(depth[by_depth], np.arange(depth.max() + 2))
+    for level in range(int(depth.max()), 0, -1):
+        at = by_depth[edges[level] : edges[level + 1]]
+        np.add.at(tree, parent[at], tree[at])
+    text, linked, blocks, stops, size, paragraphs, items = tree.T
+
+    # Children of one parent lie side by side, in page order.
+    inner = np.delete(np.arange(n), tops)
+    inner = inner[np.argsort(parent[inner], kind="stable")]
+    over = parent[inner]
+    children = np.bincount(over, minlength=n)
+    order, before, after, largest = np.zeros(n), np.zeros(n), np.zeros(n), np.zeros(n)
+    starts = np.searchsorted(over, over)
+    order[inner] = np.arange(len(inner)) - starts
+    same = np.flatnonzero(over[1:] == over[:-1])
+    before[inner[same + 1]] = text[inner[same]]
+    after[inner[same]] = text[inner[same + 1]]
+    np.maximum.at(largest, over, text[inner])
+
+    chars = np.maximum(text, 1)
+    x = np.zeros((n, N_FEATURES), dtype=np.float32)
+    for k, column in enumerate((
+        np.log1p(text), np.log1p(own), text / chars[top], linked / chars, text / size, np.log1p(size),
+        blocks, stops / chars, paragraphs / size, items / size, depth, children, order,
+        children[parent] - order, text / chars[parent], text / np.maximum(largest[parent], 1),
+        np.log1p(before), np.log1p(after), np.array([len(node.tokens) for node in nodes]),
+    )):
+        x[:, k] = column
+    known = np.flatnonzero(name >= 0)
+    x[known, len(MEASURES) + name[known]] = 1
+    first = len(MEASURES) + len(NAMES)
+    for k, node in enumerate(nodes):
+        for token in node.tokens:
+            x[k, first + _bucket(token)] = 1
+    return x
 
 
 def decoded(page: Page, margin: np.ndarray) -> np.ndarray:
-    """The likeliest labels in which nothing below a dropped node is kept.
+    """The labels that are right for most characters, of all in which nothing below a dropped node
+    is kept.
 
-    Every node counts with its log odds, and more the more text of its own it has.
+    ``margin`` are the log odds of a node under a kept one. The chance of a node is thus the product
+    along its path. Those over one half are kept; no chance is above its parent's, so no kept node
+    lies below a dropped one.
     """
-    n = len(page.nodes)
-    weight = np.ones(n)
-    for node, text, _ in page.blocks:
-        weight[node] += np.log1p(len(text))
-    # Best gain of a subtree whose top is kept, over dropping the whole subtree (gain 0).
-    best = margin * weight
-    for k in range(n - 1, 0, -1):
-        if best[k] > 0:
-            best[page.nodes[k].parent] += best[k]
-    kept = best > 0
-    for k in range(1, n):
-        kept[k] &= kept[page.nodes[k].parent]
-    return kept
+    chance = 1 / (1 + np.exp(-np.clip(margin, -50, 50)))
+    for k, node in enumerate(page.nodes):
+        if node.name in WHOLE:
+            chance[k] = 1
+        if node.parent >= 0:
+            chance[k] *= chance[node.parent]
+    return chance > 0.5
 
 
 def joined(page: Page, kept: np.ndarray) -> str:
     return "\n".join(text for node, text, _ in page.blocks if kept[node])
 
 
-def _renamed(source: str, chosen: random.Random) -> str:
-    """The page with its marked parts under other names, and with a side part moved inside."""
-    main = chosen.choice(MAIN_VARIANTS)
-    source = re.sub(r"<(?:article|main)\b[^>]*>", f"<{main}>", source, flags=re.I)
-    source = re.sub(r"</(?:article|main)>", f"</{main.split()[0]}>", source, flags=re.I)
-    for name in ("nav", "footer", "aside", "header"):
-        if chosen.random() < 0.6:
-            side = chosen.choice(SIDE_VARIANTS)
-            source = re.sub(rf"<{name}\b[^>]*>", f"<{side}>", source, flags=re.I)
-            source = re.sub(rf"</{name}>", f"</{side.split()[0]}>", source, flags=re.I)
-    end = source.lower().rfind(f"</{main.split()[0]}>")
-    words = re.findall(r"[^\W\d_]{2,}", html.unescape(re.sub(r"<[^>]*>", " ", source)))
-    if end > 0 and words:
-        side = chosen.choice(SIDE_VARIANTS)
-        filler = " ".join(chosen.choices(words, k=chosen.randint(3, 60)))
-        source = f"{source[:end]}<{side}><p>{filler}.</p></{side.split()[0]}>{source[end:]}"
-    return source
-
-
-def trained(pages: list[str]) -> Boosted | None:
+def _judged(page: Page, held: np.ndarray) -> np.ndarray:
+    """Nodes that decoding asks about: with text, and below a part that holds main text."""
+    filled = np.zeros(len(page.nodes), dtype=bool)
+    for node, _, _ in page.blocks:
+        filled[node] = True
+    for k in range(len(page.nodes) - 1, 0, -1):
+        filled[page.nodes[k].parent] |= filled[k]
+    asked = [node.name not in WHOLE and (held[node.parent] or page.nodes[node.parent].name in WHOLE)
+             for node in page.nodes]
+    return filled & np.array(asked)
+
+
+def varied(page: Page, held: np.ndarray, chosen: random.Random) -> tuple[Page, np.ndarray]:
+    """The page with parts renamed, moved in, misnamed or left out, and what still holds main text."""
+    names = [node.name for node in page.nodes]
+    tokens = [node.tokens for node in page.nodes]
+    main = list(held)
+    below: list[list[int]] = [[] for _ in names]
+    texts: list[list[tuple[str, int]]] = [[] for _ in names]
+    for k, node in enumerate(page.nodes[1:], 1):
+        below[node.parent].append(k)
+    for node, text, linked in page.blocks:
+        texts[node].append((text, linked))
+    words = [word for _, text, _ in page.blocks for word in text.split()]
+    side_tokens = sorted(SIDE_TOKENS)
+
+    def misled(at: int) -> None:
+        tokens[at] = (*tokens[at], chosen.choice(words).lower(), chosen.choice(side_tokens))
+
+    def added(name: str, marks: tuple[str, ...], holds: bool) -> int:
+        for items, item in ((names, name), (tokens, marks), (main, holds), (below, []), (texts, [])):
+            items.append(item)
+        return len(names) - 1
+
+    def filler(fewest: int, most: int) -> str:
+        return " ".join(chosen.choices(words, k=chosen.randint(fewest, most))) + "."
+
+    def aside() -> int:
+        """A new part that is not main text."""
+        side = chosen.choice(SIDE_VARIANTS[:-1])
+        part = added(side[0], side[1:], False)
+        inner = part if chosen.random() < 0.3 else added(chosen.choice(("p", "#text", "li")), (), False)
+        text = filler(3, 40)
+        texts[inner].append((text, len(text) * (chosen.random() < 0.3)))
+        if inner != part:
+            below[part].append(inner)
+        return part
+
+    dropped, fewest = chosen.choice([(0.0, 1), (0.5, 1), (0.9, 2), (1.0, 1), (1.0, 2)])
+    renamed = chosen.choice(MAIN_VARIANTS)
+    without = chosen.random() < 0.1
+    plain = chosen.random() < 0.2  # side parts under names that tell nothing
+    for k, node in enumerate(page.nodes):
+        if node.name in WHOLE:
+            if chosen.random() < 0.3:
+                misled(k)
+            if node.name == "body" and chosen.random() < 0.5:
+                below[k].insert(chosen.randint(0, len(below[k])), aside())
+            continue
+        up = node.parent
+        whole = page.nodes[up].name in WHOLE
+        if not held[k]:
+            if (held[up] or whole) and chosen.random() < 0.6 and node.name not in LEAVES and below[k]:
+                side = ("div",) if plain else chosen.choice(SIDE_VARIANTS)
+                names[k], tokens[k] = side[0], side[1:]
+        elif node.name in MAIN_NAMES:
+            names[k], tokens[k] = renamed[0], renamed[1:]
+            if without and whole:
+                below[up].remove(k)
+                continue
+            if chosen.random() < 0.7:
+                below[k].insert(chosen.randint(0, len(below[k])), aside())
+            if chosen.random() < 0.5:
+                wrapper = added(chosen.choice(("div", "section")), (), True)
+                below[up][below[up].index(k)] = wrapper
+                below[wrapper].append(k)
+                if chosen.random() < 0.6:
+                    misled(wrapper)
+                if chosen.random() < 0.5:
+                    below[wrapper].append(aside())
+        elif node.name in LEAVES:
+            if len(below[up]) > fewest and chosen.random() < dropped:
+                below[up].remove(k)
+            elif chosen.random() < 0.1:
+                misled(k)
+        elif chosen.random() < 0.2:
+            misled(k)
+
+    new, labels = Page(), []
+    stack = [(0, -1, 0)]
+    while stack:
+        k, up, depth = stack.pop()
+        here = len(new.nodes)
+        new.nodes.append(Node(names[k], tokens[k], up, depth))
+        labels.append(bool(main[k]))
+        new.blocks += [(here, text, linked) for text, linked in texts[k]]
+        stack += [(child, here, depth + 1) for child in reversed(below[k])]
+    return new, np.array(labels)
+
+
+def trained(sources: list[str]) -> Boosted | None:
     """Trees fitted to the pages and their variants; None without a text to learn from."""
     chosen = random.Random(7)
-    rows, labels, weights = [], [], []
-    for source in pages:
-        for variant in [source, *(_renamed(source, chosen) for _ in range(VARIANTS))]:
-            page = parsed(variant)
-            filled = np.zeros(len(page.nodes), dtype=bool)
-            for node, _, _ in page.blocks:
-                at = node
-                while at >= 0 and not filled[at]:
-                    filled[at] = True
-                    at = page.nodes[at].parent
-            rows.append(features(page)[filled])
-            labels.append(ruled(page)[filled])
-            weights.append(np.full(int(filled.sum()), 1.0))
-    if not rows or not len(np.concatenate(labels)):
-        return None
-    y = np.concatenate(labels).astype(float)
-    if y.min() == y.max():
+    rows, labels = [np.zeros((0, N_FEATURES))], [np.zeros(0)]
+    for source in sources:
+        page = parsed(source)
+        if not page.blocks:
+            continue
+        held = ruled(page)
+        for variant, main in [(page, held), *(varied(page, held, chosen) for _ in range(VARIANTS))]:
+            judged = _judged(variant, main)
+            rows.append(features([variant])[judged])
+            labels.append(main[judged].astype(float))
+    y = np.concatenate(labels)
+    if not len(y) or y.min() == y.max():
         return None
-    return Boosted().fit(np.concatenate(rows), y, np.concatenate(weights))
+    return Boosted().fit(np.concatenate(rows), y, np.ones(len(y)))
+
+
+def main_texts(sources: list[str | None], model: Boosted | None) -> list[str]:
+    """The main texts of pages, judged together."""
+    found: list[str] = []
+    waiting: list[Page] = []
+
+    def judge() -> None:
+        margin = model.margin(features(waiting))
+        at = 0
+        for page in waiting:
+            size = len(page.nodes)
+            found.append(joined(page, decoded(page, margin[at : at + size])))
+            at += size
+        waiting.clear()
+
+    nodes = 0
+    for source in sources:
+        page = parsed(source)
+        if model is None:
+            found.append(joined(page, ruled(page)))
+            continue
+        waiting.append(page)
+        nodes += len(page.nodes)
+        if nodes >= NODES_AT_ONCE:
+            judge()
+            nodes = 0
+    if waiting:
+        judge()
+    return found
 
 
 def main_text(source: str | None, model: Boosted | None) -> str:
-    page = parsed(source)
-    if not page.blocks:
-        return ""
-    if model is None:
-        return joined(page, ruled(page))
-    return joined(page, decoded(page, model.margin(features(page))))
+    return main_texts([source], model)[0]
 
 
 def training_pages(pages: DataFrame, html_column: str = "html") -> list[str]:
@@ -396,7 +528,7 @@ def extracted(pages: DataFrame, id_column: str = "page_id", url_column: str = "u
 
     def taken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(source.as_py(), model) for source in batch.column("html")]
+            texts = main_texts(batch.column("html").to_pylist(), model)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("url"), pa.array(texts, pa.string())],
                 names=["id", "url", "text"],

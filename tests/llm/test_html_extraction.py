@@ -69,12 +69,93 @@ def test_broken_pages_are_read_as_far_as_they_go(model):
     assert he.main_text(deep, model) in ("", MAIN)
 
 
-def test_decoding_never_keeps_below_a_dropped_node():
+@pytest.mark.parametrize("head", [
+    '<body class="single has-sidebar">', '<body class="page header-fixed">', '<body class="no-search">',
+    '<body><div class="layout-sidebar">',
+])
+def test_wrappers_named_like_side_parts_keep_the_article(model, head):
+    nav = '<nav><ul><li><a href="/x">Home</a></li><li><a href="/y">News</a></li></ul></nav>'
+    article = f'<article><h1>Heading here</h1><p>{MAIN}</p><p class="share-price">{MAIN}</p></article>'
+    source = f"<html>{head}{nav}{article}<footer>{SIDE}</footer></body></html>"
+    assert he.main_text(source, model) == f"Heading here\n{MAIN}\n{MAIN}"
+
+
+def test_parts_under_names_that_tell_nothing_are_left_out(model):
+    links = "".join(f'<li><a href="/{k}">Other page {k}</a></li>' for k in range(8))
+    article = f"<article><h1>Heading here</h1>{f'<p>{MAIN}</p>' * 4}</article>"
+    source = f'<html><body><div class="qwx"><ul>{links}</ul></div>{article}</body></html>'
+    assert he.main_text(source, model) == "\n".join(["Heading here", *[MAIN] * 4])
+
+
+def test_more_than_names_and_tokens_decides(model):
+    used = {int(k) for feature, _, _ in model.grown for k in feature if k >= 0}
+    named = {he.MEASURES[k] for k in used if k < len(he.MEASURES)}
+    assert named & {"paragraph share", "item share", "text a node", "link density", "stop density"}
+    assert named & {"depth"}
+    assert named & {"order", "order from end", "share of largest sibling", "text before", "text after"}
+    assert len(used) > 20
+
+
+def test_variants_keep_their_labels_with_the_text(pages):
+    import random
+
+    chosen = random.Random(3)
+    seen = 0
+    for row in pages.limit(40).collect():
+        page = he.parsed(row["html"])
+        held = he.ruled(page)
+        main = {text for node, text, _ in page.blocks if held[node]}
+        side = {text for node, text, _ in page.blocks if not held[node]}
+        for _ in range(5):
+            other, kept = he.varied(page, held, chosen)
+            texts = {text for node, text, _ in other.blocks if kept[node]}
+            assert texts <= main and all(node.parent < k for k, node in enumerate(other.nodes))
+            assert not {text for node, text, _ in other.blocks if not kept[node]} & (main - side)
+            seen += [node.tokens for node in other.nodes] != [node.tokens for node in page.nodes]
+    assert seen > 50
+
+
+def test_pages_judged_together_or_alone(model, pages, monkeypatch):
+    sources = [row["html"] for row in pages.collect()] + [None, "", "<p>" + "word. " * 200_000]
+    together = he.main_texts(sources, model)
+    monkeypatch.setattr(he, "NODES_AT_ONCE", 1)
+    assert he.main_texts(sources, model) == together
+
+
+def test_decoding_is_the_best_of_all_consistent_labellings():
     rng = np.random.default_rng(1)
-    page = he.parsed("<div>a<div>b<p>c</p></div><section><p>d</p>e</section></div>f")
+    page = he.parsed("<div>a<div>bb<p>ccc</p></div><section><p>d</p>ee</section></div>f")
+    n = len(page.nodes)
+    size = np.zeros(n)
+    for node, text, _ in page.blocks:
+        size[node] += len(text)
+    up = np.array([node.parent for node in page.nodes])
+    labellings = [np.array([(k >> i) & 1 for i in range(n)], dtype=bool) for k in range(1 << n)]
+    labellings = [kept for kept in labellings if kept[0] and all(kept[up[i]] for i in range(1, n) if kept[i])]
     for _ in range(200):
-        kept = he.decoded(page, rng.normal(size=len(page.nodes)))
-        assert all(kept[node.parent] for k, node in enumerate(page.nodes) if kept[k] and node.parent >= 0)
+        margin = rng.normal(1, 2, size=n)
+        chance = 1 / (1 + np.exp(-margin))
+        chance[0] = 1  # the whole page is not judged
+        for k in range(1, n):
+            chance[k] *= chance[up[k]]
+        kept = he.decoded(page, margin)
+        assert all(kept[up[k]] for k in range(1, n) if kept[k])
+        right = [(size * np.where(labels, chance, 1 - chance)).sum() for labels in labellings]
+        assert (size * np.where(kept, chance, 1 - chance)).sum() == pytest.approx(max(right))
+
+
+def test_query_matches_the_pages_alone(spark, pages):
+    from ringledger.llm.queries import QUERIES
+
+    found = QUERIES["op10_html_extraction"](spark, "/root/testdata/sf0.001")
+    assert found.columns == ["page_id", "url", "text", "n_chars"]
+    rows = {row["page_id"]: row for row in found.collect()}
+    learned = he.trained(he.training_pages(pages))
+    source = pages.collect()
+    assert len(rows) == len(source)
+    for row in source:
+        text = he.main_text(row["html"], learned)
+        assert (rows[row["page_id"]]["text"], rows[row["page_id"]]["n_chars"]) == (text, len(text))
 
 
 def test_table_rows_names_and_repeats(spark):
