@@ -4,12 +4,14 @@ The likelihood ratio compares two multinomials over hashed n-gram buckets: one c
 a trusted target corpus, one over the whole raw corpus. A document's score is the mean log
 ratio over its n-grams, so length does not matter; a fixed threshold decides.
 
-n-grams are the single words and the pairs of neighbouring word endings. Endings carry what
-junk shares across texts (trailing symbols, cell bars) where whole words differ.
+n-grams are the single words and the pairs of neighbouring words, whole. Their hashes share
+``buckets`` cells, up to ``MOST_BUCKETS``: with few, pairs of good and of bad texts fall together
+and scores draw near 0.
 
 Defined results: a null, empty or blank text has no words, all statistics are 0, the score is
-0, and it fails the base rules. With no trusted documents every score is 0. Repeated rows are
-judged one by one; other columns pass through, whatever their names.
+0, and it fails the base rules. A score equal to the threshold is kept. With no trusted documents
+every score is 0. Repeated rows are judged one by one, and an empty table gives none. Very long
+texts are read whole. Other columns pass through, whatever their names.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -17,13 +19,14 @@ from pyspark.sql import functions as F
 
 from ringledger.llm.frames import let, packed, words_of
 
-BUCKETS = 1 << 14
+BUCKETS = 1 << 18
+# The ratios are a constant in every task: 8 bytes a bucket.
+MOST_BUCKETS = 1 << 20
 # Texts whose mean log ratio is below this are rejected.
 MIN_RATIO = -0.25
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
-ENDING = 2
 SYMBOLS = "#*$%&|<>"
 
 
@@ -32,8 +35,7 @@ def _word_bucket(word: Column, buckets: int) -> Column:
 
 
 def _pair_bucket(word: Column, following: Column, buckets: int) -> Column:
-    ends = [F.substring(part, -ENDING, ENDING) for part in (word, following)]
-    return F.pmod(F.xxhash64(F.lit("pair"), *ends), F.lit(buckets))
+    return F.pmod(F.xxhash64(F.lit("pair"), word, following), F.lit(buckets))
 
 
 def ngram_counts(texts: DataFrame, buckets: int = BUCKETS) -> DataFrame:
@@ -56,6 +58,8 @@ def log_ratios(counts: DataFrame, buckets: int = BUCKETS) -> Column:
     The target is smoothed towards the raw shares by as many n-grams as there are buckets.
     The one row read by the driver has ``buckets`` numbers, whatever the corpus.
     """
+    if not 0 < buckets <= MOST_BUCKETS:
+        raise ValueError(f"buckets must lie between 1 and {MOST_BUCKETS}")
     every = counts.sparkSession.range(buckets).withColumnRenamed("id", "bucket")
     # One row per bucket by then, so the window holds a bounded number of rows.
     listed = every.join(counts, "bucket", "left").agg(F.sort_array(F.collect_list(F.struct(
@@ -79,10 +83,13 @@ def log_ratios(counts: DataFrame, buckets: int = BUCKETS) -> Column:
 
 
 def trusted_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``text, trusted`` of every document; trusted where a label says quality 1."""
+    """``text, trusted`` of every document; trusted where a label says quality 1.
+
+    While the labels are small by their files, Spark broadcasts them and no text is shuffled.
+    """
     good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
     good = good.withColumn("good", F.lit(True))
-    texts = docs.select("doc_id", "text").join(good.hint("shuffle_hash"), "doc_id", "left")
+    texts = docs.select("doc_id", "text").join(good, "doc_id", "left")
     return texts.select("text", F.coalesce("good", F.lit(False)).alias("trusted"))
 
 

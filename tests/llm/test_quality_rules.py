@@ -53,7 +53,7 @@ def test_ratio_is_the_mean_log_ratio_of_both_multinomials(documents, spark):
     def grams(text):
         words = text.split()
         rows = [(w, None, None) for w in words]
-        rows += [(None, a[-2:], b[-2:]) for a, b in zip(words, words[1:])]
+        rows += [(None, a, b) for a, b in zip(words, words[1:])]
         hashed = spark.createDataFrame(rows, "w string, a string, b string").select(F.pmod(
             F.when(F.col("w").isNotNull(), F.xxhash64("w")).otherwise(F.xxhash64(F.lit("pair"), "a", "b")),
             F.lit(buckets)))
@@ -84,5 +84,31 @@ def test_filtering_on_the_verdict_is_no_slower_plan(spark, documents):
     assert kept.count() == 5
 
 
+def test_texts_are_not_shuffled_while_labels_are_few(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    plan = rules.trusted_texts(docs, labels)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+def test_bucket_count_is_bounded(documents, spark):
+    for buckets in (0, rules.MOST_BUCKETS + 1):
+        with pytest.raises(ValueError):
+            rules.quality_rules(documents([(1, "a")]), spark.createDataFrame([], LABELS), buckets)
+
+
+def test_query_on_whole_table(spark):
+    from ringledger.llm.queries import QUERIES
+
+    found = QUERIES["op6_quality_rules"](spark, "/root/testdata/sf0.001").collect()
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    assert sorted((r["doc_id"], *[r[name] for name in BASE]) for r in found) == sorted(
+        (r["doc_id"], *_base(r["text"])) for r in docs)
+    quality = {r["doc_id"]: r["quality"] for r in
+               spark.read.parquet("/root/testdata/sf0.001/labels.parquet").collect()}
+    good = [r["kept"] for r in found if quality.get(r["doc_id"]) == 1 and not r["base_failed"]]
+    assert sum(good) / len(good) > 0.99
+
+
 def test_empty_table(documents, spark):
     assert _judged(documents([]), spark.createDataFrame([], LABELS)) == []
