@@ -22,6 +22,8 @@ from ringledger.llm.frames import let, packed, words_of
 BUCKETS = 1 << 18
 # The ratios are a constant in every task: 8 bytes a bucket.
 MOST_BUCKETS = 1 << 20
+# Up to this many ids of trusted documents go to every task, about 100 MB.
+BROADCAST_IDS = 1 << 21
 # Texts whose mean log ratio is below this are rejected.
 MIN_RATIO = -0.25
 MIN_WORDS = 10
@@ -85,10 +87,13 @@ def log_ratios(counts: DataFrame, buckets: int = BUCKETS) -> Column:
 def trusted_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``text, trusted`` of every document; trusted where a label says quality 1.
 
-    While the labels are small by their files, Spark broadcasts them and no text is shuffled.
+    The trusted ids are counted first. Up to ``BROADCAST_IDS`` they are broadcast and no text is
+    shuffled; beyond it both sides are shuffled once.
     """
     good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
     good = good.withColumn("good", F.lit(True))
+    few = good.count() <= BROADCAST_IDS
+    good = F.broadcast(good) if few else good.hint("shuffle_hash")
     texts = docs.select("doc_id", "text").join(good, "doc_id", "left")
     return texts.select("text", F.coalesce("good", F.lit(False)).alias("trusted"))
 

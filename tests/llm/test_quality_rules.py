@@ -84,11 +84,19 @@ def test_filtering_on_the_verdict_is_no_slower_plan(spark, documents):
     assert kept.count() == 5
 
 
-def test_texts_are_not_shuffled_while_labels_are_few(spark):
+def test_texts_are_shuffled_only_beyond_the_counted_limit(spark, monkeypatch):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
-    plan = rules.trusted_texts(docs, labels)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+    def told():
+        found = rules.trusted_texts(docs, labels)
+        return found._jdf.queryExecution().executedPlan().toString(), sorted(found.collect(), key=str)
+
+    plan, rows = told()
+    assert "BroadcastHashJoin" in plan and "ShuffledHashJoin" not in plan
+    monkeypatch.setattr(rules, "BROADCAST_IDS", 0)
+    plan, shuffled = told()
+    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan and rows == shuffled
 
 
 def test_bucket_count_is_bounded(documents, spark):
