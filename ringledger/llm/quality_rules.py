@@ -18,9 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ringledger.llm.frames import let, packed, words_of
+from ringledger.operators.staging import staged
 
 BUCKETS = 1 << 18
-# The ratios are a constant in every task: 8 bytes a bucket.
+# The ratios go to every task: 8 bytes a bucket.
 MOST_BUCKETS = 1 << 20
 # Up to this many ids of trusted documents go to every task, about 100 MB.
 BROADCAST_IDS = 1 << 21
@@ -54,11 +55,11 @@ def ngram_counts(texts: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     )
 
 
-def log_ratios(counts: DataFrame, buckets: int = BUCKETS) -> Column:
-    """Array constant: log of target share over raw share, per bucket.
+def log_ratios(counts: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """One row with an array ``ratios``: log of target share over raw share, per bucket.
 
-    The target is smoothed towards the raw shares by as many n-grams as there are buckets.
-    The one row read by the driver has ``buckets`` numbers, whatever the corpus.
+    The target is smoothed towards the raw shares by as many n-grams as there are buckets. The
+    row is written and has ``buckets`` numbers, whatever the corpus.
     """
     if not 0 < buckets <= MOST_BUCKETS:
         raise ValueError(f"buckets must lie between 1 and {MOST_BUCKETS}")
@@ -80,8 +81,7 @@ def log_ratios(counts: DataFrame, buckets: int = BUCKETS) -> Column:
         smoothed = (cell["target"] + buckets * share) / (F.col("target") + buckets)
         return F.when(F.col("target") > 0, F.log(smoothed / share)).otherwise(0.0)
 
-    texts = F.array_join(F.transform("cells", lambda cell: ratio(cell).cast("string")), ",")
-    return F.split(F.lit(summed.select(texts).first()[0]), ",").cast("array<double>")
+    return staged(summed.select(F.transform("cells", ratio).alias("ratios")), "ratios")
 
 
 def trusted_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -139,14 +139,16 @@ def _repeated_words(words: Column) -> Column:
 def _score(words: Column, ratios: Column, buckets: int) -> Column:
     """Mean log ratio over the n-grams of one text."""
 
-    def summed(acc: Column, i: Column) -> Column:
-        word, following = F.get(words, i), F.get(words, i + 1)
-        pair = F.when(following.isNotNull(), F.get(ratios, _pair_bucket(word, following, buckets)))
-        return acc + F.get(ratios, _word_bucket(word, buckets)) + F.coalesce(pair, F.lit(0.0))
+    def total(table: Column) -> Column:
+        def summed(acc: Column, i: Column) -> Column:
+            word, following = F.get(words, i), F.get(words, i + 1)
+            pair = F.when(following.isNotNull(), F.get(table, _pair_bucket(word, following, buckets)))
+            return acc + F.get(table, _word_bucket(word, buckets)) + F.coalesce(pair, F.lit(0.0))
+
+        return F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0.0), summed)
 
     n = F.size(words)
-    total = F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0.0), summed)
-    return F.when(n > 0, total / (2 * n - 1)).otherwise(0.0)
+    return F.when(n > 0, let(ratios, total) / (2 * n - 1)).otherwise(0.0)
 
 
 def judgement(text: Column, ratios: Column, buckets: int = BUCKETS,
@@ -154,7 +156,8 @@ def judgement(text: Column, ratios: Column, buckets: int = BUCKETS,
     """Struct of the statistics, ``score``, ``base_failed`` and ``kept`` of one text.
 
     One expression whose parts are bound as lambda arguments: whatever Spark moves it into, a
-    filter included, no part is worked out once per word.
+    filter included, no part is worked out once per word. ``ratios`` stands in it once, so that
+    Spark puts the subquery that reads them there and no row carries them.
     """
     given = F.coalesce(text, F.lit(""))
     n_symbols = sum(
@@ -185,13 +188,17 @@ def judgement(text: Column, ratios: Column, buckets: int = BUCKETS,
     return let(measured, decided)
 
 
-def judged(docs: DataFrame, ratios: Column, buckets: int = BUCKETS,
+def judged(docs: DataFrame, ratios: DataFrame, buckets: int = BUCKETS,
            min_ratio: float = MIN_RATIO) -> DataFrame:
     """``row`` (all columns of ``docs``), the statistics, ``score``, ``base_failed``, ``kept``.
 
-    ``ratios`` holds the log ratio per bucket.
+    ``ratios`` is what ``log_ratios`` gives; a scalar subquery reads it, so the plan and its
+    descriptions in the driver do not hold the numbers.
     """
-    told = packed(docs, told=judgement(F.col("text"), ratios, buckets, min_ratio))
+    given = packed(docs, text=F.col("text"), ratios=ratios.scalar())
+    told = given.select(
+        "row", judgement(F.col("text"), F.col("ratios"), buckets, min_ratio).alias("told")
+    )
     return told.select("row", "told.*")
 
 
