@@ -366,4 +366,27 @@ SELECT date_trunc('hour', make_timestamp(_c1 * 1000)) AS start,
   CAST(sum(CAST(_c7 AS DECIMAL(18,2))) AS DOUBLE) AS hourly_internet_usage
 FROM ({_ACTIVITY_FILLED}) GROUP BY 1, 2, 3 ORDER BY 1, 3""",
     "stream_hourly_activity": _HOURLY_AVERAGE,
+    "stream_hourly_late_rows": f"""
+WITH slots AS ({src(raw.ACTIVITY)}), span AS (SELECT min(_c1) AS low, max(_c1) AS high FROM slots),
+arriving AS (
+  SELECT coalesce(4 * (_c1 - low) // (high + 1 - low), 0)
+      + CASE WHEN _c0 % 16 = 0 THEN 1 ELSE 0 END AS turn,
+    coalesce(_c1, 0) AS millis,
+    CAST(coalesce(_c3, 0) AS DECIMAL(18,2)) + CAST(coalesce(_c4, 0) AS DECIMAL(18,2))
+      + CAST(coalesce(_c5, 0) AS DECIMAL(18,2)) + CAST(coalesce(_c6, 0) AS DECIMAL(18,2))
+      + CAST(coalesce(_c7, 0) AS DECIMAL(18,2)) AS total
+  FROM slots, span
+), newest AS (SELECT turn, max(millis) AS newest FROM arriving GROUP BY turn
+), bounds AS (
+  SELECT turn, max(newest) OVER (ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    - 7200000 AS bound FROM newest
+), told AS (
+  SELECT date_trunc('hour', make_timestamp(millis * 1000)) AS start, total,
+    coalesce((millis // 3600000 + 1) * 3600000 <= bound, false) AS late
+  FROM arriving JOIN bounds USING (turn)
+)
+SELECT start, start + INTERVAL 1 HOUR AS "end",
+  CAST(sum(total) FILTER (NOT late) AS DOUBLE) / count(*) FILTER (NOT late) AS hourly_average,
+  CAST(count(*) FILTER (NOT late) AS BIGINT) AS n_rows, CAST(count(*) FILTER (late) AS BIGINT) AS n_late
+FROM told GROUP BY 1, 2""",
 }

@@ -25,6 +25,7 @@ from ringledger.sources.files import read_itemized_csv
 from ringledger.sources.relational import map_schema
 from ringledger.sources.sheets import first_cells, sheet_range
 from ringledger.streaming.activity import read_hours, stream_hourly_average, write_hours
+from ringledger.streaming.slots import LATE, counted_hours, rejected_rows, write_slots
 
 Query = Callable[[Inputs], DataFrame]
 
@@ -463,3 +464,32 @@ def stream_hourly_activity(inputs: Inputs) -> DataFrame:
     ).start().awaitTermination()
     spark.catalog.dropTempView(view)
     return _clocks(read_hours(spark, path).select(*hours.columns), "start", "end")
+
+
+# Quarters of the events' time, in which they arrive; some rows come a quarter late.
+ARRIVALS = 4
+
+
+@query
+def stream_hourly_late_rows(inputs: Inputs) -> DataFrame:
+    spark, slots = inputs.spark, inputs.activity()
+    low, high = slots.agg(F.min("_c1"), F.max("_c1")).first()
+    quarter = F.expr(f"{ARRIVALS} * (_c1 - {low or 0}) div ({high or 0} + 1 - {low or 0})")
+    turn = F.coalesce(quarter, F.lit(0)) + F.when(F.col("_c0") % 16 == 0, 1).otherwise(0)
+    folder, path, state = (shared_folder(spark, x) for x in ("arriving", "counted", "counted-state"))
+    for k in range(ARRIVALS + 1):
+        slots.where(turn == k).write.mode("append").parquet(folder)
+        arriving = spark.readStream.schema(slots.schema).parquet(folder)
+        write_slots(activity.cleaned(arriving, PLACES), path, state).trigger(
+            availableNow=True
+        ).start().awaitTermination()
+    late = rejected_rows(spark, path).where(F.col("reason") == LATE)
+    late = late.groupBy(F.window("beginning_time", activity.HOUR)).agg(F.count("*").alias("n_late"))
+    hours = counted_hours(spark, path).unionByName(
+        late.select("window.start", "window.end", "n_late"), allowMissingColumns=True
+    )
+    told = hours.groupBy("start", "end").agg(
+        F.max("hourly_average").alias("hourly_average"),
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ("n_rows", "n_late")],
+    )
+    return _clocks(told, "start", "end")
