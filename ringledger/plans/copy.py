@@ -6,6 +6,7 @@ from pyspark.sql.types import StructType
 
 from ringledger.operators.numbering import first_rows
 from ringledger.sinks.batches import BATCH_SIZE, Send, send_batches
+from ringledger.sinks.delivery import Service, deliver_once
 from ringledger.sinks.tables import append_counted, append_table, create_table
 from ringledger.sources.relational import target_schema
 
@@ -73,3 +74,16 @@ def copy_to_service(
 ) -> None:
     """Copies a table to a service that takes rows in batches."""
     send_batches(table_copy(df, target, limit, key), send, batch_size)
+
+
+def copy_once_to_service(
+    df: DataFrame,
+    target: StructType,
+    service: Service,
+    delivery: str,
+    limit: int = 0,
+    key: str | None = None,
+    batch_size: int = BATCH_SIZE,
+) -> int:
+    """Copies a table to a service that makes a whole delivery visible once; returns the rows."""
+    return deliver_once(table_copy(df, target, limit, key), service, delivery, batch_size)

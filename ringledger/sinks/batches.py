@@ -2,6 +2,7 @@
 
 import time
 from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,6 +20,8 @@ MAX_ATTEMPTS = 5
 
 ERROR = "_error"
 
+Answer = TypeVar("Answer")
+
 
 class DeliveryError(RuntimeError):
     """Some rows were not delivered; ``path`` names the Parquet folder that holds them."""
@@ -44,14 +47,14 @@ def send_batches(
     ``dead_letters``; when there are any, DeliveryError is raised at the end.
 
     Delivery is at least once: Spark runs a failed task again, so let the service
-    recognise a row it has seen by its key.
+    recognise a row it has seen by its key, or use ``delivery.deliver_once``.
     """
     path = dead_letters or shared_folder(df.sparkSession, "dead-letters")
     schema = StructType([*df.schema, StructField(ERROR, StringType(), True)])
     refused = to_arrow_schema(schema)
 
     def deliver(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _regroup(batches, batch_size):
+        for rows in regrouped(batches, batch_size):
             failed = _attempt(send, rows, max_attempts, pause_seconds)
             if failed:
                 yield pa.RecordBatch.from_pylist(failed, schema=refused)
@@ -62,7 +65,8 @@ def send_batches(
         raise DeliveryError(lost, path)
 
 
-def _regroup(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[dict]]:
+def regrouped(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[dict]]:
+    """Rows in lists of ``size``, the last one shorter."""
     waiting: list[dict] = []
     for batch in batches:
         for start in range(0, batch.num_rows, size):
@@ -74,15 +78,24 @@ def _regroup(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[dict
         yield waiting
 
 
-def _attempt(
-    send: Send, rows: list[dict], max_attempts: int, pause_seconds: float
-) -> list[dict]:
-    reason = ""
+def attempted(request: Callable[[], Answer], max_attempts: int, pause_seconds: float) -> Answer:
+    """The answer to a request that is tried again when it raises; raises what the last try did."""
     for attempt in range(max_attempts):
         if attempt and pause_seconds:
             time.sleep(pause_seconds * 2 ** (attempt - 1))
         try:
-            return [{**rows[i], ERROR: text} for i, text in send(rows) or []]
-        except Exception as error:
-            reason = f"{type(error).__name__}: {error}"
-    return [{**row, ERROR: reason} for row in rows]
+            return request()
+        except Exception:
+            if attempt + 1 == max_attempts:
+                raise
+    raise ValueError("max_attempts must be 1 or more")
+
+
+def _attempt(
+    send: Send, rows: list[dict], max_attempts: int, pause_seconds: float
+) -> list[dict]:
+    try:
+        bad = attempted(lambda: send(rows), max_attempts, pause_seconds)
+    except Exception as error:
+        return [{**row, ERROR: f"{type(error).__name__}: {error}"} for row in rows]
+    return [{**rows[i], ERROR: text} for i, text in bad or []]
