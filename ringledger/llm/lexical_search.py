@@ -1,15 +1,18 @@
 """Ranked lexical search by Block-Max MaxScore over sharded inverted lists.
 
-``indexed`` reads every document once and writes one row per shard: the documents' ids and
-lengths, and per term its list of postings in compressed blocks. Beside each block stand its last
-document and, for some ranges of term frequency, the highest frequency and the shortest document
-in it. These bound the block's scores under any corpus statistics, so the index is written before
-the statistics are known and stays valid when shards are added. Statistics come from the index:
-the lengths, and a row per shard and term for the document frequencies.
-
-``search`` takes the queries in blocks of ``QUERY_BLOCK`` and runs each over all shards, which
-stay where they are: a task reads its shards one after the other and keeps a heap per query. A
-term's bound in a shard is the largest of its blocks'. Lists are ordered by their bounds; as long
+``indexed`` reads every document once and gathers shards. A shard is written as many small rows:
+the documents' ids and lengths, ``SPAN`` a row, under the term "", and a row per term with its list
+of postings in compressed blocks. Beside each block stand its last document and, for some ranges
+of term frequency, the highest frequency and the shortest document in it. These bound the block's
+scores under any corpus statistics, so the index is written before the statistics are known and
+stays valid when shards are added. Statistics come from the index: the lengths, and the document
+frequency in every row. No row holds a whole shard, so neither a reader's nor a writer's memory
+grows with what a shard holds.
+
+``search`` takes the queries in blocks of ``QUERY_BLOCK`` and runs each over all shards. Of a shard
+only the documents and the lists that the block asks for are brought together: a task gets its
+shards one after the other and keeps a heap per query. A term's bound in a shard is the largest
+of its blocks'. Lists are ordered by their bounds; as long
 as the bounds of the lowest ones together stay below the heap's smallest score, these are
 non-essential: no document is sought there. What the essential lists bring up is kept only if its
 score so far and the maxima of the blocks of the non-essential lists that would hold it can reach
@@ -24,6 +27,8 @@ their names.
 """
 
 import re
+import uuid
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -48,9 +53,13 @@ QUERY_BLOCK = 1_000
 # Ranges of term frequency that have a bound of their own: 1, 2, 3 to 4, and the rest.
 LEVELS = (1, 2, 4, np.iinfo(np.int64).max)
 
+# Rows of the index that go to Spark at once.
+BATCH = 1 << 13
+
+# ``df``: documents that hold the term, all of the row's under "", which no text holds.
 INDEX = (
-    "ids array<long>, lengths array<int>, terms array<string>, dfs array<int>, blocks binary, "
-    "payload binary, n_terms long"
+    "shard string, term string, df int, first int, ids array<long>, lengths array<int>, "
+    "n_terms long, blocks binary, payload binary"
 )
 HITS = "query int, doc_id long, score long"
 # Per block: last document, start in the payload, documents, bytes per number, and the levels.
@@ -66,12 +75,6 @@ def terms_of(text: str | None) -> list[bytes]:
     return re.findall(TERM, (text or "").encode("utf-8", "surrogatepass").lower())
 
 
-def _packed(values: np.ndarray) -> tuple[int, bytes]:
-    top = int(values.max())
-    wide = 0 if top < 1 << 8 else 1 if top < 1 << 16 else 2
-    return wide, values.astype(WIDTHS[wide]).tobytes()
-
-
 @dataclass
 class _Shard:
     """Documents gathered for one row of the index."""
@@ -79,8 +82,8 @@ class _Shard:
     ids: list = field(default_factory=list)
     lengths: list[int] = field(default_factory=list)
     names: dict[bytes, int] = field(default_factory=dict)
-    term: list[int] = field(default_factory=list)
-    tf: list[int] = field(default_factory=list)
+    term: array = field(default_factory=lambda: array("i"))
+    tf: array = field(default_factory=lambda: array("i"))
     size: list[int] = field(default_factory=list)
 
     def add(self, doc_id: int | None, text: str | None) -> None:
@@ -97,16 +100,16 @@ class _Shard:
 
     def row(self) -> dict:
         names = list(self.names)
-        rank = np.empty(len(names), dtype=np.int64)
+        rank = np.empty(len(names), dtype=np.int32)
         rank[sorted(range(len(names)), key=names.__getitem__)] = np.arange(len(names))
-        term, tf = rank[np.array(self.term)], np.array(self.tf, dtype=np.int64)
-        doc = np.repeat(np.arange(len(self.ids)), self.size)
+        term, tf = rank[np.array(self.term)], np.array(self.tf)
+        doc = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.size)
         order = np.argsort(term, kind="stable")
         term, tf, doc = term[order], tf[order], doc[order]
         dfs = np.bincount(term, minlength=len(names))
         first = np.concatenate(([0], np.cumsum(dfs)[:-1]))
         cuts = np.concatenate([np.arange(a, a + n, BLOCK) for a, n in zip(first, dfs)])
-        heads, payload = _blocks(doc, tf, np.array(self.lengths)[doc], cuts)
+        heads, payload = _blocks(doc, tf, np.array(self.lengths, dtype=np.int32)[doc], cuts)
         return {
             "ids": self.ids, "lengths": self.lengths,
             "terms": [name.decode("utf-8", "replace") for name in sorted(names)],
@@ -119,9 +122,9 @@ def _blocks(doc: np.ndarray, tf: np.ndarray, length: np.ndarray, cuts: np.ndarra
             ) -> tuple[np.ndarray, bytes]:
     """Heads and bytes of the blocks that start at ``cuts``: gaps between documents, then
     frequencies, each in as few bytes as the block allows."""
-    ends = np.append(cuts[1:], len(doc))
+    n = np.diff(cuts, append=len(doc))
     heads = np.zeros(len(cuts), dtype=HEAD)
-    heads["last"], heads["n"] = doc[ends - 1], ends - cuts
+    heads["last"], heads["n"] = doc[cuts + n - 1], n
     low = 0
     for level, high in enumerate(LEVELS):
         inside = (tf > low) & (tf <= high)
@@ -131,19 +134,27 @@ def _blocks(doc: np.ndarray, tf: np.ndarray, length: np.ndarray, cuts: np.ndarra
         low = high
     gaps = np.diff(doc, prepend=0)
     gaps[cuts] = doc[cuts]
-    parts, at = [], 0
-    for k, (a, b) in enumerate(zip(cuts.tolist(), ends.tolist())):
-        heads["at"][k] = at
-        for which, values in enumerate((gaps[a:b], tf[a:b])):
-            heads["wide"][k, which], data = _packed(values)
-            parts.append(data)
-            at += len(data)
-    return heads, b"".join(parts)
+    for which, values in enumerate((gaps, tf)):
+        top = np.maximum.reduceat(values, cuts)
+        heads["wide"][:, which] = (top >= 1 << 8).astype(np.uint8) + (top >= 1 << 16)
+    each = np.array([wide.itemsize for wide in WIDTHS])[heads["wide"]]
+    ends = np.cumsum(n * each.sum(axis=1))
+    heads["at"][1:] = ends[:-1]
+    payload, at = np.empty(ends[-1], dtype=np.uint8), heads["at"].copy()
+    for which, values in enumerate((gaps, tf)):
+        wide = np.repeat(each[:, which], n)
+        place = np.repeat(at - cuts * each[:, which], n) + np.arange(len(doc)) * wide
+        for byte in range(WIDTHS[-1].itemsize):
+            some = np.flatnonzero(wide > byte)
+            payload[place[some] + byte] = values[some] >> 8 * byte & 255
+        at += n * each[:, which]
+    return heads, payload.tobytes()
 
 
 def indexed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
             shard_postings: int = SHARD_POSTINGS) -> DataFrame:
-    """One row per shard of the documents, written to the shared folder."""
+    """The shards of the documents, a row per term and some documents, written to the shared
+    folder."""
     read = docs.select(
         F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text_column}`").alias("text")
     )
@@ -154,23 +165,87 @@ def indexed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
             for doc_id, text in zip(batch.column("id"), batch.column("text")):
                 shard.add(doc_id.as_py(), text.as_py())
                 if len(shard.term) >= shard_postings:
-                    yield _one_row(shard.row())
-                    shard = _Shard()
+                    row, shard = shard.row(), _Shard()
+                    yield from _split(row)
         if shard.ids:
-            yield _one_row(shard.row())
+            yield from _split(shard.row())
 
     return staged(read.mapInArrow(rows, INDEX), "lexical-index")
 
 
 ARROW_INDEX = pa.schema([
-    ("ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())),
-    ("terms", pa.list_(pa.string())), ("dfs", pa.list_(pa.int32())), ("blocks", pa.binary()),
-    ("payload", pa.binary()), ("n_terms", pa.int64()),
+    ("shard", pa.string()), ("term", pa.string()), ("df", pa.int32()), ("first", pa.int32()),
+    ("ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("n_terms", pa.int64()),
+    ("blocks", pa.binary()), ("payload", pa.binary()),
 ])
 
 
-def _one_row(row: dict) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist([row], schema=ARROW_INDEX)
+def _split(row: dict) -> Iterator[pa.RecordBatch]:
+    """A shard's rows of the index: its documents, then its terms."""
+    name = uuid.uuid4().hex
+    for first in range(0, len(row["ids"]), SPAN):
+        ids, lengths = (row[x][first : first + SPAN] for x in ("ids", "lengths"))
+        yield pa.RecordBatch.from_pylist([{
+            "shard": name, "term": "", "df": len(ids), "first": first, "ids": ids,
+            "lengths": lengths, "n_terms": sum(lengths),
+        }], schema=ARROW_INDEX)
+    dfs, heads = np.array(row["dfs"]), np.frombuffer(row["blocks"], dtype=HEAD).copy()
+    n_blocks = -(-dfs // BLOCK)
+    upto = np.concatenate(([0], np.cumsum(n_blocks)))
+    # Where each term's part of the payload starts; its blocks count from there.
+    starts = np.append(heads["at"], len(row["payload"]))[upto]
+    heads["at"] -= np.repeat(starts[:-1], n_blocks)
+    blocks = heads.tobytes()
+    for a in range(0, len(dfs), BATCH):
+        b = min(a + BATCH, len(dfs))
+        found = {
+            "shard": pa.array([name] * (b - a)), "term": pa.array(row["terms"][a:b]),
+            "df": pa.array(dfs[a:b], pa.int32()),
+            "blocks": _cut(blocks, upto[a : b + 1] * HEAD.itemsize),
+            "payload": _cut(row["payload"], starts[a : b + 1]),
+        }
+        yield pa.RecordBatch.from_arrays(
+            [found.get(x.name, pa.nulls(b - a, x.type)) for x in ARROW_INDEX], schema=ARROW_INDEX
+        )
+
+
+def _cut(data: bytes, places: np.ndarray) -> pa.Array:
+    """The bytes from each of the places to the next."""
+    part = data[places[0] : places[-1]]
+    offsets = (places - places[0]).astype(np.int32)
+    return pa.Array.from_buffers(
+        pa.binary(), len(places) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(part)]
+    )
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """The shards of rows ordered by shard, term and first document, each as ``_Shard.row``
+    gives it, with those terms only whose rows are there."""
+    name, row, parts = None, {}, []
+    for batch in batches:
+        columns = {x: batch.column(x) for x in batch.schema.names}
+        for k, (shard, term) in enumerate(zip(columns["shard"], columns["term"])):
+            if name != (name := shard.as_py()):
+                if row:
+                    yield _whole(row, parts)
+                row, parts = {"ids": [], "lengths": [], "terms": [], "dfs": []}, []
+            if term := term.as_py():
+                row["terms"].append(term)
+                row["dfs"].append(columns["df"][k].as_py())
+                parts.append((columns["blocks"][k].as_py(), columns["payload"][k].as_py()))
+            else:
+                row["ids"] += columns["ids"][k].as_py()
+                row["lengths"] += columns["lengths"][k].as_py()
+    if row:
+        yield _whole(row, parts)
+
+
+def _whole(row: dict, parts: list[tuple[bytes, bytes]]) -> dict:
+    """The row with its terms' blocks and payloads put one after the other."""
+    heads = np.frombuffer(b"".join(x for x, _ in parts), dtype=HEAD).copy()
+    starts = np.cumsum([0] + [len(x) for _, x in parts])[:-1]
+    heads["at"] += np.repeat(starts, [len(x) // HEAD.itemsize for x, _ in parts])
+    return row | {"blocks": heads.tobytes(), "payload": b"".join(x for _, x in parts)}
 
 
 def query_terms(queries: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -369,13 +444,14 @@ def search(index: DataFrame, queries: DataFrame, query_id: str = "item_id",
     spark = index.sparkSession
     asked = query_terms(queries, query_id, query_text)
     # A row of two numbers.
-    size = index.agg(F.sum(F.size("ids")).alias("n"), F.sum("n_terms").alias("total")).first()
+    size = index.where(F.col("term") == "").agg(
+        F.sum("df").alias("n"), F.sum("n_terms").alias("total")
+    ).first()
     n, total = size["n"] or 0, size["total"] or 0
     wanted = asked.select("term").distinct()
-    held = index.select(F.explode(F.arrays_zip("terms", "dfs")).alias("x")).select("x.terms", "x.dfs")
-    df = held.join(wanted, held["terms"] == wanted["term"], "left_semi").groupBy(
-        F.col("terms").alias("term")
-    ).agg(F.sum("dfs").alias("df"))
+    df = index.select("term", "df").join(wanted, "term", "left_semi").groupBy("term").agg(
+        F.sum("df").alias("df")
+    )
     weighed = staged(
         df.select("term", weight(F.lit(n), F.col("df")).alias("w")).where("w > 0"), "weights"
     )
@@ -388,12 +464,12 @@ def search(index: DataFrame, queries: DataFrame, query_id: str = "item_id",
     path = shared_folder(spark, "hits")
     spark.createDataFrame([], HITS).write.parquet(path)
     for first in range(1, numbers.count() + 1, query_block):
-        block = {
-            row["k"]: [tuple(x) for x in row["terms"]]
-            for row in ready.where(F.col("k").between(first, first + query_block - 1)).collect()
-        }
+        now = ready.where(F.col("k").between(first, first + query_block - 1))
+        block = {row["k"]: [tuple(x) for x in row["terms"]] for row in now.collect()}
         if block:
-            _searched(index, block, n, total, top).write.mode("append").parquet(path)
+            terms = now.select(F.explode(F.concat("terms.term", F.array(F.lit("")))).alias("term"))
+            asked_for = index.join(F.broadcast(terms.distinct()), "term", "left_semi")
+            _searched(asked_for, block, n, total, top).write.mode("append").parquet(path)
     hits = spark.read.schema(HITS).parquet(path)
     order = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     best = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
@@ -409,11 +485,10 @@ def _searched(index: DataFrame, block: dict[int, list[tuple]], n: int, total: in
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heaps = {k: Heap(top) for k in queries}
-        for batch in batches:
-            for at in range(batch.num_rows):
-                shard = _Opened(batch.slice(at, 1).to_pylist()[0], weights, n, total)
-                for k, query in queries.items():
-                    search_shard(shard, query, heaps[k])
+        for row in _joined(batches):
+            shard = _Opened(row, weights, n, total)
+            for k, query in queries.items():
+                search_shard(shard, query, heaps[k])
         for k, heap in heaps.items():
             if heap.ids:
                 yield pa.RecordBatch.from_pydict({
@@ -422,7 +497,10 @@ def _searched(index: DataFrame, block: dict[int, list[tuple]], n: int, total: in
                     "score": pa.array(heap.scores, pa.int64()),
                 })
 
-    return index.drop("n_terms").mapInArrow(rows, HITS)
+    whole = index.drop("n_terms").repartition("shard").sortWithinPartitions(
+        "shard", "term", "first"
+    )
+    return whole.mapInArrow(rows, HITS)
 
 
 def ranked(docs: DataFrame, queries: DataFrame, id_column: str = "doc_id",

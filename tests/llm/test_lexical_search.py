@@ -137,3 +137,22 @@ def test_odd_texts_and_empty_tables(spark, documents, odd_documents):
     assert _rows(lexical.ranked(odd_documents, asked)) == _expected(docs, [(1, "one é WORD id")])
     assert lexical.ranked(documents([]), asked).collect() == []
     assert lexical.ranked(odd_documents, asked.limit(0)).collect() == []
+
+
+def test_no_row_of_the_index_holds_a_whole_shard(spark, documents):
+    docs = [(k, f"common w{k} v{k}") for k in range(6000)]
+    index = lexical.indexed(documents(docs).coalesce(1))
+    sizes = [
+        sum(len(x) * (8 if isinstance(x, list) else 1) for x in row if hasattr(x, "__len__"))
+        for row in index.collect()
+    ]
+    assert max(sizes) < 100_000 < sum(sizes)
+
+
+def test_rows_of_a_shard_may_lie_anywhere_and_indexes_add_up(spark, documents):
+    docs, queries = _corpus(60)
+    parts = [lexical.indexed(documents(x).coalesce(2), shard_postings=300)
+             for x in (docs[:50], docs[50:])]
+    index = parts[0].unionByName(parts[1]).repartition(5)
+    asked = spark.createDataFrame(queries, "item_id long, text string")
+    assert _rows(lexical.search(index, asked, top=6)) == _expected(docs, queries, 6)
